@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.plans.sizing import BROADCAST_BYTES, SKEW_FLOOR_BYTES, at_most
+from rowcast.plans.sizing import broadcastable, modest
 
 POSITION = "_position"
 # The sketch lists at most this many keys, which bounds what is broadcast.
@@ -72,7 +72,7 @@ def skew_join(
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
-    if not force and at_most(left, SKEW_FLOOR_BYTES) and at_most(right, SKEW_FLOOR_BYTES):
+    if not force and modest(left, right):
         return left.join(right, key, how)
 
     columns = [c for c in left.columns if c != key]
@@ -117,6 +117,6 @@ def join_dimension(
     fact: DataFrame, dimension: DataFrame, key: str, how: str = "left", **skew
 ) -> DataFrame:
     """Look ``key`` up in ``dimension``: broadcast if it is small, else skew-safe."""
-    if at_most(dimension, BROADCAST_BYTES):
+    if broadcastable(dimension):
         return fact.join(F.broadcast(dimension), key, how)
     return skew_join(fact, dimension, key, how, **skew)

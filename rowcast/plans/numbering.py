@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.plans.sizing import SKEW_FLOOR_BYTES, at_most
+from rowcast.plans.sizing import modest
 
 CUT_ERROR = 0.0001
 
@@ -47,7 +47,7 @@ def leading_rows(df: DataFrame, key: str, count: int, *, force: bool = False) ->
     certain to lie past the wanted rows, and everything above it is left out
     by a pushed-down filter before any sorting.
     """
-    if not force and at_most(df, SKEW_FLOOR_BYTES):
+    if not force and modest(df):
         return df
     total = df.filter(F.col(key).isNotNull()).count()
     share = count / total + 2 * CUT_ERROR if total else 1.0

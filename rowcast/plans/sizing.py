@@ -1,4 +1,4 @@
-"""Size checks taken from Catalyst's own estimate of a plan's output."""
+"""Size checks taken from Catalyst's own estimates."""
 
 from __future__ import annotations
 
@@ -6,19 +6,43 @@ from pyspark.sql import DataFrame
 
 # A build side is broadcast only while its estimate stays under this.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Below this a join fits a few tasks whatever its keys look like.
+# Inputs below this fit a few tasks whatever their keys look like.
 SKEW_FLOOR_BYTES = 8 * 1024 * 1024 * 1024
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Estimated output bytes, or None where the plan is out of reach."""
+def _optimized(df: DataFrame):
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        return df._jdf.queryExecution().optimizedPlan()
     except AttributeError:
         return None
 
 
-def at_most(df: DataFrame, limit: int) -> bool:
-    """True only when an estimate exists and stays within ``limit``."""
+def plan_bytes(df: DataFrame) -> int | None:
+    """Estimated output bytes, or None where the plan is out of reach."""
+    plan = _optimized(df)
+    return None if plan is None else int(plan.stats().sizeInBytes())
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Estimated bytes of all inputs the plan reads.
+
+    Without column statistics a join's output estimate is the product of its
+    sides, so questions about how much data is involved look at the inputs.
+    """
+    plan = _optimized(df)
+    if plan is None:
+        return None
+    leaves = plan.collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def broadcastable(df: DataFrame, limit: int | None = None) -> bool:
+    """True only when an estimate of the output exists and is small."""
     estimate = plan_bytes(df)
-    return estimate is not None and estimate <= limit
+    return estimate is not None and estimate <= (BROADCAST_BYTES if limit is None else limit)
+
+
+def modest(*frames: DataFrame) -> bool:
+    """True only when the inputs of all frames are known and small together."""
+    sizes = [input_bytes(df) for df in frames]
+    return None not in sizes and sum(sizes) <= SKEW_FLOOR_BYTES

@@ -86,9 +86,9 @@ def test_small_dimension_is_broadcast(spark, tmp_path):
 
 
 def test_large_dimension_takes_the_skew_safe_way(spark, monkeypatch):
-    import rowcast.plans.joins as joins
+    import rowcast.plans.sizing as sizing
 
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
     dimension = spark.range(100).withColumnRenamed("id", "k").withColumn("b", F.col("k") * 2)
     fact = spark.range(1000).select(
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 150).alias("k")

@@ -51,9 +51,9 @@ def test_top_reports(spark):
 
 
 def test_repeated_payments_fan_out_the_same_way_when_salted(spark, monkeypatch):
-    import rowcast.plans.joins as joins
+    import rowcast.plans.sizing as sizing
 
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
     orders = spark.range(60).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS order_id",
         "CAST(CASE WHEN id % 2 = 0 THEN 1 ELSE id END AS int) AS customer_id",
