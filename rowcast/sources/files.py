@@ -10,6 +10,12 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 Schema = StructType | str
 
+# Text forms that keep timestamps to the microsecond.
+TIME_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def _fields(spark: SparkSession, schema: Schema) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
@@ -76,7 +82,7 @@ def from_rows(spark: SparkSession, rows: Iterable[Sequence], schema: Schema) ->
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
-    df.write.mode(mode).options(**{"header": True, **options}).csv(path)
+    df.write.mode(mode).options(**{"header": True, **TIME_FORMATS, **options}).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -84,7 +90,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**TIME_FORMATS).json(path)
 
 
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -11,12 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.operators import bank
+from rowcast.sources.synth import COUNTRIES
 from rowcast.workloads.tables import table
 
-# The country codes of the transactions.
-COUNTRIES = ["PL", "DE", "US", "GB", "FR", "CZ"]
-
-
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(
         F.col("c_custkey").alias("customer_id"),

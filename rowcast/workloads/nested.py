@@ -11,14 +11,11 @@ from pyspark.sql import functions as F
 
 from rowcast.operators import nested
 from rowcast.plans.scratch import scratch_path
-from rowcast.sources import files
+from rowcast.sources import files, synth
 from rowcast.workloads.tables import table
 
-# Product and city names.
-PRODUCTS = [
-    "Laptop", "Telefon", "Mysz", "Klawiatura", "Monitor", "Słuchawki", "Powerbank", "Kabel USB",
-]
-CITIES = ["Warszawa", "Kraków", "Gdańsk", "Poznań", "Wrocław", "Lublin", "Szczecin", "Katowice"]
+PRODUCTS = [name for name, _, _ in synth.PRODUCTS]
+CITIES = synth.CITIES
 
 
 def nested_orders(spark: SparkSession, folder: str) -> DataFrame:
