@@ -15,18 +15,30 @@ ACCESS_FIELDS = ("ip", "timestamp", "method", "url", "http_ver", "status", "size
 APP_FIELDS = ("timestamp", "level", "message")
 
 
-def captures(line: Column, pattern: str, count: int) -> Column:
-    """All capture groups of the first match as an array; NULL without a match.
+def capture(line: Column | str, pattern: str, group: int) -> Column:
+    """One capture group of the first match; empty without a match.
+
+    As in Python, only a line feed ends a line for the pattern.
+    """
+    return F.regexp_extract(line, f"(?d){pattern}", group)
+
+
+def captures(line: Column | str, pattern: str, count: int) -> Column:
+    """All capture groups of the first match as an array of ``count`` texts.
 
     The line is matched once and rewritten to its groups set apart by line
-    breaks, which a line read from a text file cannot contain. As in Python,
-    only a line feed ends a line for the pattern.
+    feeds, which a line read from a text file cannot contain. Without a match
+    the array has another size; ``group_of`` tells the two apart.
     """
     lead = "^" if pattern.startswith("^") else "(?s:^.*?)"
     whole = f"(?d){lead}{pattern.removeprefix('^')}(?s:.*)$"
     groups = "\n".join(f"${i}" for i in range(1, count + 1))
-    parts = F.split(F.regexp_replace(line, whole, groups), "\n", -1)
-    return F.when((F.size(parts) == count) & ~F.contains(line, F.lit("\n")), parts)
+    return F.split(F.regexp_replace(line, whole, groups), "\n", -1)
+
+
+def group_of(parts: str, index: int, count: int) -> Column:
+    """Group ``index`` of a ``captures`` column; NULL where the line did not match."""
+    return F.when(F.size(parts) == count, F.get(parts, F.lit(index)))
 
 
 def words(text: Column) -> Column:

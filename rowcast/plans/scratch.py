@@ -9,12 +9,9 @@ from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is named."""
+    """The cluster's checkpoint folder; a new local one only where none is named."""
     shared = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not shared:
-        shared = "file:" + tempfile.mkdtemp(prefix="rowcast-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared.rstrip("/")
+    return shared.rstrip("/") or "file:" + tempfile.mkdtemp(prefix="rowcast-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,17 +46,10 @@ def features_pca_classes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def features_packed(spark: SparkSession, folder: str) -> DataFrame:
-    """Packed vectors measured: size and sum must equal those of the array."""
+    """The packed vectors, unpacked again to one row per entry."""
     packed = features.pack_array(vectors(spark, folder), "embedding", "label", "vec_id")
-    from pyspark.ml.functions import vector_to_array
-
-    numbers = vector_to_array("features")
     return packed.select(
-        "vec_id",
-        "label",
-        F.size(numbers).alias("width"),
-        numbers[0].alias("first_value"),
-        F.element_at(numbers, -1).alias("last_value"),
+        "vec_id", "label", F.posexplode(vector_to_array("features")).alias("position", "entry")
     )
 
 
@@ -127,9 +121,9 @@ ORACLE = {
     + " FROM measured) SELECT l_orderkey, l_linenumber, target, "
     + ", ".join(f"ROUND(({m} - {m}_mean) / {m}_dev, 6) AS {m}" for m in MEASURES)
     + " FROM measured, stats",
-    "features_packed": """SELECT vec_id, label, CAST(LEN(embedding) AS INTEGER) AS width,
-    CAST(embedding[1] AS DOUBLE) AS first_value,
-    CAST(embedding[LEN(embedding)] AS DOUBLE) AS last_value FROM embeddings""",
+    "features_packed": """SELECT vec_id, label, CAST(n.i AS INTEGER) AS position,
+    CAST(embedding[n.i + 1] AS DOUBLE) AS entry
+    FROM embeddings JOIN (SELECT UNNEST(RANGE(64)) AS i) n ON n.i < LEN(embedding)""",
     "features_class_subset": _MEASURED + "SELECT * FROM measured WHERE target = 'R'",
     "features_histogram": """WITH entries AS (
         SELECT CAST(UNNEST(embedding) AS DOUBLE) AS x FROM embeddings
