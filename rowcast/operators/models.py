@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +18,8 @@ CAPACITIES = {
     "large": [512, 512, 512, 512],
 }
 PENALTY = 0.001
+# Fixed value: probabilities are kept above this before taking logarithms.
+SMALLEST = 1e-15
 
 RESULT = "model string, parameters bigint, split string, log_loss double, accuracy double"
 
@@ -29,34 +31,34 @@ def holdout(df: DataFrame, key: str, share: float = 0.1) -> tuple[DataFrame, Dat
     return df.filter(spot < cut), df.filter(spot >= cut)
 
 
-def _score(name: str, size: int, model, splits: Mapping[str, DataFrame]) -> list[tuple]:
-    rows = []
-    for split_name, frame in splits.items():
-        predicted = model.transform(frame)
-        loss, accuracy = (
-            MulticlassClassificationEvaluator(metricName=metric).evaluate(predicted)
-            for metric in ("logLoss", "accuracy")
-        )
-        rows.append((name, size, split_name, loss, accuracy))
-    return rows
+def score(predicted: DataFrame) -> DataFrame:
+    """Cross-entropy and accuracy per ``split`` of a scored table, in one pass."""
+    chosen = F.get(vector_to_array("probability"), F.col("label").cast("int"))
+    return predicted.groupBy("split").agg(
+        F.avg(-F.log(F.greatest(chosen, F.lit(SMALLEST)))).alias("log_loss"),
+        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+    )
 
 
 def _sweep(train: DataFrame, validation: DataFrame, fits) -> DataFrame:
-    """Fit each model on cached training rows and score it on both splits."""
-    splits = {
-        "train": train.persist(StorageLevel.MEMORY_AND_DISK),
-        "validation": validation.persist(StorageLevel.MEMORY_AND_DISK),
-    }
+    """Fit each model on the cached training rows and score it on both splits."""
+    rows = train.withColumn("split", F.lit("train")).unionByName(
+        validation.withColumn("split", F.lit("validation"))
+    )
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    results = []
     try:
-        rows = []
         for name, estimator in fits:
-            model = estimator.fit(splits["train"])
+            model = estimator.fit(rows.filter(F.col("split") == "train"))
             weights = model.weights if hasattr(model, "weights") else model.coefficients
-            rows += _score(name, len(weights), model, splits)
+            # Two rows per model, whatever the table size.
+            results += [
+                (name, len(weights), row.split, row.log_loss, row.accuracy)
+                for row in score(model.transform(rows)).collect()
+            ]
     finally:
-        for frame in splits.values():
-            frame.unpersist()
-    return train.sparkSession.createDataFrame(rows, RESULT)
+        rows.unpersist()
+    return train.sparkSession.createDataFrame(results, RESULT)
 
 
 def capacity_sweep(

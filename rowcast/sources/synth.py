@@ -25,6 +25,7 @@ CHANNELS = ["ATM", "POS", "ONLINE"]
 COUNTRIES = ["PL", "DE", "US", "GB", "FR", "CZ"]
 CATEGORIES = ["A", "B", "C"]
 DAY = "2025-11-27"
+MAX_ITEMS = 5
 # Product, lowest and highest price.
 PRODUCTS = [
     ("Laptop", 3200, 6500),
@@ -99,43 +100,50 @@ def alerts(ids: DataFrame, customer_count: int) -> DataFrame:
 
 
 def nested_orders(ids: DataFrame) -> DataFrame:
-    """Orders with one to five items; one in twenty has none."""
-    catalogue = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("product"),
-                F.lit(low * 100).cast("bigint").alias("low"),
-                F.lit((high - low) * 100 + 1).cast("bigint").alias("span"),
-            )
-            for name, low, high in PRODUCTS
-        ]
-    )
+    """Orders with one to five items; one in twenty has none.
+
+    Five items are drawn as plain columns and the array is cut to the drawn
+    length, which keeps the work in generated code.
+    """
+    names = F.array(*[F.lit(name) for name, _, _ in PRODUCTS])
+    lows = F.array(*[F.lit(low * 100).cast("bigint") for _, low, _ in PRODUCTS])
+    spans = F.array(*[F.lit((high - low) * 100 + 1).cast("bigint") for _, low, high in PRODUCTS])
+    slots = range(1, MAX_ITEMS + 1)
+
+    drawn = {}
+    for i in slots:
+        line = F.col("id") * 8 + i
+        drawn[f"_kind{i}"] = (draws.below(line, 51, len(PRODUCTS)) + 1).cast("int")
+        drawn[f"_qty{i}"] = draws.below(line, 52, 5) + 1
+        drawn[f"_price{i}"] = draws.draw(line, 53)
+    filled = (draws.below("id", 55, MAX_ITEMS) + 1).cast("int")
+    drawn["_count"] = F.when(draws.below("id", 54, 100) < 5, 0).otherwise(filled)
 
     def item(i):
-        line = F.col("id") * 8 + i
-        entry = F.element_at(catalogue, (draws.below(line, 51, len(PRODUCTS)) + 1).cast("int"))
-        offset = F.call_function(
-            "div",
-            draws.draw(line, 53) * entry["span"],
-            F.lit(draws.PRIME).cast("bigint"),
+        kind = F.col(f"_kind{i}")
+        span = F.element_at(spans, kind)
+        above = F.call_function(
+            "div", F.col(f"_price{i}") * span, F.lit(draws.PRIME).cast("bigint")
         )
         return F.struct(
-            entry["product"].alias("product"),
-            (draws.below(line, 52, 5) + 1).alias("qty"),
-            ((entry["low"] + offset) / 100.0).alias("price"),
+            F.element_at(names, kind).alias("product"),
+            F.col(f"_qty{i}").alias("qty"),
+            ((F.element_at(lows, kind) + above) / 100.0).alias("price"),
         )
 
-    filled = F.transform(F.sequence(F.lit(1).cast("bigint"), draws.below("id", 55, 5) + 1), item)
-    empty = F.array().cast("array<struct<product: string, qty: bigint, price: double>>")
-    return ids.select(
-        F.col("id").alias("order_id"),
-        F.struct(
-            (draws.below("id", 56, 900_000) + 100_000).alias("id"),
-            draws.pick(FIRST_NAMES, "id", 57).alias("name"),
-            draws.pick(LAST_NAMES, "id", 58).alias("surname"),
-        ).alias("customer"),
-        F.when(draws.below("id", 54, 100) < 5, empty).otherwise(filled).alias("items"),
-        draws.pick(CITIES, "id", 59).alias("city"),
+    return (
+        ids.select("id")
+        .withColumns(drawn)
+        .select(
+            F.col("id").alias("order_id"),
+            F.struct(
+                (draws.below("id", 56, 900_000) + 100_000).alias("id"),
+                draws.pick(FIRST_NAMES, "id", 57).alias("name"),
+                draws.pick(LAST_NAMES, "id", 58).alias("surname"),
+            ).alias("customer"),
+            F.slice(F.array(*[item(i) for i in slots]), F.lit(1), F.col("_count")).alias("items"),
+            draws.pick(CITIES, "id", 59).alias("city"),
+        )
     )
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rowcast.plans.scratch import scratch_path
-from rowcast.sources.files import read_parquet
 
 
 def start_console(counters: DataFrame, mode: str = "update", rows: int = 50) -> StreamingQuery:
@@ -51,7 +51,23 @@ def replay(
         .start()
     )
     query.awaitTermination()
-    return read_parquet(spark, target)
+    schema = StructType([*counters.schema.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(schema).parquet(target)
+
+
+def replay_closed(spark: SparkSession, counters: DataFrame, name: str = "closed") -> DataFrame:
+    """Append mode into a parquet folder whose log lists only committed files."""
+    target = scratch_path(spark, name)
+    query = (
+        counters.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", scratch_path(spark, f"{name}-state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(counters.schema).parquet(target)
 
 
 def latest(updates: DataFrame, key: str) -> DataFrame:

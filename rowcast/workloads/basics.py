@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.operators import basics
-from rowcast.workloads.tables import table
+from rowcast.workloads.tables import rounded, rounded_sql, table
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,12 +24,12 @@ def basic_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def basic_group_avg(spark: SparkSession, folder: str) -> DataFrame:
     means = basics.group_average(_orders(spark, folder), "category", "amount")
-    return means.select("category", F.round("avg(amount)", 6).alias("avg_amount"))
+    return means.select("category", rounded("avg(amount)").alias("avg_amount"))
 
 
 def basic_mean(spark: SparkSession, folder: str) -> DataFrame:
     mean = basics.average(_orders(spark, folder), "amount")
-    return mean.select(F.round("avg(amount)", 6).alias("avg_amount"))
+    return mean.select(rounded("avg(amount)").alias("avg_amount"))
 
 
 def basic_casts(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,8 +94,8 @@ _LINEITEM = [*_WIDTHS, "l_returnflag", "l_linestatus"]
 ORACLE = {
     "basic_filter": _ORDERS + "SELECT * FROM placed WHERE amount > 250000",
     "basic_group_avg": _ORDERS
-    + "SELECT category, ROUND(AVG(amount), 6) AS avg_amount FROM placed GROUP BY category",
-    "basic_mean": _ORDERS + "SELECT ROUND(AVG(amount), 6) AS avg_amount FROM placed",
+    + f"SELECT category, {rounded_sql('AVG(amount)')} AS avg_amount FROM placed GROUP BY category",
+    "basic_mean": _ORDERS + f"SELECT {rounded_sql('AVG(amount)')} AS avg_amount FROM placed",
     "basic_casts": r"""SELECT p_partkey, p_size + p_retailprice AS widened,
     p_size - CASE WHEN p_type = 'ECONOMY' THEN 1 ELSE 0 END AS less_flag,
     p_size * TRY_CAST(REGEXP_EXTRACT(p_brand, '(\d+)', 1) AS INTEGER) AS by_text,

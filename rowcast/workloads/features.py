@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.operators import features, models
-from rowcast.workloads.tables import table
+from rowcast.workloads.tables import rounded, rounded_sql, table
 
 MEASURES = ["quantity", "price", "discount", "tax"]
 WIDTH = 64
@@ -32,7 +32,7 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def features_standardized(spark: SparkSession, folder: str) -> DataFrame:
     scaled = features.standardized(measured(spark, folder), MEASURES)
-    return scaled.withColumns({name: F.round(name, 6) for name in MEASURES})
+    return scaled.withColumns({name: rounded(name) for name in MEASURES})
 
 
 def features_pca(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,7 +119,7 @@ ORACLE = {
     + ", stats AS (SELECT "
     + ", ".join(f"AVG({m}) AS {m}_mean, STDDEV_POP({m}) AS {m}_dev" for m in MEASURES)
     + " FROM measured) SELECT l_orderkey, l_linenumber, target, "
-    + ", ".join(f"ROUND(({m} - {m}_mean) / {m}_dev, 6) AS {m}" for m in MEASURES)
+    + ", ".join(f"{rounded_sql(f'({m} - {m}_mean) / {m}_dev')} AS {m}" for m in MEASURES)
     + " FROM measured, stats",
     "features_packed": """SELECT vec_id, label, CAST(n.i AS INTEGER) AS position,
     CAST(embedding[n.i + 1] AS DOUBLE) AS entry

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rowcast.operators import nested
 from rowcast.plans.scratch import scratch_path
 from rowcast.sources import files, synth
-from rowcast.workloads.tables import table
+from rowcast.workloads.tables import rounded, rounded_sql, table
 
 PRODUCTS = [name for name, _, _ in synth.PRODUCTS]
 CITIES = synth.CITIES
@@ -31,8 +31,7 @@ def nested_orders(spark: SparkSession, folder: str) -> DataFrame:
             ((cents % 9973 + i * 101) / 100.0).alias("price"),
         )
 
-    count = key % 6
-    lines = F.when(count > 0, F.transform(F.sequence(F.lit(1).cast("bigint"), count), item))
+    lines = F.slice(F.array(*[item(i) for i in range(1, 6)]), F.lit(1), (key % 6).cast("int"))
     return table(spark, folder, "orders").select(
         key.alias("order_id"),
         F.struct(
@@ -40,9 +39,7 @@ def nested_orders(spark: SparkSession, folder: str) -> DataFrame:
             F.col("o_orderpriority").alias("name"),
             F.col("o_orderstatus").alias("surname"),
         ).alias("customer"),
-        F.coalesce(lines, F.array().cast(
-            "array<struct<product: string, qty: bigint, price: double>>"
-        )).alias("items"),
+        lines.alias("items"),
         F.element_at(cities, (F.col("o_custkey") % 8 + 1).cast("int")).alias("city"),
     )
 
@@ -77,7 +74,7 @@ def nested_top_products(spark: SparkSession, folder: str) -> DataFrame:
 def nested_describe(spark: SparkSession, folder: str) -> DataFrame:
     summary = nested.describe(nested_order_values(spark, folder), "order_value")
     return summary.withColumns(
-        {"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)}
+        {"mean": rounded("mean"), "stddev": rounded("stddev")}
     )
 
 
@@ -139,8 +136,8 @@ ORACLE = {
     CAST(SUM(qty) AS BIGINT) AS total_qty FROM items GROUP BY product
     ORDER BY revenue DESC, product LIMIT 10""",
     "nested_describe": _NESTED
-    + """SELECT 'order_value' AS column_name, COUNT(order_value) AS count,
-    ROUND(AVG(order_value), 6) AS mean, ROUND(STDDEV_SAMP(order_value), 6) AS stddev,
+    + f"""SELECT 'order_value' AS column_name, COUNT(order_value) AS count,
+    {rounded_sql("AVG(order_value)")} AS mean, {rounded_sql("STDDEV_SAMP(order_value)")} AS stddev,
     MIN(order_value) AS min, MAX(order_value) AS max FROM valued""",
     "nested_quantiles": _NESTED
     + """SELECT CAST(p AS DOUBLE) AS probability, CAST(CASE p

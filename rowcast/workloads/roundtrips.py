@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowcast.plans.scratch import scratch_path
 from rowcast.sources import files
 from rowcast.workloads import bank
-from rowcast.workloads.tables import table
+from rowcast.workloads.tables import rounded, rounded_sql, table
 
 WIDTH = 64
 
@@ -28,7 +28,7 @@ def csv_lazy_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "part").select("p_partkey", "p_retailprice", "p_brand")
     files.write_csv(rows, path)
     scan = files.read_csv_lazy(spark, path, "id bigint, value double, category string")
-    return scan.groupBy("category").agg(F.round(F.avg("value"), 6).alias("avg_value"))
+    return scan.groupBy("category").agg(rounded(F.avg("value")).alias("avg_value"))
 
 
 def csv_headerless_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,7 +104,7 @@ QUERIES = {
 ORACLE = {
     "csv_roundtrip": """SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_mktsegment,
     c_acctbal FROM customer""",
-    "csv_lazy_roundtrip": """SELECT p_brand AS category, ROUND(AVG(p_retailprice), 6) AS avg_value
+    "csv_lazy_roundtrip": f"""SELECT p_brand AS category, {rounded_sql("AVG(p_retailprice)")} AS avg_value
     FROM part GROUP BY p_brand""",
     "csv_headerless_roundtrip": """SELECT l_quantity AS quantity, l_extendedprice AS price,
     l_discount AS discount, l_tax AS tax, l_returnflag AS target FROM lineitem""",

@@ -39,8 +39,7 @@ def stream_all_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_closed_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Append mode: only windows that the watermark has passed."""
-    closed = runners.replay(spark, _counted(spark, folder), "append", "counters-append")
-    return closed.drop("batch_id")
+    return runners.replay_closed(spark, _counted(spark, folder), "counters-append")
 
 
 QUERIES = {

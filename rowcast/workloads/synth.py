@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowcast.functions import draws
 from rowcast.operators import nested
 from rowcast.sources import synth
-from rowcast.workloads.tables import table
+from rowcast.workloads.tables import rounded, rounded_sql, table
 
 
 def _ids(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
@@ -54,7 +54,7 @@ def synth_nested_heads(spark: SparkSession, folder: str) -> DataFrame:
 
 def synth_numeric(spark: SparkSession, folder: str) -> DataFrame:
     made = synth.numeric(_ids(spark, folder, "events", "event_id"))
-    return made.withColumn("value", F.round("value", 6))
+    return made.withColumn("value", rounded("value"))
 
 
 QUERIES = {
@@ -108,6 +108,11 @@ _CATALOGUE = ", ".join(
 )
 _FILLED = f"CASE WHEN {_below('o_orderkey', 54, 100)} < 5 THEN 0 ELSE {_below('o_orderkey', 55, 5)} + 1 END"
 
+_NORMAL = (
+    f"SQRT(LN({_unit('event_id', 61)}) * -2.0) "
+    f"* COS({_unit('event_id', 62)} * 6.283185307179586) * 20.0 + 100.0"
+)
+
 ORACLE = {
     "synth_customers": f"""SELECT c_custkey AS customer_id,
     {_pick(synth.FIRST_NAMES, "c_custkey", 1)} AS first_name,
@@ -150,7 +155,6 @@ ORACLE = {
     CAST({_FILLED} AS INTEGER) AS item_count,
     {_pick(synth.CITIES, "o_orderkey", 59)} AS city FROM orders""",
     "synth_numeric": f"""SELECT event_id AS id,
-    ROUND(SQRT(LN({_unit("event_id", 61)}) * -2.0)
-          * COS({_unit("event_id", 62)} * 6.283185307179586) * 20.0 + 100.0, 6) AS value,
+    {rounded_sql(_NORMAL)} AS value,
     {_pick(synth.CATEGORIES, "event_id", 63)} AS category FROM events""",
 }

@@ -1,9 +1,45 @@
-"""Access to the shared parquet tables."""
+"""Access to the shared parquet tables.
+
+The schemas are stated, so opening a table starts no job and reads no footer
+on the driver.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# The columns of the shared tables.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def rounded(value: Column | str, digits: int = 6) -> Column:
+    """Round for comparison with another engine, by plain arithmetic."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.floor(value * float(10**digits) + 0.5) / float(10**digits)
+
+
+def rounded_sql(value: str, digits: int = 6) -> str:
+    """The same rounding as SQL text."""
+    scale = f"CAST({10**digits} AS DOUBLE)"
+    return f"FLOOR(({value}) * {scale} + CAST(0.5 AS DOUBLE)) / {scale}"
