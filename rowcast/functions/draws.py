@@ -25,8 +25,7 @@ def draw(row_id: Column | str, stream: int) -> Column:
     row_id = F.col(row_id) if isinstance(row_id, str) else row_id
     prime = F.lit(PRIME).cast("bigint")
     start = (F.pmod(row_id.cast("bigint"), prime) * SPREAD + stream * STRIDE) % prime
-    bent = (start * start + start * TWIST + stream) % prime
-    return (bent * SPREAD + start) % prime
+    return (start * (start + TWIST) + stream) % prime * SPREAD % prime
 
 
 def below(row_id: Column | str, stream: int, size: int) -> Column:

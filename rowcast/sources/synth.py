@@ -110,24 +110,21 @@ def nested_orders(ids: DataFrame) -> DataFrame:
     spans = F.array(*[F.lit((high - low) * 100 + 1).cast("bigint") for _, low, high in PRODUCTS])
     slots = range(1, MAX_ITEMS + 1)
 
-    drawn = {}
-    for i in slots:
-        line = F.col("id") * 8 + i
-        drawn[f"_kind{i}"] = (draws.below(line, 51, len(PRODUCTS)) + 1).cast("int")
-        drawn[f"_qty{i}"] = draws.below(line, 52, 5) + 1
-        drawn[f"_price{i}"] = draws.draw(line, 53)
+    # One draw per item gives its product, quantity and price in turn.
+    drawn = {f"_item{i}": draws.draw(F.col("id") * 8 + i, 51) for i in slots}
     filled = (draws.below("id", 55, MAX_ITEMS) + 1).cast("int")
     drawn["_count"] = F.when(draws.below("id", 54, 100) < 5, 0).otherwise(filled)
 
+    def whole(value, divisor):
+        return F.call_function("div", value, F.lit(divisor).cast("bigint"))
+
     def item(i):
-        kind = F.col(f"_kind{i}")
-        span = F.element_at(spans, kind)
-        above = F.call_function(
-            "div", F.col(f"_price{i}") * span, F.lit(draws.PRIME).cast("bigint")
-        )
+        value = F.col(f"_item{i}")
+        kind = (value % len(PRODUCTS) + 1).cast("int")
+        above = whole(value, 5 * len(PRODUCTS)) % F.element_at(spans, kind)
         return F.struct(
             F.element_at(names, kind).alias("product"),
-            F.col(f"_qty{i}").alias("qty"),
+            (whole(value, len(PRODUCTS)) % 5 + 1).alias("qty"),
             ((F.element_at(lows, kind) + above) / 100.0).alias("price"),
         )
 

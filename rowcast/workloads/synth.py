@@ -73,8 +73,7 @@ QUERIES = {
 def _draw(key: str, stream: int) -> str:
     prime = draws.PRIME
     start = f"((({key}) % {prime} * {draws.SPREAD} + {stream * draws.STRIDE}) % {prime})"
-    bent = f"(({start} * {start} + {start} * {draws.TWIST} + {stream}) % {prime})"
-    return f"(({bent} * {draws.SPREAD} + {start}) % {prime})"
+    return f"(({start} * ({start} + {draws.TWIST}) + {stream}) % {prime} * {draws.SPREAD} % {prime})"
 
 
 def _below(key: str, stream: int, size: int | str) -> str:
@@ -101,7 +100,6 @@ def _clock(key: str, stream: int) -> str:
     return f"CAST('{synth.DAY} ' || {hour} || ':' || {minute} || ':00' AS TIMESTAMP)"
 
 
-_LINE = "o_orderkey * 8 + n.i"
 _CATALOGUE = ", ".join(
     f"({i + 1}, '{name}', {low * 100}, {(high - low) * 100 + 1})"
     for i, (name, low, high) in enumerate(synth.PRODUCTS)
@@ -142,12 +140,12 @@ ORACLE = {
     "synth_nested_orders": f"""WITH catalogue(position, product, low, span) AS (
         VALUES {_CATALOGUE}
     ), lines AS (
-        SELECT o_orderkey AS order_id, {_LINE} AS line
+        SELECT o_orderkey AS order_id, {_draw("o_orderkey * 8 + n.i", 51)} AS drawn
         FROM orders JOIN (SELECT UNNEST(RANGE(1, 6)) AS i) n ON n.i <= {_FILLED}
     )
-    SELECT order_id, product, {_below("line", 52, 5)} + 1 AS qty,
-    CAST(low + {_draw("line", 53)} * span // {draws.PRIME} AS DOUBLE) / 100.0 AS price
-    FROM lines JOIN catalogue ON position = {_below("line", 51, 8)} + 1""",
+    SELECT order_id, product, drawn // 8 % 5 + 1 AS qty,
+    CAST(low + drawn // 40 % span AS DOUBLE) / 100.0 AS price
+    FROM lines JOIN catalogue ON position = drawn % 8 + 1""",
     "synth_nested_heads": f"""SELECT o_orderkey AS order_id,
     {_below("o_orderkey", 56, 900_000)} + 100000 AS customer_id,
     {_pick(synth.FIRST_NAMES, "o_orderkey", 57)} AS name,
