@@ -12,6 +12,7 @@ from rowcast.workloads.tables import rounded, rounded_sql, table
 MEASURES = ["quantity", "price", "discount", "tax"]
 WIDTH = 64
 SEED = 7
+SCORE_DIGITS = 3
 
 
 def measured(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,14 +36,23 @@ def features_standardized(spark: SparkSession, folder: str) -> DataFrame:
     return scaled.withColumns({name: rounded(name) for name in MEASURES})
 
 
-def features_pca(spark: SparkSession, folder: str) -> DataFrame:
+def _scores(spark: SparkSession, folder: str) -> DataFrame:
     return features.principal_components(
         measured(spark, folder), MEASURES, 2, "l_orderkey", "l_linenumber", "target"
     )
 
 
+def features_pca(spark: SparkSession, folder: str) -> DataFrame:
+    return _scores(spark, folder).withColumns(
+        {name: rounded(name, SCORE_DIGITS) for name in ("pc1", "pc2")}
+    )
+
+
 def features_pca_classes(spark: SparkSession, folder: str) -> DataFrame:
-    return features.class_summary(features_pca(spark, folder), "target", ["pc1", "pc2"])
+    classes = features.class_summary(_scores(spark, folder), "target", ["pc1", "pc2"])
+    return classes.withColumns(
+        {name: rounded(name, SCORE_DIGITS) for name in ("mean_pc1", "mean_pc2")}
+    )
 
 
 def features_packed(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,13 +124,87 @@ WITH measured AS (
 )
 """
 
+_SCALED = (
+    ", stats AS (SELECT "
+    + ", ".join(f"AVG({m}) AS {m}_mean, STDDEV_POP({m}) AS {m}_dev" for m in MEASURES)
+    + " FROM measured), scaled AS (SELECT l_orderkey, l_linenumber, target, "
+    + ", ".join(f"({m} - {m}_mean) / {m}_dev AS {m}" for m in MEASURES)
+    + " FROM measured, stats)"
+)
+
+
+def _leading_vector(name: str, matrix: str) -> str:
+    """CTEs for the leading eigenvector of a symmetric matrix.
+
+    ``matrix`` yields one row of entries ``a00 .. a33``. Squaring it 40 times,
+    scaled to trace 1, leaves the outer product of the vector with itself. Its
+    largest column gives the vector, turned so that its largest entry is
+    positive.
+    """
+    size = range(len(MEASURES))
+    cells = [(i, j) for i in size for j in size]
+    trace = " + ".join(f"a{i}{i}" for i in size)
+    squares = ", ".join(
+        "(" + " + ".join(f"p.a{i}{k} * p.a{k}{j}" for k in size) + f") / p.scale AS a{i}{j}"
+        for i, j in cells
+    )
+    norm = " + ".join(f"p.a{i}{j} * p.a{i}{j}" for i, j in cells)
+    listed = ", ".join(f"a{i}{j}" for i, j in cells)
+    diagonal = [f"a{i}{i}" for i in size]
+
+    def column(j: int) -> str:
+        return ", ".join(f"a{i}{j} / SQRT(a{j}{j}) AS v{i}" for i in size)
+
+    picks = " UNION ALL ".join(
+        f"SELECT {column(j)} FROM {name}_last WHERE a{j}{j} = GREATEST({', '.join(diagonal)})"
+        for j in size
+    )
+    return f""", {name}_steps AS (
+        SELECT 0 AS step, {listed} FROM ({matrix})
+        UNION ALL
+        SELECT step + 1, {squares}
+        FROM (SELECT p.*, {norm} AS scale FROM {name}_steps p WHERE step < 40) p
+    ), {name}_last AS (
+        SELECT {", ".join(f"a{i}{j} / ({trace}) AS a{i}{j}" for i, j in cells)}
+        FROM {name}_steps WHERE step = 40
+    ), {name} AS (SELECT * FROM ({picks}) LIMIT 1)"""
+
+
+_SIZE = range(len(MEASURES))
+_CELLS = [(i, j) for i in _SIZE for j in _SIZE]
+_ENERGY = " + ".join(f"a{i}{j} * v{i} * v{j}" for i, j in _CELLS)
+_PCA = (
+    _MEASURED.replace("WITH", "WITH RECURSIVE", 1)
+    + _SCALED
+    + ", moments AS (SELECT "
+    + ", ".join(f"AVG({MEASURES[i]} * {MEASURES[j]}) AS a{i}{j}" for i, j in _CELLS)
+    + " FROM scaled)"
+    + _leading_vector("first", "SELECT * FROM moments")
+    + ", deflated AS (SELECT "
+    + ", ".join(f"a{i}{j} - ({_ENERGY}) * v{i} * v{j} AS a{i}{j}" for i, j in _CELLS)
+    + " FROM moments, first)"
+    + _leading_vector("second", "SELECT * FROM deflated")
+    + ", scores AS (SELECT l_orderkey, l_linenumber, target, "
+    + ", ".join(
+        " + ".join(f"{m} * {part}.v{i}" for i, m in enumerate(MEASURES)) + f" AS pc{n}"
+        for n, part in ((1, "first"), (2, "second"))
+    )
+    + " FROM scaled, first, second) "
+)
+
 ORACLE = {
+    "features_pca": _PCA
+    + f"""SELECT l_orderkey, l_linenumber, target, {rounded_sql("pc1", SCORE_DIGITS)} AS pc1,
+    {rounded_sql("pc2", SCORE_DIGITS)} AS pc2 FROM scores""",
+    "features_pca_classes": _PCA
+    + f"""SELECT target, COUNT(*) AS row_count,
+    {rounded_sql("AVG(pc1)", SCORE_DIGITS)} AS mean_pc1,
+    {rounded_sql("AVG(pc2)", SCORE_DIGITS)} AS mean_pc2 FROM scores GROUP BY target""",
     "features_standardized": _MEASURED
-    + ", stats AS (SELECT "
-    + ", ".join(f"AVG({m}) AS {m}_mean, STDDEV_POP({m}) AS {m}_dev" for m in MEASURES)
-    + " FROM measured) SELECT l_orderkey, l_linenumber, target, "
-    + ", ".join(f"{rounded_sql(f'({m} - {m}_mean) / {m}_dev')} AS {m}" for m in MEASURES)
-    + " FROM measured, stats",
+    + _SCALED
+    + " SELECT l_orderkey, l_linenumber, target, "
+    + ", ".join(f"{rounded_sql(m)} AS {m}" for m in MEASURES)
+    + " FROM scaled",
     "features_packed": """SELECT vec_id, label, CAST(n.i AS INTEGER) AS position,
     CAST(embedding[n.i + 1] AS DOUBLE) AS entry
     FROM embeddings JOIN (SELECT UNNEST(RANGE(64)) AS i) n ON n.i < LEN(embedding)""",

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from rowcast.functions import draws
 from rowcast.operators import nested
-from rowcast.sources import synth
+from rowcast.plans.scratch import scratch_path
+from rowcast.sources import files, synth
 from rowcast.workloads.tables import rounded, rounded_sql, table
 
 
@@ -36,8 +37,11 @@ def synth_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def synth_nested_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Generated as JSON lines unless already there, then read and exploded."""
+    path = scratch_path(spark, "synth-nested")
     made = synth.nested_orders(_ids(spark, folder, "orders", "o_orderkey"))
-    return nested.items(made)
+    files.write_if_absent(made, path, "json")
+    return nested.items(files.read_json(spark, path, nested.READ_SCHEMA))
 
 
 def synth_nested_heads(spark: SparkSession, folder: str) -> DataFrame:
