@@ -53,7 +53,7 @@ def joined(orders: DataFrame, customers: DataFrame, payments: DataFrame, **skew)
     """One row per order and payment, with customer columns and amounts."""
     placed = with_position(orders)
     known = join_dimension(placed, customers, "customer_id", "left", **skew)
-    return settle(known, payments, **skew).select(
+    return settle(known, payments, left_keys=orders, **skew).select(
         "order_id",
         "customer_id",
         "first_name",

@@ -5,20 +5,22 @@ Three ways, from cheap to heavy:
 * a build side whose size was checked is broadcast;
 * small inputs use a plain join, and AQE picks the physical strategy;
 * large inputs use ``skew_join``: heavy keys found by a mergeable sketch are
-  spread over a grid of salts, so no task receives one key whole.
+  spread over a grid of salts, so no task receives one key whole. Without
+  heavy keys it is a plain join again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowcast.plans.sizing import broadcastable, modest
 
 POSITION = "_position"
-# The sketch lists at most this many keys, which bounds what is broadcast.
+# The sketch lists at most this many keys, which bounds what the plan carries.
 MAX_HOT_KEYS = 1000
 SKETCH_ITEMS = 10_000
+MERGE_BRANCHES = 512
 
 
 def with_position(df: DataFrame) -> DataFrame:
@@ -35,17 +37,31 @@ def with_position(df: DataFrame) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys of ``df`` held by at least ``min_rows`` rows and 0.1 % of all.
 
-    One aggregate over one column: every task sends a sketch of fixed size.
-    The sketch lists only keys it has seen, and it cannot miss a key above
-    its error, which is smaller than the 0.1 % asked for.
+    One pass over one column: every task makes a sketch of fixed size, and the
+    sketches are merged in two levels, so no task receives one from every
+    other. The sketch lists only keys it has seen, and it cannot miss a key
+    above its error, which is smaller than the 0.1 % asked for.
     """
-    listed = (
+    branch = F.pmod(F.spark_partition_id(), F.lit(MERGE_BRANCHES)).alias("branch")
+    counted = (
         df.filter(F.col(key).isNotNull())
+        .groupBy(branch)
         .agg(
-            F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+            F.expr(f"approx_top_k_accumulate(`{key}`, {SKETCH_ITEMS})").alias("sketch"),
             F.count(F.lit(1)).alias("total"),
         )
-        .select("total", F.explode("top").alias("entry"))
+    )
+    # Grouping by a constant gives no row, and no empty sketch, for no input.
+    listed = (
+        counted.groupBy(F.lit(0).alias("all"))
+        .agg(
+            F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
+            F.sum("total").alias("total"),
+        )
+        .select(
+            "total",
+            F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("entry"),
+        )
     )
     floor = F.greatest(F.lit(min_rows).cast("bigint"), F.ceil(F.col("total") / MAX_HOT_KEYS))
     return listed.filter(F.col("entry.count") >= floor).select(F.col("entry.item").alias(key))
@@ -60,6 +76,7 @@ def skew_join(
     salts: int = 64,
     min_hot_rows: int = 1_000_000,
     force: bool = False,
+    left_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, key, how)`` for ``how`` in left, inner; exact.
 
@@ -69,48 +86,49 @@ def skew_join(
     join, a row repeated along the right axis may find some cells empty;
     those copies are dropped, which is safe because a key listed for the
     right side has at least one right row, so a real match remains.
+
+    ``left_keys`` is a cheaper table to look for hot left keys in, such as the
+    scan that ``left`` was looked up from. A key missed there costs balance
+    only, never rows.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     if not force and modest(left, right):
         return left.join(right, key, how)
 
+    # At most MAX_HOT_KEYS values each. They are fixed here once, so that both
+    # sides, and any task that runs again, agree on them.
+    sampled = left if left_keys is None else left_keys
+    hot_left = [row[0] for row in hot_keys(sampled, key, min_hot_rows).collect()]
+    hot_right = [row[0] for row in hot_keys(right, key, min_hot_rows).collect()]
+    if not hot_left and not hot_right:
+        return left.join(right, key, how)
+
     columns = [c for c in left.columns if c != key]
-    added = [c for c in right.columns if c != key]
-    hot = (
-        hot_keys(left, key, min_hot_rows)
-        .select(key, F.lit(1).alias("hot_left"), F.lit(0).alias("hot_right"))
-        .unionByName(
-            hot_keys(right, key, min_hot_rows).select(
-                key, F.lit(0).alias("hot_left"), F.lit(1).alias("hot_right")
-            )
-        )
-        .groupBy(key)
-        .agg(F.max("hot_left").alias("_hl"), F.max("hot_right").alias("_hr"))
-    )
+    added = [c for c in right.columns if c not in (key, POSITION)]
     axis = F.sequence(F.lit(0), F.lit(salts - 1))
     origin = F.array(F.lit(0))
 
-    def spread(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str):
-        flagged = with_position(df).join(F.broadcast(hot), key, "left")
+    def among(values: list) -> Column:
+        return F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
+
+    def spread(df: DataFrame, own: list, other: list, own_salt: str, other_salt: str):
         salt = F.pmod(F.col(POSITION), F.lit(salts)).cast("int")
-        alone = (F.coalesce(F.col(own), F.lit(0)) == 1) | F.col(key).isNull()
-        return flagged.withColumn(own_salt, F.when(alone, salt).otherwise(0)).withColumn(
-            other_salt,
-            F.explode(F.when(F.col(other) == 1, axis).otherwise(origin)),
+        alone = among(own) | F.col(key).isNull()
+        return (
+            with_position(df)
+            .withColumn(own_salt, F.when(alone, salt).otherwise(0))
+            .withColumn(other_salt, F.explode(F.when(among(other), axis).otherwise(origin)))
         )
 
-    lhs = spread(left, "_hl", "_hr", "_si", "_sj")
-    keep_position = POSITION in left.columns
-    lhs = lhs.select(key, *columns, "_si", "_sj", "_hr")
-    rhs = spread(right, "_hr", "_hl", "_sj", "_si").select(
-        key, *[c for c in added if c != POSITION], "_si", "_sj", F.lit(True).alias("_match")
+    lhs = spread(left, hot_left, hot_right, "_si", "_sj").select(key, *columns, "_si", "_sj")
+    rhs = spread(right, hot_right, hot_left, "_sj", "_si").select(
+        key, *added, "_si", "_sj", F.lit(True).alias("_match")
     )
     joined = lhs.join(rhs, [key, "_si", "_sj"], how)
     if how == "left":
-        joined = joined.filter((F.coalesce(F.col("_hr"), F.lit(0)) == 0) | F.col("_match"))
-    result = joined.drop("_si", "_sj", "_hr", "_match")
-    return result if keep_position else result.drop(POSITION)
+        joined = joined.filter(~among(hot_right) | F.col("_match"))
+    return joined.drop("_si", "_sj", "_match")
 
 
 def join_dimension(

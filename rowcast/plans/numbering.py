@@ -32,10 +32,12 @@ def shuffled_index(
         .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
     within = Window.partitionBy("_bucket").orderBy("_order", key)
+    # Starts are looked up after numbering, so they do not travel with the rows.
     return (
-        marked.join(F.broadcast(starts), "_bucket")
-        .withColumn(index, F.col("_start") + F.row_number().over(within) - 1)
-        .drop("_bucket", "_order", "_start")
+        marked.withColumn("_place", F.row_number().over(within))
+        .join(F.broadcast(starts), "_bucket")
+        .withColumn(index, F.col("_start") + F.col("_place") - 1)
+        .drop("_bucket", "_order", "_start", "_place")
     )
 
 

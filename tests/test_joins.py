@@ -100,3 +100,11 @@ def test_large_dimension_takes_the_skew_safe_way(spark, monkeypatch):
         for k in (5 if i % 3 == 0 else i % 150 for i in range(1000))
     )
     assert got == want
+
+
+def test_empty_sides(spark):
+    empty = spark.range(0).withColumnRenamed("id", "k")
+    full = spark.range(4).withColumnRenamed("id", "k")
+    left = skew_join(full, empty.withColumn("b", F.lit(1)), "k", "left", force=True, min_hot_rows=1)
+    assert sorted(map(tuple, left.collect())) == [(i, None) for i in range(4)]
+    assert skew_join(empty, full, "k", "inner", force=True, min_hot_rows=1).count() == 0
