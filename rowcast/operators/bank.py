@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rowcast.functions.exact import amount, units
 from rowcast.plans.joins import join_dimension
+from rowcast.sources import files
 
 # One pass with map-side combining: one row per customer leaves it.
 _SPEND = """
@@ -29,6 +30,26 @@ _SPEND = """
 """
 
 
+def read_sources(
+    spark: SparkSession, customers_csv: str, transactions_parquet: str, alerts_json: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customers, transactions and alerts from their three file formats."""
+    return (
+        files.read_csv(
+            spark,
+            customers_csv,
+            "customer_id int, first_name string, last_name string, segment string",
+        ),
+        files.read_parquet(spark, transactions_parquet),
+        files.read_json(
+            spark,
+            alerts_json,
+            "alert_id bigint, customer_id int, risk_score double, risk_class string, "
+            "created_at timestamp_ntz",
+        ),
+    )
+
+
 def risk_class(score: Column) -> Column:
     return F.when(score >= 0.8, "high").when(score >= 0.4, "medium").otherwise("low")
 

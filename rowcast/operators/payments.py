@@ -11,15 +11,31 @@ order without customer keeps its row with empty customer columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.functions.exact import amount, half_up, units
 from rowcast.plans.joins import join_dimension, skew_join, with_position
+from rowcast.sources import files
 
 MEASURES = ("order", "paid", "unpaid")
 
 
+def read_sources(
+    spark: SparkSession, customers_csv: str, orders_parquet: str, payments_json: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders, customers and payments from their three file formats."""
+    return (
+        files.read_parquet(spark, orders_parquet),
+        files.read_csv(
+            spark,
+            customers_csv,
+            "customer_id int, first_name string, last_name string, city string",
+        ),
+        files.read_json(spark, payments_json, "order_id bigint, paid_ratio double"),
+    )
+
+
 def payment_status(ratio: Column) -> Column:
     return (
         F.when(ratio == 0.0, "UNPAID").when(ratio == 1.0, "FULLY_PAID").otherwise("PARTIALLY_PAID")

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.operators import bank
+from rowcast.plans.scratch import scratch_path
+from rowcast.sources import files
 from rowcast.sources.synth import COUNTRIES
 from rowcast.workloads.tables import table
 
@@ -78,12 +80,25 @@ def bank_view_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bank_three_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers through CSV, transactions through Parquet, alerts through JSON."""
+    paths = [scratch_path(spark, name) for name in ("customers", "transactions", "alerts")]
+    files.write_csv(customers(spark, folder), paths[0])
+    files.write_parquet(transactions(spark, folder), paths[1])
+    files.write_json(alerts(spark, folder), paths[2])
+    people, moves, warnings = bank.read_sources(spark, *paths)
+    return bank.high_risk(spark, people, moves, warnings).withColumn(
+        "customer_id", F.col("customer_id").cast("bigint")
+    )
+
+
 QUERIES = {
     "bank_top_customers": bank_top_customers,
     "bank_high_risk": bank_high_risk,
     "bank_countries": bank_countries,
     "bank_risk_groups": bank_risk_groups,
     "bank_view_counts": bank_view_counts,
+    "bank_three_sources": bank_three_sources,
 }
 
 _VIEWS = """
@@ -145,3 +160,5 @@ ORACLE = {
     UNION ALL SELECT segment, COUNT(*) FROM customers GROUP BY segment
     UNION ALL SELECT channel, COUNT(*) FROM transactions GROUP BY channel""",
 }
+# The same report, whichever way the tables came in.
+ORACLE["bank_three_sources"] = ORACLE["bank_high_risk"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.operators import basics
+from rowcast.sources import files
 from rowcast.workloads.tables import rounded, rounded_sql, table
 
 
@@ -27,6 +28,13 @@ def basic_group_avg(spark: SparkSession, folder: str) -> DataFrame:
     return means.select("category", rounded("avg(amount)").alias("avg_amount"))
 
 
+def basic_to_pandas(spark: SparkSession, folder: str) -> DataFrame:
+    """A small grouped result taken to pandas and back; a large one is refused."""
+    return spark.createDataFrame(
+        files.to_pandas(basic_group_avg(spark, folder)), "category string, avg_amount double"
+    )
+
+
 def basic_mean(spark: SparkSession, folder: str) -> DataFrame:
     mean = basics.average(_orders(spark, folder), "amount")
     return mean.select(rounded("avg(amount)").alias("avg_amount"))
@@ -70,6 +78,7 @@ QUERIES = {
     "basic_filter": basic_filter,
     "basic_group_avg": basic_group_avg,
     "basic_mean": basic_mean,
+    "basic_to_pandas": basic_to_pandas,
     "basic_casts": basic_casts,
     "basic_head": basic_head,
     "basic_retitled": basic_retitled,
@@ -115,3 +124,4 @@ ORACLE = {
         for name in _LINEITEM
     ),
 }
+ORACLE["basic_to_pandas"] = ORACLE["basic_group_avg"]

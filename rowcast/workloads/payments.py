@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.operators import payments
+from rowcast.plans.scratch import scratch_path
+from rowcast.sources import files
 from rowcast.workloads.tables import table
 
 
@@ -59,12 +61,23 @@ def payments_top_cities(spark: SparkSession, folder: str) -> DataFrame:
     return payments.top_cities(*sources(spark, folder))
 
 
+def payments_three_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers through CSV, orders through Parquet, payments through JSON, then the totals."""
+    orders, customers, paid = sources(spark, folder)
+    paths = [scratch_path(spark, name) for name in ("customers", "orders", "payments")]
+    files.write_csv(customers, paths[0])
+    files.write_parquet(orders, paths[1])
+    files.write_json(paid, paths[2])
+    return payments.top_cities(*payments.read_sources(spark, *paths))
+
+
 QUERIES = {
     "payments_joined": payments_joined,
     "payments_totals": payments_totals,
     "payments_by_status": payments_by_status,
     "payments_top_customers": payments_top_customers,
     "payments_top_cities": payments_top_cities,
+    "payments_three_sources": payments_three_sources,
 }
 
 _FULL = """
@@ -119,3 +132,5 @@ ORACLE = {
     + f"""SELECT city, {_SUMS}, COUNT(*) AS orders_count FROM full_df GROUP BY city
     ORDER BY total_order_amount DESC, city NULLS FIRST LIMIT 10""",
 }
+# The same report, whichever way the tables came in.
+ORACLE["payments_three_sources"] = ORACLE["payments_top_cities"]
