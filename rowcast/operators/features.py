@@ -30,34 +30,47 @@ def _one_row(stats: DataFrame) -> Column:
     return stats.select(F.struct(*stats.columns).alias("row")).scalar()
 
 
-def standardized(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace ``columns`` by their distance from the mean in population deviations.
-
-    One aggregation of fixed size, then one projection; rows do not move. A
-    constant column becomes zeros.
-    """
-    stats = _one_row(
-        df.agg(
-            *[F.avg(name).alias(f"{name}_mean") for name in columns],
-            *[F.stddev_pop(name).alias(f"{name}_dev") for name in columns],
-        )
+def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Means and population deviations of ``columns`` in one row; 1 for a deviation of 0."""
+    deviations = {name: F.stddev_pop(name) for name in columns}
+    return df.agg(
+        *[F.avg(name).alias(f"{name}_mean") for name in columns],
+        *[
+            F.when(deviation == 0, 1.0).otherwise(deviation).alias(f"{name}_dev")
+            for name, deviation in deviations.items()
+        ],
     )
+
+
+def _number(value: Column | float | None) -> Column:
+    return value if isinstance(value, Column) else F.lit(value).cast("double")
+
+
+def _centred(df: DataFrame, columns: Sequence[str], stats) -> DataFrame:
     return df.withColumns(
         {
-            name: (F.col(name) - stats[f"{name}_mean"])
-            / F.when(stats[f"{name}_dev"] == 0, 1.0).otherwise(stats[f"{name}_dev"])
+            name: (F.col(name) - _number(stats[f"{name}_mean"])) / _number(stats[f"{name}_dev"])
             for name in columns
         }
     )
 
 
-def components(df: DataFrame, columns: Sequence[str], count: int = 2):
+def standardized(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace ``columns`` by their distance from the mean in population deviations.
+
+    One aggregation of fixed size, then one projection; rows do not move. A
+    constant column becomes zeros.
+    """
+    return _centred(df, columns, _one_row(moments(df, columns)))
+
+
+def components(scaled: DataFrame, columns: Sequence[str], count: int = 2):
     """Loadings (columns by components) and explained variance of standardized data.
 
     Every loading vector is turned so that its largest entry is positive.
     """
     packed = VectorAssembler(inputCols=list(columns), outputCol="features").transform(
-        standardized(df, columns).select(*columns)
+        scaled.select(*columns)
     )
     model = PCA(k=count, inputCol="features", outputCol="scores").fit(packed)
     loadings = model.pc.toArray()
@@ -74,8 +87,9 @@ def principal_components(
     The loadings are a small matrix; scoring is plain arithmetic in the scan's
     own stage, so the label stays with its row.
     """
-    loadings, _ = components(df, columns, count)
-    scaled = standardized(df, columns)
+    # One row of numbers, shared by fitting and scoring.
+    scaled = _centred(df, columns, moments(df, columns).first().asDict())
+    loadings, _ = components(scaled, columns, count)
     scores = []
     for j in range(count):
         terms = [F.col(name) * float(loadings[i, j]) for i, name in enumerate(columns)]

@@ -28,6 +28,15 @@ def _typed(field: StructField) -> Column:
     return column.try_cast(field.dataType).alias(field.name)
 
 
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Give heavy per-row work all slots when a scan has fewer tasks than that.
+
+    A table of many files comes back unchanged, without a shuffle.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
     """CSV with a header: columns chosen by header name and cast.
 
@@ -53,13 +62,11 @@ def read_numeric_gzip(
     """Gzipped CSV of a label and ``features`` numbers.
 
     A gzip file is one task however large it is, so rows are spread out right
-    after the scan when there are fewer files than slots.
+    after the scan when there are few of them.
     """
     names = ["label"] + [f"f{i}" for i in range(features)]
     schema = StructType([StructField(name, DoubleType()) for name in names])
-    rows = spark.read.schema(schema).csv(path)
-    wanted = partitions or spark.sparkContext.defaultParallelism
-    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
+    return spread(spark.read.schema(schema).csv(path), partitions)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

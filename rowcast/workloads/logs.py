@@ -47,7 +47,8 @@ def app_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("[2025-11-27 10:"), F.lpad((key % 60).cast("string"), 2, "0"), F.lit(":00] "),
         level, F.lit(" "),
     )
-    return table(spark, folder, "documents").select(
+    texts = files.spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return texts.select(
         F.explode(F.transform(F.split("text", "\n", -1), lambda part: F.concat(head, part))).alias(
             "value"
         )

@@ -39,7 +39,7 @@ def test_components_match_an_eigen_decomposition(spark):
     order = values.argsort()[::-1][:2]
     vectors = vectors[:, order]
     vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(0), range(2)])
-    loadings, explained = features.components(table, COLUMNS, 2)
+    loadings, explained = features.components(features.standardized(table, COLUMNS), COLUMNS, 2)
     assert np.allclose(loadings, vectors)
     assert np.allclose(explained, values[order] / values.sum())
     scores = features.principal_components(table, COLUMNS, 2, "id", "target").orderBy("id")
