@@ -15,10 +15,11 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the scratch root, removed when the application ends."""
-    path = f"{scratch_root(spark)}/rowcast/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.deleteOnExit(target)
-    return path
+    """A path that does not exist yet, in a folder removed when the application ends."""
+    parent = f"{scratch_root(spark)}/rowcast/{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Only an existing folder can be marked for removal.
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{parent}/{name}"

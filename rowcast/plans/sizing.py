@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 
 # A build side is broadcast only while its estimate stays under this.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Stored bytes say little about a table of repeated rows, so rows are limited as well.
+BROADCAST_ROWS = 2_000_000
 # Inputs below this fit a few tasks whatever their keys look like.
 SKEW_FLOOR_BYTES = 8 * 1024 * 1024 * 1024
 
@@ -36,10 +38,16 @@ def input_bytes(df: DataFrame) -> int | None:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def broadcastable(df: DataFrame, limit: int | None = None) -> bool:
-    """True only when an estimate of the output exists and is small."""
+def broadcastable(df: DataFrame) -> bool:
+    """True only for an output estimated small and counted short.
+
+    Rows are counted only after the estimate has passed, so the count reads
+    little; for Parquet it reads footers.
+    """
     estimate = plan_bytes(df)
-    return estimate is not None and estimate <= (BROADCAST_BYTES if limit is None else limit)
+    if estimate is None or estimate > BROADCAST_BYTES:
+        return False
+    return df.count() <= BROADCAST_ROWS
 
 
 def modest(*frames: DataFrame) -> bool:

@@ -4,6 +4,8 @@ import random
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rowcast.plans.joins import hot_keys, join_dimension, skew_join, with_position
@@ -108,3 +110,32 @@ def test_empty_sides(spark):
     left = skew_join(full, empty.withColumn("b", F.lit(1)), "k", "left", force=True, min_hot_rows=1)
     assert sorted(map(tuple, left.collect())) == [(i, None) for i in range(4)]
     assert skew_join(empty, full, "k", "inner", force=True, min_hot_rows=1).count() == 0
+
+
+def test_many_rows_in_few_bytes_are_not_broadcast(spark, tmp_path, monkeypatch):
+    import rowcast.plans.sizing as sizing
+
+    spark.range(5000).select(F.lit(1).alias("k")).write.parquet(str(tmp_path / "d"))
+    dimension = spark.read.parquet(str(tmp_path / "d"))
+    assert sizing.broadcastable(dimension)
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 4999)
+    assert not sizing.broadcastable(dimension)
+
+
+def test_without_hot_keys_the_join_is_plain(spark):
+    left = spark.range(100).withColumnRenamed("id", "k")
+    plan = skew_join(left, left.withColumn("b", F.lit(1)), "k", "left", force=True)
+    assert "_si" not in plan._jdf.queryExecution().analyzed().toString()
+    assert plan.count() == 100
+
+
+ROWS = st.lists(st.tuples(st.sampled_from([None, 0, 0, 0, 1, 2, 3]), st.sampled_from("ab")), max_size=30)
+
+
+@settings(max_examples=12, deadline=None)
+@given(ROWS, ROWS, st.sampled_from(["left", "inner"]), st.integers(1, 6))
+def test_skew_join_on_random_rows(spark, left, right, how, min_hot_rows):
+    lhs = spark.createDataFrame(left, "k bigint, a string")
+    rhs = spark.createDataFrame(right, "k bigint, b string")
+    result = skew_join(lhs, rhs, "k", how, salts=3, min_hot_rows=min_hot_rows, force=True)
+    assert Counter(map(tuple, result.collect())) == brute(left, right, how)

@@ -156,3 +156,11 @@ def test_generated_nested_orders(spark):
         assert low <= row.price <= high and 1 <= row.qty <= 5
         seen[row["product"], row.qty] += 1
     assert len(seen) == 40 and min(seen.values()) > 0.6 * max(seen.values())
+
+
+def test_scratch_folder_is_marked_for_removal(spark):
+    import os
+
+    path = scratch_path(spark, "gone")
+    parent = os.path.dirname(path.removeprefix("file:"))
+    assert os.path.isdir(parent) and not os.path.exists(path.removeprefix("file:"))
