@@ -1,30 +1,56 @@
-"""Global row numbers and leading slices without one task seeing every row."""
+"""Global row numbers and leading slices without one task seeing every row.
+
+Rows should come from a scan, or a row-wise transformation of one: plans here
+read them more than once and rely on the same rows in the same places.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowcast.plans.joins import POSITION, hot_keys, with_position
 from rowcast.plans.sizing import modest
 
 CUT_ERROR = 0.0001
+MERGE_BRANCHES = 256
 
 
 def shuffled_index(
-    df: DataFrame, key: str, seed: int, index: str = "row_index", digits: int = 4
+    df: DataFrame,
+    key: str,
+    seed: int,
+    index: str = "row_index",
+    *,
+    digits: int = 4,
+    salts: int = 64,
+    min_hot_rows: int = 1_000_000,
+    force: bool = False,
 ) -> DataFrame:
-    """Number rows 0, 1, 2, ... in a seeded random order of a unique ``key``.
+    """Number rows 0, 1, 2, ... in a seeded random order of ``key``.
 
     The order is that of ``md5(seed:key)``. Its leading hex digits cut the
     rows into ``16 ** digits`` even buckets; bucket sizes are counted first
-    and summed up, so each bucket is then numbered on its own.
+    and summed up, so each bucket is then numbered on its own. Copies of one
+    key share a bucket: on large inputs a key with very many rows is taken
+    out of it and spread over ``salts`` buckets that follow right after.
     """
     if index in df.columns:
         raise ValueError(f"column {index} already exists")
-    marked = df.withColumn(
-        "_order", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    ).withColumn("_bucket", F.substring("_order", 1, digits))
-    # At most 16 ** digits rows, whatever the table size.
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    marked = df.withColumn("_order", order)
+    bucket = F.substring("_order", 1, digits)
+    hot = []
+    if force or not modest(df):
+        hot = [row[0] for row in hot_keys(df, key, min_hot_rows).collect()]
+    if hot:
+        salt = F.format_string("~%s~%08d", "_order", F.pmod(F.col(POSITION), F.lit(salts)))
+        spot = F.when(F.col(key).isin(hot), F.concat(bucket, salt)).otherwise(bucket)
+        marked = with_position(marked).withColumn("_bucket", spot).drop(POSITION)
+    else:
+        marked = marked.withColumn("_bucket", bucket)
+
+    # At most 16 ** digits rows, and salts for each hot key, whatever the table size.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         marked.groupBy("_bucket")
@@ -45,21 +71,24 @@ def leading_rows(df: DataFrame, key: str, count: int, *, force: bool = False) ->
     """A superset of the first ``count`` rows by numeric ``key``, kept small.
 
     A top-k over very many partitions gathers up to ``count`` rows from each
-    of them in one task. On large inputs a quantile sketch gives a key that is
-    certain to lie past the wanted rows, and everything above it is left out
-    by a pushed-down filter before any sorting.
+    of them in one task. On large inputs two steps come first. A quantile
+    sketch gives a key certain to lie at or past the wanted rows, and a
+    pushed-down filter drops everything above it. Many rows can share that
+    key, so groups of partitions then keep their own first ``count`` rows.
     """
     if not force and modest(df):
         return df
     total = df.filter(F.col(key).isNotNull()).count()
     share = count / total + 2 * CUT_ERROR if total else 1.0
-    if share >= 1.0:
-        return df
-    cut = df.approxQuantile(key, [share], CUT_ERROR)[0]
-    return df.filter(F.col(key) <= F.lit(cut))
+    if share < 1.0:
+        df = df.filter(F.col(key) <= F.lit(df.approxQuantile(key, [share], CUT_ERROR)[0]))
+    branch = F.pmod(F.spark_partition_id(), F.lit(MERGE_BRANCHES))
+    rank = F.row_number().over(Window.partitionBy("_branch").orderBy(key))
+    ranked = df.withColumn("_branch", branch).withColumn("_rank", rank)
+    return ranked.filter(F.col("_rank") <= count).drop("_branch", "_rank")
 
 
 def take_rows(df: DataFrame, key: str, count: int, skip: int = 0, **options) -> DataFrame:
-    """Rows ``skip .. skip + count`` in the order of a unique numeric ``key``."""
+    """Rows ``skip .. skip + count`` in the order of a numeric ``key`` without NULLs."""
     ordered = leading_rows(df, key, skip + count, **options).orderBy(key)
     return (ordered.offset(skip) if skip else ordered).limit(count)

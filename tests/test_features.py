@@ -149,3 +149,26 @@ def test_scores_equal_the_library_evaluator(spark):
     for metric, value in (("logLoss", row.log_loss), ("accuracy", row.accuracy)):
         evaluator = MulticlassClassificationEvaluator(metricName=metric)
         assert value == pytest.approx(evaluator.evaluate(predicted))
+
+
+def test_copies_of_one_key_are_numbered_without_gaps(spark):
+    """A third of the rows are copies of one row."""
+    table = spark.range(3000, numPartitions=5).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("id")
+    )
+    indexed = shuffled_index(table, "id", 1, digits=2, salts=8, min_hot_rows=100, force=True)
+    rows = indexed.orderBy("row_index").collect()
+    assert [r.row_index for r in rows] == list(range(3000))
+    assert sorted(r.id for r in rows) == sorted(r.id for r in table.collect())
+    plain = shuffled_index(table, "id", 1, digits=2, force=True)
+    assert sorted(r.row_index for r in plain.collect()) == list(range(3000))
+
+
+def test_leading_rows_with_a_shared_first_key(spark):
+    table = spark.range(20_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("id")
+    )
+    cut = leading_rows(table, "id", 50, force=True)
+    assert cut.count() == 8 * 50
+    assert "WindowGroupLimit" in cut._jdf.queryExecution().executedPlan().toString()
+    assert [r.id for r in take_rows(table, "id", 50, force=True).collect()] == [0] * 50
