@@ -131,7 +131,9 @@ def high_risk(
         LIMIT :count
         """,
         args={"count": count},
-        matched=join_dimension(flagged, profiles, "customer_id", "inner", **skew),
+        matched=join_dimension(
+            flagged, profiles, "customer_id", "inner", right_keys=customers, **skew
+        ),
     )
 
 

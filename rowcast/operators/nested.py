@@ -41,7 +41,7 @@ def _line_units():
 def _valued(orders: DataFrame, **skew) -> DataFrame:
     sums = items(orders).groupBy("order_id").agg(F.sum(_line_units()).alias("value_units"))
     return skew_join(
-        orders.select("order_id", "city"), sums, "order_id", "left", **skew
+        orders.select("order_id", "city"), sums, "order_id", "left", right_unique=True, **skew
     ).withColumn("value_units", F.coalesce("value_units", F.lit(0).cast("bigint")))
 
 

@@ -77,6 +77,8 @@ def skew_join(
     min_hot_rows: int = 1_000_000,
     force: bool = False,
     left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
+    right_unique: bool = False,
 ) -> DataFrame:
     """``left.join(right, key, how)`` for ``how`` in left, inner; exact.
 
@@ -87,9 +89,11 @@ def skew_join(
     those copies are dropped, which is safe because a key listed for the
     right side has at least one right row, so a real match remains.
 
-    ``left_keys`` is a cheaper table to look for hot left keys in, such as the
-    scan that ``left`` was looked up from. A key missed there costs balance
-    only, never rows.
+    ``left_keys`` and ``right_keys`` are cheaper tables to look for hot keys
+    in, such as the scan a side was derived from; each must hold only keys of
+    that side. A key missed there costs balance only, never rows.
+    ``right_unique`` says that the right side holds every key once, as after
+    a grouping by it, so that there is nothing to look for.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
@@ -98,9 +102,11 @@ def skew_join(
 
     # At most MAX_HOT_KEYS values each. They are fixed here once, so that both
     # sides, and any task that runs again, agree on them.
-    sampled = left if left_keys is None else left_keys
-    hot_left = [row[0] for row in hot_keys(sampled, key, min_hot_rows).collect()]
-    hot_right = [row[0] for row in hot_keys(right, key, min_hot_rows).collect()]
+    def heavy(df: DataFrame) -> list:
+        return [row[0] for row in hot_keys(df, key, min_hot_rows).collect()]
+
+    hot_left = heavy(left if left_keys is None else left_keys)
+    hot_right = [] if right_unique else heavy(right if right_keys is None else right_keys)
     if not hot_left and not hot_right:
         return left.join(right, key, how)
 
