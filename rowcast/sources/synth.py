@@ -110,24 +110,35 @@ def nested_orders(ids: DataFrame) -> DataFrame:
     spans = F.array(*[F.lit((high - low) * 100 + 1).cast("bigint") for _, low, high in PRODUCTS])
     slots = range(1, MAX_ITEMS + 1)
 
-    # One draw per item gives its product, quantity and price in turn.
+    # One draw per item gives its product, quantity and price in turn, and one
+    # per order its names, city and item count. Fewer draws keep the generated
+    # method short enough to be compiled at run time.
     drawn = {f"_item{i}": draws.draw(F.col("id") * 8 + i, 51) for i in slots}
-    filled = (draws.below("id", 55, MAX_ITEMS) + 1).cast("int")
-    drawn["_count"] = F.when(draws.below("id", 54, 100) < 5, 0).otherwise(filled)
+    drawn["_head"] = draws.draw("id", 55)
+    head = F.col("_head")
 
     def whole(value, divisor):
         return F.call_function("div", value, F.lit(divisor).cast("bigint"))
 
     def item(i):
         value = F.col(f"_item{i}")
-        kind = (value % len(PRODUCTS) + 1).cast("int")
-        above = whole(value, 5 * len(PRODUCTS)) % F.element_at(spans, kind)
+        kind = (value % len(PRODUCTS)).cast("int")
+        above = whole(value, 5 * len(PRODUCTS)) % F.get(spans, kind)
         return F.struct(
-            F.element_at(names, kind).alias("product"),
+            F.get(names, kind).alias("product"),
             (whole(value, len(PRODUCTS)) % 5 + 1).alias("qty"),
-            ((F.element_at(lows, kind) + above) / 100.0).alias("price"),
+            ((F.get(lows, kind) + above) / 100.0).alias("price"),
         )
 
+    def listed(values, before):
+        position = whole(head, before) % len(values)
+        return F.get(F.array(*[F.lit(value) for value in values]), position.cast("int"))
+
+    cities_from = len(FIRST_NAMES) * len(LAST_NAMES)
+    count_from = cities_from * len(CITIES)
+    filled = whole(head, count_from) % MAX_ITEMS + 1
+    count = F.when(whole(head, count_from * MAX_ITEMS) % 20 == 0, 0).otherwise(filled)
+
     return (
         ids.select("id")
         .withColumns(drawn)
@@ -135,11 +146,11 @@ def nested_orders(ids: DataFrame) -> DataFrame:
             F.col("id").alias("order_id"),
             F.struct(
                 (draws.below("id", 56, 900_000) + 100_000).alias("id"),
-                draws.pick(FIRST_NAMES, "id", 57).alias("name"),
-                draws.pick(LAST_NAMES, "id", 58).alias("surname"),
+                listed(FIRST_NAMES, 1).alias("name"),
+                listed(LAST_NAMES, len(FIRST_NAMES)).alias("surname"),
             ).alias("customer"),
-            F.slice(F.array(*[item(i) for i in slots]), F.lit(1), F.col("_count")).alias("items"),
-            draws.pick(CITIES, "id", 59).alias("city"),
+            F.slice(F.array(*[item(i) for i in slots]), F.lit(1), count.cast("int")).alias("items"),
+            listed(CITIES, cities_from).alias("city"),
         )
     )
 

@@ -108,7 +108,15 @@ _CATALOGUE = ", ".join(
     f"({i + 1}, '{name}', {low * 100}, {(high - low) * 100 + 1})"
     for i, (name, low, high) in enumerate(synth.PRODUCTS)
 )
-_FILLED = f"CASE WHEN {_below('o_orderkey', 54, 100)} < 5 THEN 0 ELSE {_below('o_orderkey', 55, 5)} + 1 END"
+_HEAD = _draw("o_orderkey", 55)
+_FILLED = f"CASE WHEN {_HEAD} // 2240 % 20 = 0 THEN 0 ELSE {_HEAD} // 448 % 5 + 1 END"
+
+
+def _listed(values: list[str], before: int) -> str:
+    names = ", ".join(f"'{value}'" for value in values)
+    return f"([{names}])[{_HEAD} // {before} % {len(values)} + 1]"
+
+
 
 _NORMAL = (
     f"SQRT(LN({_unit('event_id', 61)}) * -2.0) "
@@ -152,10 +160,10 @@ ORACLE = {
     FROM lines JOIN catalogue ON position = drawn % 8 + 1""",
     "synth_nested_heads": f"""SELECT o_orderkey AS order_id,
     {_below("o_orderkey", 56, 900_000)} + 100000 AS customer_id,
-    {_pick(synth.FIRST_NAMES, "o_orderkey", 57)} AS name,
-    {_pick(synth.LAST_NAMES, "o_orderkey", 58)} AS surname,
+    {_listed(synth.FIRST_NAMES, 1)} AS name,
+    {_listed(synth.LAST_NAMES, 8)} AS surname,
     CAST({_FILLED} AS INTEGER) AS item_count,
-    {_pick(synth.CITIES, "o_orderkey", 59)} AS city FROM orders""",
+    {_listed(synth.CITIES, 56)} AS city FROM orders""",
     "synth_numeric": f"""SELECT event_id AS id,
     {rounded_sql(_NORMAL)} AS value,
     {_pick(synth.CATEGORIES, "event_id", 63)} AS category FROM events""",
