@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowcast.llm.common import table
+from rowcast.llm import decontaminate
 from rowcast.llm.near_dedup import near_duplicates
+from rowcast.llm.pseudonyms import pseudonymized
+
+# The key of the example queries; a user passes a secret of their own.
+EXAMPLE_KEY = "example-key"
+
+
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds three quarters of a benchmark item, with the item."""
+    return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -13,8 +23,18 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text with pseudonyms, and how many values of each kind it had."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonymized(docs, EXAMPLE_KEY)
+
+
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op9_pii_pseudonyms": op9_pii_pseudonyms,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_benchmark_decontamination": decontaminate.ORACLE,
+}
