@@ -7,12 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from rowcast.llm.common import table
 from rowcast.llm import decontaminate
 from rowcast.llm.near_dedup import near_duplicates
+from rowcast.llm.packing import pack
 from rowcast.llm.pseudonyms import pseudonymized
+from rowcast.llm.tokens import vocabulary
 
 # The key of the example queries; a user passes a secret of their own.
 EXAMPLE_KEY = "example-key"
 
 
+def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence."""
+    return pack(table(spark, folder, "documents"), vocabulary())
+
+
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds three quarters of a benchmark item, with the item."""
     return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -30,6 +37,7 @@ def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_harmonic_packing": op1_harmonic_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
