@@ -12,10 +12,14 @@ least ``matches`` tokens are candidates, found without listing all pairs:
   them (prefix): two classes sharing ``matches`` tokens meet under one of
   these. The most frequent lists, such as those of a line that many documents
   share, are never merged but looked up in the signatures (skip);
-* each list first compares its members with its first member; a group of
-  thousands of near copies so becomes one component at linear cost. Only
-  lists that still hold several components are compared further, across
-  components, in blocks of bounded size.
+* each list is compared with its hub, the member whose tokens are shared
+  most, usually the text that the others were copied from. A class so gets
+  one hub, the one it meets most often, and a group of thousands of near
+  copies becomes one component at linear cost;
+* what the hub did not link is compared exactly with all others of the same
+  hub, in blocks of bounded size that return only links between components;
+* lists that still hold several components are compared across hubs, long
+  ones in blocks, each pair in one list only.
 
 Every candidate is confirmed on the full sets before it links. With 64
 coordinates and 32 matches a pair of similarity 0.75 is missed with a
@@ -43,7 +47,7 @@ MATCHES = 32
 SHARE = 75
 # Lists up to this length pair their members in the join; longer ones go by blocks.
 SHORT_LIST = 32
-BLOCK = 512
+BLOCK = 384
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -103,7 +107,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
 
 
 def _postings(classes: DataFrame, matches: int) -> DataFrame:
-    """``(token, id)``: every class under its rarest shared tokens."""
+    """``(id, token, weight, places)``: every class under its rarest shared tokens.
+
+    ``weight`` says how often the class's tokens are shared in all, ``places``
+    has a bit for each coordinate of the prefix.
+    """
     place = F.shiftleft(F.col("pos").cast("long"), 32)
     value = F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     tokens = classes.select("id", F.posexplode("signature")).select(place.bitwiseOR(value).alias("token"), "id")
@@ -114,49 +122,133 @@ def _postings(classes: DataFrame, matches: int) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("many", "token"))).alias("own"))
         .filter(F.size("own") >= matches)
     )
+    weight = F.expr("aggregate(own, 0L, (s, x) -> s + x.many)")
     prefix = F.slice("own", 1, F.size("own") - (matches - 1))
-    return ranked.select("id", F.explode(prefix).alias("one")).select("id", F.col("one.token").alias("token"))
+    ranked = ranked.select("id", weight.alias("weight"), prefix.alias("prefix"))
+    places = F.expr("aggregate(prefix, 0L, (s, x) -> s | shiftleft(1L, cast(shiftright(x.token, 32) AS int)))")
+    return ranked.select("id", "weight", places.alias("places"), F.explode("prefix").alias("one")).select(
+        "id", "weight", "places", F.col("one.token").alias("token")
+    )
+
+
+def _joined_by(links, parts: dict) -> list[tuple[int, int]]:
+    """Of ``(a, part of a, b, part of b)``, those that join parts not joined yet."""
+    root = dict(parts)
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    kept = []
+    for a, part_a, b, part_b in links:
+        one, two = find(part_a), find(part_b)
+        if one != two:
+            root[one] = two
+            kept.append((min(a, b), max(a, b)))
+    return kept
+
+
+def _beside_hub(members: DataFrame, sets: DataFrame, share: int, block: int) -> DataFrame:
+    """Links between components among classes of one hub: ``members(id, hub, component)``.
+
+    Members outside the hub's component are dealt into blocks and compared
+    with every block; members inside it only with those outside.
+    """
+    center = members.filter("id = hub").select("hub", F.col("component").alias("center"))
+    placed = members.join(center, "hub").join(sets.select("id", "shingles"), "id")
+    placed = stored(placed.withColumn("inner", F.col("component") == F.col("center")), "placed")
+    size = F.size("shingles").cast("long")
+    room = lambda side: F.greatest(
+        F.ceil(F.count(F.when(side, 1)) / block), F.ceil(F.coalesce(F.sum(F.when(side, size)), F.lit(0)) / (block * 4096))
+    ).cast("int")
+    blocks = placed.groupBy("hub").agg(room(~F.col("inner")).alias("outer_blocks"), room(F.col("inner")).alias("inner_blocks"))
+    dealt = placed.join(blocks.filter("outer_blocks > 0"), "hub")
+    outer = F.pmod(F.xxhash64("id"), F.greatest("outer_blocks", F.lit(1))).cast("int")
+    inner = F.col("outer_blocks") + F.pmod(F.xxhash64("id"), F.greatest("inner_blocks", F.lit(1))).cast("int")
+    dealt = dealt.withColumn("own", F.when(F.col("inner"), inner).otherwise(outer))
+    last = F.when(F.col("inner"), F.col("outer_blocks")).otherwise(F.col("outer_blocks") + F.col("inner_blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last - 1))).select(
+        "hub", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "own", "id", "component", "shingles",
+    )
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        low = group[group["own"] == group["low"]]
+        high = group[group["own"] == group["high"]]
+        if not len(low) or not len(high):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        sizes = high["shingles"].map(len).to_numpy()
+        every = np.concatenate(high["shingles"].to_list())
+        owner = np.repeat(np.arange(len(high)), sizes)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
+        ids, parts = high["id"].to_numpy(), high["component"].to_numpy()
+        links = []
+        for own, part, one in zip(low["id"], low["component"], low["shingles"]):
+            first = np.searchsorted(every, one, "left")
+            count = np.searchsorted(every, one, "right") - first
+            spots = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            both = np.bincount(owner[spots], minlength=len(high))
+            good = (100 * both >= share * (len(one) + sizes - both)) & (parts != part)
+            links += [(own, part, ids[j], parts[j]) for j in np.flatnonzero(good)]
+        return pd.DataFrame(_joined_by(links, {}), columns=["a", "b"]).astype("int64")
+
+    return dealt.groupBy("hub", "low", "high").applyInPandas(compare, "a long, b long")
 
 
 def _blockwise(lists: DataFrame, matches: int, block: int) -> DataFrame:
-    """Pairs across components of long lists, by blocks against blocks of one list."""
+    """Pairs across components and hubs of long lists, by blocks against blocks of one list."""
     blocks = F.ceil(F.col("many") / block).cast("int")
     rows = lists.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "token", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        "own", "id", "component", "signature",
+        "own", "id", "hub", "component", "places", "signature",
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         low = group[group["own"] == group["low"]]
         high = group[group["own"] == group["high"]]
-        left = np.stack(low["signature"].to_numpy()) if len(low) else np.zeros((0, 1), np.int32)
-        right = np.stack(high["signature"].to_numpy()) if len(high) else np.zeros((0, 1), np.int32)
+        if not len(low) or not len(high):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        coordinate = int(group["token"].iat[0]) >> 32
+        right = np.stack(high["signature"].to_numpy())
+        bits = np.arange(right.shape[1], dtype=np.uint64)
+        masks = lambda side: (side["places"].to_numpy().view(np.uint64)[:, None] >> bits & np.uint64(1)).astype(bool)
+        beside, ids = masks(high), high["id"].to_numpy()
+        parts, hubs = high["component"].to_numpy(), high["hub"].to_numpy()
         found = []
-        for i in range(len(left)):
-            hits = np.flatnonzero((right == left[i]).sum(axis=1) >= matches)
-            own, part = low["id"].iat[i], low["component"].iat[i]
-            for j in hits.tolist():
-                if high["component"].iat[j] != part:
-                    found.append((min(own, high["id"].iat[j]), max(own, high["id"].iat[j])))
+        for own, part, hub, signature, mask in zip(low["id"], low["component"], low["hub"], low["signature"], masks(low)):
+            same = right == signature
+            # A pair counts in the list of the first prefix coordinate it shares.
+            lead = (same & beside & mask).argmax(axis=1) == coordinate
+            good = lead & (same.sum(axis=1) >= matches) & (parts != part) & (hubs != hub)
+            found += [(min(own, other), max(own, other)) for other in ids[good]]
         return pd.DataFrame(sorted(set(found)), columns=["a", "b"]).astype("int64")
 
     return dealt.groupBy("token", "low", "high").applyInPandas(compare, "a long, b long")
 
 
-def _across(postings: DataFrame, labels: DataFrame, classes: DataFrame, matches: int, short: int, block: int) -> DataFrame:
-    """Distinct pairs of different components that meet in a list."""
-    marked = stored(postings.join(labels, "id").select("token", "id", "component"), "marked")
+def _across(postings: DataFrame, members: DataFrame, classes: DataFrame, matches: int, short: int, block: int) -> DataFrame:
+    """Distinct pairs of different components and hubs that meet in a list."""
+    marked = stored(postings.join(members, "id").select("token", "id", "places", "hub", "component"), "marked")
     mixed = (
         marked.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("many"), F.min("component").alias("least"), F.max("component").alias("most"))
-        .filter("least <> most")
+        .agg(
+            F.count(F.lit(1)).alias("many"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.min("hub").alias("first_hub"),
+            F.max("hub").alias("last_hub"),
+        )
+        .filter("least <> most AND first_hub <> last_hub")
         .select("token", "many")
     )
     lists = stored(marked.join(mixed, "token"), "mixed")
     brief = lists.filter(F.col("many") <= short)
-    other = brief.select("token", F.col("id").alias("b"), F.col("component").alias("beside"))
-    pairs = brief.withColumnRenamed("id", "a").join(other, "token").filter("a < b AND component <> beside").select("a", "b")
+    other = brief.select("token", F.col("id").alias("b"), F.col("component").alias("beside"), F.col("hub").alias("other_hub"))
+    pairs = brief.withColumnRenamed("id", "a").join(other, "token")
+    pairs = pairs.filter("a < b AND component <> beside AND hub <> other_hub").select("a", "b")
     long = lists.filter(F.col("many") > short).join(classes.select("id", "signature"), "id")
     return pairs.unionByName(_blockwise(long, matches, block)).distinct()
 
@@ -176,40 +268,35 @@ def near_duplicates(
     drawn = stored(sketches(docs, id_col, text_col, coordinates), "sketches")
     # One class per distinct set, named by its smallest id.
     named = drawn.filter("id IS NOT NULL AND n > 0")
-    groups = stored(named.groupBy("first", "second").agg(F.min("id").alias("class")), "classes")
-    members = named.select("id", "first", "second").join(groups, ["first", "second"]).select("id", "class").filter("id <> class")
-    classes = named.join(groups, ["first", "second"]).filter("id = class").select("id", "n", "signature").distinct()
+    named_by = stored(named.groupBy("first", "second").agg(F.min("id").alias("class")), "classes")
+    members = named.select("id", "first", "second").join(named_by, ["first", "second"]).select("id", "class").filter("id <> class")
+    classes = named.join(named_by, ["first", "second"]).filter("id = class").select("id", "n", "signature").distinct()
     classes = stored(classes, "signatures")
     postings = stored(_postings(classes, matches).distinct(), "postings")
     nodes = stored(postings.select("id").distinct(), "nodes")
     sets = stored(_sets(only_ids(_texts(docs, id_col, text_col), nodes, "id")), "sets")
     signatures = classes.join(nodes, "id", "left_semi")
 
-    first = postings.groupBy("token").agg(F.min("id").alias("a"))
-    star = (
-        postings.withColumnRenamed("id", "b").join(first, "token").filter("a < b")
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"))
-    )
-    star = stored(star, "star")
-    best = star.groupBy("b").agg(F.max_by("a", F.struct("met", (-F.col("a")).alias("low"))).alias("a"))
-    links = stored(_confirmed(_alike(best, signatures, matches, share), sets, share), "links")
+    hub = F.max_by("id", F.struct("weight", (-F.col("id")).alias("low"))).alias("hub")
+    hubs = postings.groupBy("token").agg(hub)
+    met = postings.join(hubs, "token").filter("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("met"))
+    best = met.groupBy("id").agg(F.max_by("hub", F.struct("met", (-F.col("hub")).alias("low"))).alias("hub"))
+    best = stored(nodes.join(best, "id", "left").select("id", F.coalesce("hub", "id").alias("hub")), "hubs")
+    star = best.filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    links = stored(_confirmed(_alike(star, signatures, matches, share), sets, share), "links")
 
     def labelled(edges: DataFrame) -> DataFrame:
         joined = components(edges).withColumnRenamed("node", "id")
-        return stored(nodes.join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("component")), "parts")
-
-    for step in ("star", "lists"):
-        labels = labelled(links)
-        if step == "star":
-            pairs = star.select("a", "b")
-        else:
-            pairs = _across(postings, labels, classes, matches, short_list, block)
-        ends = pairs.join(labels.select(F.col("id").alias("a"), F.col("component").alias("c_a")), "a").join(
-            labels.select(F.col("id").alias("b"), F.col("component").alias("c_b")), "b"
-        )
-        open_pairs = ends.filter("c_a <> c_b").select("a", "b")
-        more = stored(_confirmed(_alike(open_pairs, signatures, matches, share), sets, share), "links")
-        links = links.unionByName(more)
+        parts = best.join(joined, "id", "left").select("id", "hub", F.coalesce("component", "id").alias("component"))
+        return stored(parts, "parts")
+
+    parts = labelled(links)
+    # The hub belongs to its own members, whatever hub it has itself.
+    centers = parts.filter("id <> hub").select(F.col("hub").alias("id")).distinct()
+    groups = parts.unionByName(parts.join(centers, "id", "left_semi").withColumn("hub", F.col("id")))
+    links = links.unionByName(stored(_beside_hub(groups.distinct(), sets, share, block), "links"))
+    pairs = stored(_across(postings, labelled(links), classes, matches, short_list, block), "pairs")
+    links = links.unionByName(stored(_confirmed(_alike(pairs, signatures, matches, share), sets, share), "links"))
 
     linked = components(links.unionByName(members.select(F.col("class").alias("a"), F.col("id").alias("b"))))
     out = drawn.select(F.col("id").alias("node"), "n").join(linked, "node", "left")
