@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is
 written as Parquet and read again as the next stage's ``docs``. All but the
-last return the columns of ``documents``.
+last return the columns of ``documents``; the last returns the packed pieces
+with their ids. Rows without an id pass the stages that decide by id.
 """
 
 from __future__ import annotations
@@ -10,20 +11,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowcast.llm.common import stored, table
+from rowcast.llm.decontaminate import contained_items
+from rowcast.llm.line_crf import THRESHOLD, fit_quality, quality_scores
 from rowcast.llm.near_dedup import near_duplicates
+from rowcast.llm.packing import pack
+from rowcast.llm.pseudonyms import pseudonymized
+from rowcast.llm.queries import EXAMPLE_KEY
+from rowcast.llm.tokens import vocabulary
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line model scores at least at the threshold."""
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality_scores(docs, model).filter(f"score >= {THRESHOLD}").select(docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies."""
-    decided = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(decided, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    dropped = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = contained_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with pseudonyms; lengths stay, so ``n_chars`` stays right."""
+    return pseudonymized(docs, EXAMPLE_KEY, counts=False).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return pack(docs, vocabulary(), with_ids=True)
 
 
 STAGES = [
+    ("quality", drop_low_quality),
     ("near_dedup", keep_one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("pii", replace_personal_data),
+    ("packing", pack_sequences),
 ]
 
-# The stages learn weights and compare sets; SQL cannot state them.
+# The stages learn weights, compare sets and hash with a key; SQL cannot state them.
 ORACLE_SQL = None
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowcast.llm.common import table
 from rowcast.llm import decontaminate
+from rowcast.llm.line_crf import graded
 from rowcast.llm.near_dedup import near_duplicates
 from rowcast.llm.packing import pack
 from rowcast.llm.pseudonyms import pseudonymized
@@ -25,6 +26,11 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_line_crf_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out."""
+    return graded(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Component and keep decision of every document."""
     return near_duplicates(table(spark, folder, "documents"))
@@ -39,6 +45,7 @@ def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op4_line_crf_quality": op4_line_crf_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
 }
