@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowcast.llm.common import table
-from rowcast.llm import decontaminate
+from rowcast.llm import decontaminate, token_index
 from rowcast.llm.line_crf import graded
 from rowcast.llm.near_dedup import near_duplicates
 from rowcast.llm.packing import pack
 from rowcast.llm.pseudonyms import pseudonymized
 from rowcast.llm.tokens import vocabulary
+from rowcast.plans.scratch import scratch_path
 
 # The key of the example queries; a user passes a secret of their own.
 EXAMPLE_KEY = "example-key"
@@ -42,12 +43,21 @@ def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonymized(docs, EXAMPLE_KEY)
 
 
+def op10_token_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids written, found again by key through the index, and read back."""
+    docs = table(spark, folder, "documents")
+    path = scratch_path(spark, "token_store")
+    token_index.write_store(docs, path, vocabulary())
+    return token_index.read_by_key(spark, path, token_index.keys_of(docs)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_line_crf_quality": op4_line_crf_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
+    "op10_token_index": op10_token_index,
 }
 
 ORACLE = {
