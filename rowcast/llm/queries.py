@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowcast.llm.common import table
-from rowcast.llm import decontaminate, token_index
+from rowcast.llm import decontaminate, token_index, warc
 from rowcast.llm.line_crf import graded
 from rowcast.llm.near_dedup import near_duplicates
 from rowcast.llm.packing import pack
@@ -27,6 +27,13 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written as a WARC record in chunks and read back."""
+    path = scratch_path(spark, "archive")
+    warc.write_archive(table(spark, folder, "pages"), path)
+    return warc.read_archive(spark, path)
+
+
 def op4_line_crf_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document, learned from labels that are not held out."""
     return graded(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -54,6 +61,7 @@ def op10_token_index(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_warc_chunks": op3_warc_chunks,
     "op4_line_crf_quality": op4_line_crf_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
