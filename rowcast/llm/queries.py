@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowcast.llm.common import table
 from rowcast.llm import decontaminate, token_index, warc
+from rowcast.llm.licenses import scan_licenses
 from rowcast.llm.line_crf import graded
 from rowcast.llm.near_dedup import near_duplicates
 from rowcast.llm.packing import pack
@@ -44,6 +45,11 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_license_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases, labels and score of every document."""
+    return scan_licenses(table(spark, folder, "documents"), with_spans=False)
+
+
 def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's text with pseudonyms, and how many values of each kind it had."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -64,6 +70,7 @@ QUERIES = {
     "op3_warc_chunks": op3_warc_chunks,
     "op4_line_crf_quality": op4_line_crf_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op8_license_automaton": op8_license_automaton,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
     "op10_token_index": op10_token_index,
 }
