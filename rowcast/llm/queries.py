@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowcast.llm.common import table
 from rowcast.llm import decontaminate, token_index, warc
+from rowcast.llm.hilbert import hilbert_shards
 from rowcast.llm.licenses import scan_licenses
 from rowcast.llm.line_crf import graded
 from rowcast.llm.near_dedup import near_duplicates
@@ -45,6 +46,11 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document in the order of a Hilbert curve."""
+    return hilbert_shards(table(spark, folder, "documents"))
+
+
 def op8_license_automaton(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases, labels and score of every document."""
     return scan_licenses(table(spark, folder, "documents"), with_spans=False)
@@ -70,6 +76,7 @@ QUERIES = {
     "op3_warc_chunks": op3_warc_chunks,
     "op4_line_crf_quality": op4_line_crf_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_hilbert_sharding": op7_hilbert_sharding,
     "op8_license_automaton": op8_license_automaton,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
     "op10_token_index": op10_token_index,
