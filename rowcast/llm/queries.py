@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowcast.llm.common import table
-from rowcast.llm import decontaminate, token_index, warc
+from rowcast.llm import decontaminate, hamming, token_index, warc
 from rowcast.llm.hilbert import hilbert_shards
 from rowcast.llm.licenses import scan_licenses
 from rowcast.llm.line_crf import graded
@@ -46,6 +47,12 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_multi_index_hamming(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten nearest codes of every row whose id is divisible by 20, among all rows."""
+    rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code"))
+    return hamming.nearest(rows, rows.filter("id % 20 = 0"))
+
+
 def op7_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Shard and slot of every document in the order of a Hilbert curve."""
     return hilbert_shards(table(spark, folder, "documents"))
@@ -76,6 +83,7 @@ QUERIES = {
     "op3_warc_chunks": op3_warc_chunks,
     "op4_line_crf_quality": op4_line_crf_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_multi_index_hamming": op6_multi_index_hamming,
     "op7_hilbert_sharding": op7_hilbert_sharding,
     "op8_license_automaton": op8_license_automaton,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
@@ -84,4 +92,5 @@ QUERIES = {
 
 ORACLE = {
     "op2_benchmark_decontamination": decontaminate.ORACLE,
+    "op6_multi_index_hamming": hamming.ORACLE,
 }
