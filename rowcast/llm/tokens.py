@@ -9,12 +9,16 @@ and long texts are cut at white space into slices, so memory stays bounded.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 from rowcast.llm.shingles import byte_view, groups
 
 SLICE = 1 << 20
 CACHE_WORDS = 400_000
+# Lower-case Latin-1 letters: the vocabulary's normalizer leaves such words alone,
+# and its splitter makes them one group, so they go to the merges directly.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 # ASCII marks that no rule of the vocabulary joins with a letter or digit before them.
 _MARKS = b".,!?#$%&*;:)"
 _SPACES = (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")
@@ -27,6 +31,13 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _shown_bytes() -> dict[int, int]:
+    """Byte-level vocabularies write bytes as printable characters, the others from 256 on in turn."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in printable]
+    return {byte: 256 + i for i, byte in enumerate(hidden)}
+
+
 def _slices(data: bytes):
     start = 0
     while len(data) - start > SLICE:
@@ -47,6 +58,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.shown = _shown_bytes()
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
@@ -68,6 +81,16 @@ class Encoder:
             self.known[word] = self.known[core] + self.known[word[len(core) :]]
 
     def _encode(self, words: list[bytes]) -> None:
+        merged, shown, others = self.model.tokenize, self.shown, []
+        for word in words:
+            text = word.decode().lower()
+            if _PLAIN(text):
+                if len(text) < len(word):
+                    text = text.encode().decode("latin-1").translate(shown)
+                self.known[word] = array("I", [token.id for token in merged(text)]).tobytes()
+            else:
+                others.append(word)
+        words = others
         for at in range(0, len(words), 4096):
             part = words[at : at + 4096]
             encoded = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
