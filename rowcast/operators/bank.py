@@ -15,19 +15,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.functions.exact import amount, units
+from rowcast.functions.exact import amount, amount_sql, mean, sum_units_sql, units_sql
 from rowcast.plans.joins import join_dimension
 from rowcast.sources import files
 
+# Labels of the two groups.
+HIGH_RISK = "HIGH_RISK_CUSTOMER"
+OTHER = "OTHER_CUSTOMER"
+
 # One pass with map-side combining: one row per customer leaves it.
-_SPEND = """
-    SELECT customer_id,
-           SUM(CAST(RINT(amount * 100.0D) AS BIGINT)) AS units,
-           COUNT(amount) AS amounts,
-           COUNT(*) AS tx_count
-    FROM {transactions}
+_SPEND = f"""
+    SELECT customer_id, {sum_units_sql("u")} AS units, COUNT(u) AS amounts, COUNT(*) AS tx_count
+    FROM (SELECT customer_id, {units_sql("amount")} AS u FROM {{transactions}})
     GROUP BY customer_id
 """
+_TOTAL = amount_sql("total_units")
 
 
 def read_sources(
@@ -72,13 +74,12 @@ def top_customers(
 ) -> DataFrame:
     """Customers with the largest sum of transactions."""
     return spark.sql(
-        """
-        SELECT customer_id, first_name, last_name, segment,
-               CAST(total_units AS DOUBLE) / 100.0D AS total_amount, tx_count
+        f"""
+        SELECT customer_id, first_name, last_name, segment, {_TOTAL} AS total_amount, tx_count
         FROM (
             SELECT c.customer_id, c.first_name, c.last_name, c.segment,
                    SUM(s.units) AS total_units, SUM(s.tx_count) AS tx_count
-            FROM {spend} s JOIN {customers} c ON s.customer_id = c.customer_id
+            FROM {{spend}} s JOIN {{customers}} c ON s.customer_id = c.customer_id
             GROUP BY c.customer_id, c.first_name, c.last_name, c.segment
         )
         ORDER BY total_units DESC NULLS LAST, customer_id, first_name, last_name, segment
@@ -103,6 +104,7 @@ def high_risk(
     Each alert repeats its customer's total. A customer without transactions
     has a NULL total and, as one unmatched row, a count of 1.
     """
+    # One row per customer id, so that a repeated customer multiplies nothing here.
     profiles = spark.sql(
         """
         SELECT c.customer_id, c.first_name, c.last_name, c.segment,
@@ -116,13 +118,13 @@ def high_risk(
         "alert_id", "customer_id", "risk_score", "risk_class"
     )
     return spark.sql(
-        """
+        f"""
         SELECT customer_id, first_name, last_name, segment, alert_id, risk_score, risk_class,
-               CAST(total_units AS DOUBLE) / 100.0D AS total_amount, tx_count
+               {_TOTAL} AS total_amount, tx_count
         FROM (
             SELECT customer_id, first_name, last_name, segment, alert_id, risk_score,
                    risk_class, SUM(units) AS total_units, SUM(tx_count) AS tx_count
-            FROM {matched}
+            FROM {{matched}}
             GROUP BY customer_id, first_name, last_name, segment, alert_id, risk_score,
                      risk_class
         )
@@ -140,14 +142,12 @@ def high_risk(
 def countries(spark: SparkSession, transactions: DataFrame) -> DataFrame:
     """Countries by transaction volume."""
     return spark.sql(
-        """
-        SELECT country, tx_count,
-               CAST(units AS DOUBLE) / 100.0D AS total_amount,
-               CAST(units AS DOUBLE) / 100.0D / NULLIF(amounts, 0) AS avg_amount
+        f"""
+        SELECT country, tx_count, {amount_sql("units")} AS total_amount,
+               {amount_sql("units")} / NULLIF(amounts, 0) AS avg_amount
         FROM (
-            SELECT country, COUNT(*) AS tx_count, COUNT(amount) AS amounts,
-                   SUM(CAST(RINT(amount * 100.0D) AS BIGINT)) AS units
-            FROM {transactions}
+            SELECT country, COUNT(*) AS tx_count, COUNT(u) AS amounts, {sum_units_sql("u")} AS units
+            FROM (SELECT country, {units_sql("amount")} AS u FROM {{transactions}})
             GROUP BY country
         )
         ORDER BY total_amount DESC NULLS LAST, country
@@ -163,26 +163,13 @@ def flagged_customers(alerts: DataFrame) -> DataFrame:
 
 def risk_groups(spark: SparkSession, transactions: DataFrame, alerts: DataFrame) -> DataFrame:
     """Transactions of customers with a high-risk alert against all others."""
-    return spark.sql(
-        """
-        SELECT customer_risk_group, tx_count,
-               CAST(units AS DOUBLE) / 100.0D AS total_amount,
-               CAST(units AS DOUBLE) / 100.0D / NULLIF(tx_count, 0) AS avg_amount
-        FROM (
-            SELECT CASE WHEN fc.customer_id IS NOT NULL THEN 'HIGH_RISK_CUSTOMER'
-                        ELSE 'OTHER_CUSTOMER' END AS customer_risk_group,
-                   SUM(s.amounts) AS tx_count, SUM(s.units) AS units
-            FROM {spend} s LEFT JOIN {flagged} fc ON s.customer_id = fc.customer_id
-            GROUP BY 1
-        )
-        """,
-        spend=spend(spark, transactions),
-        flagged=flagged_customers(alerts),
-    )
-
-
-def transaction_total(transactions: DataFrame) -> DataFrame:
-    """Sum of all transactions in one row."""
-    return transactions.agg(F.sum(units("amount")).alias("units")).select(
-        amount("units").alias("total_amount")
+    marked = flagged_customers(alerts).withColumn("customer_risk_group", F.lit(HIGH_RISK))
+    spent = spend(spark, transactions).join(marked, "customer_id", "left")
+    grouped = spent.groupBy(F.coalesce("customer_risk_group", F.lit(OTHER)).alias("customer_risk_group"))
+    summed = grouped.agg(F.sum("amounts").alias("tx_count"), F.sum("units").alias("units"))
+    return summed.select(
+        "customer_risk_group",
+        "tx_count",
+        amount("units").alias("total_amount"),
+        mean(F.col("units"), F.col("tx_count")).alias("avg_amount"),
     )

@@ -1,18 +1,17 @@
 """Orders with nested items.
 
 Input: ``order_id, customer struct, items array<struct<product, qty, price>>,
-city``. Prices are held to the cent. An order without items has the value 0.
+city``. Values are summed as they are. An order without items has the value 0.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.functions.exact import amount, units
-from rowcast.plans.joins import skew_join
+from rowcast.functions.exact import amount, sum_units, units
 
 # Only what the reports read; a JSON scan parses just the fields listed.
 READ_SCHEMA = (
@@ -38,25 +37,35 @@ def _line_units():
     return F.col("qty") * units("price")
 
 
-def _valued(orders: DataFrame, **skew) -> DataFrame:
-    sums = items(orders).groupBy("order_id").agg(F.sum(_line_units()).alias("value_units"))
-    return skew_join(
-        orders.select("order_id", "city"), sums, "order_id", "left", right_unique=True, **skew
-    ).withColumn("value_units", F.coalesce("value_units", F.lit(0).cast("bigint")))
+def _valued(orders: DataFrame) -> DataFrame:
+    """``order_id, city, value_units``: items summed within the row, then per order id.
+
+    An id on several rows has the value of all of them on each. Rows of one id
+    and city are first counted and combined within each task, so an id that
+    repeats very often is one row per task and city.
+    """
+    line = lambda item: item["qty"] * units(item["price"])
+    zero = F.lit(0).cast("decimal(28,0)")
+    own = F.aggregate("items", zero, lambda sum_, item: (sum_ + F.coalesce(line(item), F.lit(0))).cast("decimal(28,0)"))
+    rows = orders.select("order_id", "city", F.coalesce(own, zero).alias("own"))
+    parts = rows.groupBy("order_id", "city").agg(F.sum("own").alias("own"), F.count(F.lit(1)).alias("rows"))
+    whole = F.sum("own").over(Window.partitionBy("order_id"))
+    return parts.select("order_id", "city", whole.alias("value_units"), "rows")
 
 
-def order_values(orders: DataFrame, **skew) -> DataFrame:
+def order_values(orders: DataFrame) -> DataFrame:
     """Every order with its city and the summed value of its items."""
-    return _valued(orders, **skew).select(
-        "order_id", "city", amount("value_units").alias("order_value")
-    )
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows")))
+    valued = _valued(orders).withColumn("row", each)
+    return valued.select("order_id", "city", amount("value_units").alias("order_value"))
 
 
-def totals(orders: DataFrame, **skew) -> DataFrame:
+def totals(orders: DataFrame) -> DataFrame:
     """Order count and average value in one row."""
+    total = F.sum(F.col("value_units") * F.col("rows"))
     return (
-        _valued(orders, **skew)
-        .agg(F.count(F.lit(1)).alias("total_orders"), F.sum("value_units").alias("units"))
+        _valued(orders)
+        .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total_orders"), total.cast("decimal(38,0)").alias("units"))
         .select(
             "total_orders",
             (amount("units") / F.nullif("total_orders", F.lit(0))).alias("avg_order_value"),
@@ -74,12 +83,12 @@ def city_counts(orders: DataFrame, count: int = 10) -> DataFrame:
     )
 
 
-def city_revenue(orders: DataFrame, count: int = 10, **skew) -> DataFrame:
+def city_revenue(orders: DataFrame, count: int = 10) -> DataFrame:
     """Cities with the largest summed order value."""
     return (
-        _valued(orders, **skew)
+        _valued(orders)
         .groupBy("city")
-        .agg(F.sum("value_units").alias("units"))
+        .agg(F.sum(F.col("value_units") * F.col("rows")).cast("decimal(38,0)").alias("units"))
         .orderBy(F.desc("units"), "city")
         .limit(count)
         .select("city", amount("units").alias("total_revenue"))
@@ -91,7 +100,7 @@ def top_products(orders: DataFrame, count: int = 10) -> DataFrame:
     return (
         items(orders)
         .groupBy("product")
-        .agg(F.sum(_line_units()).alias("units"), F.sum("qty").alias("total_qty"))
+        .agg(sum_units(_line_units()).alias("units"), F.sum("qty").alias("total_qty"))
         .orderBy(F.desc("units"), "product")
         .limit(count)
         .select("product", amount("units").alias("revenue"), "total_qty")

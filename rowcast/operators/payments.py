@@ -5,7 +5,7 @@ Inputs
     customers  ``customer_id, first_name, last_name, city``, one row per id
     payments   ``order_id, paid_ratio``
 
-Amounts are held to the cent. An order without payment counts as unpaid, an
+Amounts are summed as they are, to the millionth. An order without payment counts as unpaid, an
 order without customer keeps its row with empty customer columns.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.functions.exact import amount, half_up, units
+from rowcast.functions.exact import amount, half_up, sum_units, units
 from rowcast.plans.joins import join_dimension, skew_join, with_position
 from rowcast.sources import files
 
@@ -43,7 +43,7 @@ def payment_status(ratio: Column) -> Column:
 
 
 def settle(orders: DataFrame, payments: DataFrame, **skew) -> DataFrame:
-    """Orders with their payment: cents ordered, paid and unpaid, and a status.
+    """Orders with their payment: units ordered, paid and unpaid, and a status.
 
     Either side may hold one ``order_id`` many times; every pair is kept.
     """
@@ -84,6 +84,10 @@ def joined(orders: DataFrame, customers: DataFrame, payments: DataFrame, **skew)
 
 
 def _sums() -> list[Column]:
+    return [sum_units(f"{name}_units").alias(f"{name}_units") for name in MEASURES]
+
+
+def _sums_of_sums() -> list[Column]:
     return [F.sum(f"{name}_units").alias(f"{name}_units") for name in MEASURES]
 
 
@@ -133,7 +137,7 @@ def top_customers(
     return (
         _per_customer(orders, customers, payments, **skew)
         .groupBy(*who)
-        .agg(*_sums())
+        .agg(*_sums_of_sums())
         .orderBy(F.desc("unpaid_units"), *who)
         .limit(count)
         .select(*who, *_totals())
@@ -147,7 +151,7 @@ def top_cities(
     return (
         _per_customer(orders, customers, payments, **skew)
         .groupBy("city")
-        .agg(*_sums(), F.sum("orders_count").alias("orders_count"))
+        .agg(*_sums_of_sums(), F.sum("orders_count").alias("orders_count"))
         .orderBy(F.desc("order_units"), "city")
         .limit(count)
         .select("city", *_totals(), "orders_count")

@@ -1,7 +1,7 @@
 """Taxi trips.
 
 Input columns: ``pickup, dropoff`` timestamps, ``zone, passenger_count,
-trip_distance, total_amount``. Distance and amount carry two decimals.
+trip_distance, total_amount``. Distances and amounts are summed as they are.
 Every report is one scan with column pruning and one aggregation, or a top-k
 kept per task.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.functions.exact import amount, mean, rounded_mean, rounded_ratio, units
+from rowcast.functions.exact import amount, mean, rounded_mean, rounded_ratio, sum_units, units
 
 TRIP = ["pickup", "dropoff", "passenger_count", "trip_distance", "total_amount"]
 
@@ -19,8 +19,8 @@ TRIP = ["pickup", "dropoff", "passenger_count", "trip_distance", "total_amount"]
 def _money() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("trips"),
-        F.count("total_amount").alias("amounts"),
-        F.sum(units("total_amount")).alias("units"),
+        F.count(units("total_amount")).alias("amounts"),
+        sum_units(units("total_amount")).alias("units"),
     ]
 
 
@@ -77,8 +77,8 @@ def by_passengers(trips: DataFrame) -> DataFrame:
         trips.groupBy("passenger_count")
         .agg(
             *_money(),
-            F.sum(units("trip_distance")).alias("length"),
-            F.count("trip_distance").alias("lengths"),
+            sum_units(units("trip_distance")).alias("length"),
+            F.count(units("trip_distance")).alias("lengths"),
         )
         .select(
             "passenger_count",

@@ -95,8 +95,8 @@ WITH customers AS (
            c.first_name, c.last_name, c.city,
            CAST(o.o_totalprice AS DECIMAL(18, 2)) AS order_amount,
            CAST(COALESCE(p.paid_ratio, 0.0) AS DECIMAL(3, 1)) AS paid_ratio,
-           ROUND(CAST(o.o_totalprice AS DECIMAL(18, 2))
-                 * CAST(COALESCE(p.paid_ratio, 0.0) AS DECIMAL(3, 1)), 2) AS paid_amount
+           CAST(o.o_totalprice AS DECIMAL(18, 2))
+               * CAST(COALESCE(p.paid_ratio, 0.0) AS DECIMAL(3, 1)) AS paid_amount
     FROM orders o
     LEFT JOIN customers c ON o.o_custkey = c.customer_id
     LEFT JOIN paid p ON o.o_orderkey = p.order_id

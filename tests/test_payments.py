@@ -21,7 +21,7 @@ def inputs(spark):
 def test_joined_rows(spark):
     rows = {r.order_id: r for r in payments.joined(*inputs(spark)).collect()}
     assert len(rows) == 5
-    assert (rows[1].paid_amount, rows[1].unpaid_amount) == (50.01, 50.0)
+    assert (rows[1].paid_amount, rows[1].unpaid_amount) == (50.005, 50.005)
     assert rows[1].payment_status == "PARTIALLY_PAID"
     assert rows[2].payment_status == "FULLY_PAID"
     assert rows[4].first_name is None and rows[4].payment_status == "FULLY_PAID"
@@ -42,7 +42,7 @@ def test_totals_and_status_agree(spark):
 def test_top_reports(spark):
     top = payments.top_customers(*inputs(spark)).collect()
     assert [(r.customer_id, r.total_unpaid_amount) for r in top] == [
-        (2, 50.55), (1, 50.0), (None, 7.0), (9, 0.0),
+        (2, 50.55), (1, 50.005), (None, 7.0), (9, 0.0),
     ]
     cities = payments.top_cities(*inputs(spark)).collect()
     assert [(r.city, r.total_order_amount, r.orders_count) for r in cities] == [
@@ -69,3 +69,14 @@ def test_repeated_payments_fan_out_the_same_way_when_salted(spark, monkeypatch):
     salted = payments.joined(orders, customers, paid, force=True, min_hot_rows=5, salts=4)
     assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
     assert plain.count() == 20 * 15 + 40
+
+
+def test_small_amounts_add_up_and_odd_ones_are_left_out(spark):
+    small = spark.range(1000).selectExpr("id AS order_id", "1 AS customer_id", "0.004D AS order_amount")
+    none = spark.createDataFrame([], PAYMENTS)
+    assert payments.totals(small, none).first().total_order_amount == 4.0
+    odd = small.limit(1).selectExpr("-1L", "1", "double('NaN')").union(small.limit(1).selectExpr("-2L", "1", "double('Infinity')"))
+    total = payments.totals(small.union(odd), none).first()
+    assert (total.orders_count, total.total_order_amount) == (1002, 4.0)
+    large = spark.range(3).selectExpr("id AS order_id", "1 AS customer_id", "9000000000000.01D AS order_amount")
+    assert payments.totals(large, none).first().total_order_amount == 27000000000000.03
