@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowcast.plans.scratch import is_folder
+
 BIG = 50
+# Files per micro-batch of a table stream, so that a large table is many batches.
+FILES_PER_BATCH = 64
 
 
 def rate_stream(spark: SparkSession, rows_per_second: int = 10) -> DataFrame:
@@ -14,13 +18,32 @@ def rate_stream(spark: SparkSession, rows_per_second: int = 10) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, folder: str, file_glob: str, schema, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema, files_per_batch: int | None = FILES_PER_BATCH
 ) -> DataFrame:
-    """Parquet files of one table as a stream, oldest file first."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """One Parquet table as a stream, oldest file first, ``files_per_batch`` files at a time.
+
+    The table is a folder of part files or a single file; a path where nothing
+    is stored is an error, not an empty stream.
+    """
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    # A file source watches folders, so a single file is picked out of its own.
+    parent, _, name = path.rpartition("/")
+    return reader.option("pathGlobFilter", name).parquet(parent)
+
+
+def instant(local: str) -> Column:
+    """A time without zone as an instant, read as UTC whatever the session's zone is."""
+    return F.expr(f"cast(concat(cast({local} AS string), 'Z') AS timestamp)")
+
+
+def local_time(moment: str) -> Column:
+    """The UTC clock time of an instant, whatever the session's zone is."""
+    seconds = f"cast(unix_micros({moment}) * 0.000001BD AS decimal(18, 6))"
+    return F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})")
 
 
 def flagged(stream: DataFrame) -> DataFrame:
@@ -65,9 +88,9 @@ def two_counters(
 
 
 def flat_window(counters: DataFrame) -> DataFrame:
-    """The window struct as ``window_start`` and ``window_end``, free of time zones."""
+    """The window struct as ``window_start`` and ``window_end`` in UTC, free of time zones."""
     return counters.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        local_time("window.start").alias("window_start"),
+        local_time("window.end").alias("window_end"),
         *[name for name in counters.columns if name != "window"],
     )

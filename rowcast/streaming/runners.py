@@ -40,7 +40,10 @@ def replay(
     """
     target = scratch_path(spark, name)
 
+    started = [False]
+
     def store(batch: DataFrame, batch_id: int) -> None:
+        started[0] = True
         batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     query = (
@@ -52,6 +55,9 @@ def replay(
     )
     query.awaitTermination()
     schema = StructType([*counters.schema.fields, StructField("batch_id", LongType())])
+    # A stream that had nothing to read ran no batch.
+    if not started[0]:
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(target)
 
 

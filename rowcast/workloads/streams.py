@@ -11,35 +11,38 @@ from rowcast.workloads.tables import table
 WINDOW = "1 hour"
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+def event_stream(spark: SparkSession, folder: str, **source) -> DataFrame:
     schema = table(spark, folder, "events").select("event_id", "ts").schema
-    events = counters.table_stream(spark, folder, "events.parquet", schema)
+    path = f"{folder.rstrip('/')}/events.parquet"
+    events = counters.table_stream(spark, path, schema, **source)
     return counters.flagged(
-        events.select(
-            F.col("ts").cast("timestamp").alias("timestamp"), F.col("event_id").alias("value")
-        )
+        events.select(counters.instant("ts").alias("timestamp"), F.col("event_id").alias("value"))
     )
 
 
-def _counted(spark: SparkSession, folder: str) -> DataFrame:
-    return counters.flat_window(counters.two_counters(event_stream(spark, folder), WINDOW))
+def _counted(stream: DataFrame, **options) -> DataFrame:
+    return counters.flat_window(counters.two_counters(stream, WINDOW, **options))
 
 
+# Part files of a table are in no order of time. Over several batches a
+# watermark would drop what comes late, so these two keep every window.
 def stream_two_counters(spark: SparkSession, folder: str) -> DataFrame:
     """Update mode: changed windows per batch, of which the latest count."""
-    updates = runners.replay(spark, _counted(spark, folder), "update", "counters-update")
+    counted = _counted(event_stream(spark, folder), lateness=None)
+    updates = runners.replay(spark, counted, "update", "counters-update")
     return runners.latest(updates, "window_start").orderBy("window_start")
 
 
 def stream_all_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Complete mode, in which the stream itself may be sorted."""
-    ordered = _counted(spark, folder).orderBy("window_start")
+    ordered = _counted(event_stream(spark, folder), lateness=None).orderBy("window_start")
     return runners.last_batch(runners.replay(spark, ordered, "complete", "counters-complete"))
 
 
 def stream_closed_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """Append mode: only windows that the watermark has passed."""
-    return runners.replay_closed(spark, _counted(spark, folder), "counters-append")
+    """Append mode: only windows that the watermark has passed, all files in one batch."""
+    counted = _counted(event_stream(spark, folder, files_per_batch=None))
+    return runners.replay_closed(spark, counted, "counters-append")
 
 
 QUERIES = {

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowcast.streaming import counters, runners
@@ -48,7 +49,7 @@ def test_update_replay_over_several_batches_equals_batch(spark, tmp_path):
     table = events(spark, 300)
     parts = [table.filter(f"value >= {a} AND value < {a + 75}") for a in (0, 75, 150, 225)]
     folder = stored(spark, tmp_path, parts)
-    stream = counters.table_stream(spark, folder, "*.parquet", table.schema, files_per_batch=1)
+    stream = counters.table_stream(spark, folder, table.schema, files_per_batch=1)
     counted = counters.flat_window(counters.two_counters(counters.flagged(stream)))
     updates = runners.replay(spark, counted, "update", "t-update")
     assert updates.select("batch_id").distinct().count() == 4
@@ -59,7 +60,7 @@ def test_update_replay_over_several_batches_equals_batch(spark, tmp_path):
 def test_complete_replay_may_be_sorted(spark, tmp_path):
     table = events(spark, 120)
     folder = stored(spark, tmp_path, [table])
-    stream = counters.table_stream(spark, folder, "*.parquet", table.schema)
+    stream = counters.table_stream(spark, folder, table.schema)
     counted = counters.flat_window(counters.two_counters(counters.flagged(stream)))
     result = runners.last_batch(runners.replay(spark, counted.orderBy("window_start"), "complete", "t"))
     assert rows(result) == rows(batch_result(table))
@@ -68,7 +69,7 @@ def test_complete_replay_may_be_sorted(spark, tmp_path):
 def test_append_replay_holds_open_windows_back(spark, tmp_path):
     table = events(spark, 120)
     folder = stored(spark, tmp_path, [table])
-    stream = counters.table_stream(spark, folder, "*.parquet", table.schema)
+    stream = counters.table_stream(spark, folder, table.schema)
     counted = counters.flat_window(counters.two_counters(counters.flagged(stream)))
     closed = runners.replay_closed(spark, counted)
     full = batch_result(table)
@@ -87,12 +88,46 @@ def test_late_rows_are_dropped(spark, tmp_path):
     )
     parts = [table.filter("value < 100"), table.filter("value >= 100"), late]
     folder = stored(spark, tmp_path, parts)
-    stream = counters.table_stream(spark, folder, "*.parquet", table.schema, files_per_batch=1)
+    stream = counters.table_stream(spark, folder, table.schema, files_per_batch=1)
     counted = counters.flat_window(counters.two_counters(counters.flagged(stream)))
     updates = runners.latest(runners.replay(spark, counted, "update", "t-late"), "window_start")
     assert updates.agg(F.sum("total_count")).first()[0] == 200
 
 
+def test_part_files_single_file_and_nothing(spark, tmp_path):
+    table = events(spark, 90)
+    folder = stored(spark, tmp_path, [table.filter("value < 30"), table.filter("value >= 30")])
+    single = str(next((tmp_path / "in").glob("*.parquet")))
+    for path, count in ((folder, 90), (single, spark.read.parquet(single).count())):
+        stream = counters.table_stream(spark, path, table.schema)
+        counted = counters.two_counters(counters.flagged(stream), lateness=None)
+        updates = runners.latest(runners.replay(spark, counters.flat_window(counted)), "window_start")
+        assert updates.agg(F.sum("total_count")).first()[0] == count
+    with pytest.raises(FileNotFoundError):
+        counters.table_stream(spark, str(tmp_path / "absent"), table.schema)
+    (tmp_path / "none").mkdir()
+    stream = counters.table_stream(spark, str(tmp_path / "none"), table.schema)
+    empty = runners.replay(spark, counters.flat_window(counters.two_counters(counters.flagged(stream))))
+    assert empty.count() == 0 and "batch_id" in empty.columns
+
+
+def test_windows_do_not_depend_on_the_session_zone(spark):
+    times = ["2021-03-14 02:30:00", "2021-07-01 12:00:00.000001", "1969-12-31 23:59:59.5", "2040-01-01 00:00:00"]
+    table = spark.createDataFrame([(t, i) for i, t in enumerate(times)], "ts string, value bigint")
+    seen = []
+    for zone in ("UTC", "Asia/Kolkata", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            moments = table.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+            frame = moments.select(counters.instant("ts").alias("timestamp"), "value")
+            seen.append(rows(batch_result(frame, "1 hour")))
+            back = frame.select(counters.local_time("timestamp").cast("string").alias("ts")).collect()
+            assert [r.ts for r in back] == times
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seen[0] == seen[1] == seen[2]
+
+
 def test_rate_source_to_console(spark, capfd):
     stream = counters.flagged(counters.rate_stream(spark, 10))
     assert stream.isStreaming
