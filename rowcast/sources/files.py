@@ -10,6 +10,18 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 Schema = StructType | str
 
+# Line breaks inside a text are written as two characters led by ESC (NUL too), so that
+# every line is a row and large files can be cut anywhere; ESC itself likewise.
+# NULL is a mark that no text can be, which keeps it apart from an empty text.
+_ESCAPES = (("\x1b", "\x1be"), ("\x00", "\x1bz"), ("\n", "\x1bn"), ("\r", "\x1br"))
+_CSV = {
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\x1b0",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 # Text forms that keep timestamps to the microsecond.
 TIME_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -21,11 +33,32 @@ def _fields(spark: SparkSession, schema: Schema) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
+def _named(field: StructField) -> Column:
+    return F.col(f"`{field.name}`")
+
+
+def _written(field: StructField) -> Column:
+    """A text with its line breaks escaped; other columns as they are."""
+    column = _named(field)
+    if isinstance(field.dataType, StringType):
+        for plain, escaped in _ESCAPES:
+            column = F.replace(column, F.lit(plain), F.lit(escaped))
+    return column.alias(field.name)
+
+
+def _read(field: StructField) -> Column:
+    """The text as it was before ``_written``."""
+    column = _named(field)
+    if isinstance(field.dataType, StringType):
+        for plain, escaped in reversed(_ESCAPES):
+            column = F.replace(column, F.lit(escaped), F.lit(plain))
+    return column.alias(field.name)
+
+
 def _typed(field: StructField) -> Column:
-    column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, StringType):
-        return column
-    return column.try_cast(field.dataType).alias(field.name)
+        return _read(field)
+    return _named(field).try_cast(field.dataType).alias(field.name)
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -41,19 +74,31 @@ def read_csv(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
     """CSV with a header: columns chosen by header name and cast.
 
     Text that does not parse becomes NULL. Only the chosen columns are parsed.
+    All files must have the columns in the order of the first; one that has
+    not is an error when it is read. An unquoted empty field is NULL, a quoted
+    one an empty text.
     """
-    text = spark.read.option("header", True).csv(path)
+    text = spark.read.options(**_CSV, header=True, enforceSchema=False).csv(path)
     return text.select(*[_typed(field) for field in _fields(spark, schema).fields])
 
 
+def _scanned(spark: SparkSession, path: str, schema: Schema, **options) -> DataFrame:
+    fields = _fields(spark, schema)
+    scan = spark.read.schema(fields).options(**_CSV, **options).csv(path)
+    return scan.select(*[_read(field) for field in fields.fields])
+
+
 def read_csv_lazy(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
-    """CSV with a header whose column order is known: one lazy scan, no peek at the file."""
-    return spark.read.schema(_fields(spark, schema)).option("header", True).csv(path)
+    """CSV with a header whose column order is known: one lazy scan, no peek at the file.
+
+    A header that differs from the schema is an error when its file is read.
+    """
+    return _scanned(spark, path, schema, header=True, enforceSchema=False)
 
 
 def read_csv_headerless(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
     """CSV without a header, columns named by the caller."""
-    return spark.read.schema(_fields(spark, schema)).csv(path)
+    return _scanned(spark, path, schema)
 
 
 def read_numeric_gzip(
@@ -89,7 +134,10 @@ def from_rows(spark: SparkSession, rows: Iterable[Sequence], schema: Schema) ->
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
-    df.write.mode(mode).options(**{"header": True, **TIME_FORMATS, **options}).csv(path)
+    """CSV that the readers above return as it was: breaks, quotes, blanks, empty texts, NULL."""
+    rows = df.select(*[_written(field) for field in df.schema.fields])
+    every = {"header": True, "quoteAll": True, **_CSV, **TIME_FORMATS, **options}
+    rows.write.mode(mode).options(**every).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

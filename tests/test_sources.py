@@ -3,10 +3,12 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from rowcast.functions import draws
 from rowcast.operators import basics, nested
-from rowcast.plans.scratch import scratch_path
+from rowcast.plans.scratch import is_folder, release, scratch_path
 from rowcast.sources import files, synth
 
 
@@ -164,3 +166,34 @@ def test_scratch_folder_is_marked_for_removal(spark):
     path = scratch_path(spark, "gone")
     parent = os.path.dirname(path.removeprefix("file:"))
     assert os.path.isdir(parent) and not os.path.exists(path.removeprefix("file:"))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.none() | st.text(st.sampled_from("\n\r\x1b\"'\\ ,ne0a\té\x00"), max_size=12), st.none() | st.integers(-9, 9)), max_size=12))
+def test_csv_returns_any_text(spark, rows):
+    path = scratch_path(spark, "texts")
+    numbered = [(i, *row) for i, row in enumerate(rows)]
+    frame = spark.createDataFrame(numbered, "i int, t string, n int").coalesce(1)
+    files.write_csv(frame, path)
+    for reader in (files.read_csv, files.read_csv_lazy):
+        assert sorted(map(tuple, reader(spark, path, "i int, t string, n int").collect())) == numbered
+    files.write_csv(frame, path, header=False)
+    assert sorted(map(tuple, files.read_csv_headerless(spark, path, "i int, t string, n int").collect())) == numbered
+
+
+def test_csv_files_of_other_column_order_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,Jan\n")
+    (tmp_path / "b.csv").write_text("name,id\nEwa,2\n")
+    for reader in (files.read_csv, files.read_csv_lazy):
+        with pytest.raises(Exception, match="header"):
+            reader(spark, str(tmp_path), "id int, name string").collect()
+
+
+def test_scratch_folders(spark, tmp_path):
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert is_folder(spark, path) and release(spark, path)
+    with pytest.raises(FileNotFoundError):
+        is_folder(spark, path)
+    with pytest.raises(ValueError):
+        release(spark, str(tmp_path))
