@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 PRIME = 2147483647
 STRIDE = 104729
 TWIST = 7919
+FOLD = 69621
 SPREAD = 48271
 
 
@@ -24,7 +25,10 @@ def draw(row_id: Column | str, stream: int) -> Column:
     """Integer in ``[0, PRIME)``."""
     row_id = F.col(row_id) if isinstance(row_id, str) else row_id
     prime = F.lit(PRIME).cast("bigint")
-    start = (F.pmod(row_id.cast("bigint"), prime) * SPREAD + stream * STRIDE) % prime
+    whole = row_id.cast("bigint")
+    # What lies above the modulus takes part as well, so ids do not repeat there.
+    high = F.pmod(F.call_function("div", whole, prime), prime)
+    start = (F.pmod(whole, prime) * SPREAD + high * FOLD + stream * STRIDE) % prime
     return (start * (start + TWIST) + stream) % prime * SPREAD % prime
 
 

@@ -76,7 +76,8 @@ QUERIES = {
 # DuckDB macros cannot be declared inside a query, so each draw is spelled out.
 def _draw(key: str, stream: int) -> str:
     prime = draws.PRIME
-    start = f"((({key}) % {prime} * {draws.SPREAD} + {stream * draws.STRIDE}) % {prime})"
+    high = f"({key}) // {prime} % {prime} * {draws.FOLD}"
+    start = f"((({key}) % {prime} * {draws.SPREAD} + {high} + {stream * draws.STRIDE}) % {prime})"
     return f"(({start} * ({start} + {draws.TWIST}) + {stream}) % {prime} * {draws.SPREAD} % {prime})"
 
 
