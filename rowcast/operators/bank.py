@@ -134,7 +134,7 @@ def high_risk(
         """,
         args={"count": count},
         matched=join_dimension(
-            flagged, profiles, "customer_id", "inner", right_keys=customers, **skew
+            flagged, profiles, "customer_id", "inner", right_keys=customers, right_scan=False, **skew
         ),
     )
 

@@ -11,16 +11,19 @@ Three ways, from cheap to heavy:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from rowcast.plans.sizing import broadcastable, modest
 
 POSITION = "_position"
-# The sketch lists at most this many keys, which bounds what the plan carries.
-MAX_HOT_KEYS = 1000
-SKETCH_ITEMS = 10_000
+# The sketch lists at most this many keys, which bounds what is collected and broadcast.
+MAX_HOT_KEYS = 20_000
+SKETCH_ITEMS = 100_000
 MERGE_BRANCHES = 512
+# Rows of one key that one task may get; a key with more is spread.
+TASK_ROWS = 1_000_000
 
 
 def with_position(df: DataFrame) -> DataFrame:
@@ -35,12 +38,12 @@ def with_position(df: DataFrame) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Keys of ``df`` held by at least ``min_rows`` rows and 0.1 % of all.
+    """Keys of ``df`` with their ``hot_rows``: at least ``min_rows``, and one in ``MAX_HOT_KEYS``.
 
     One pass over one column: every task makes a sketch of fixed size, and the
     sketches are merged in two levels, so no task receives one from every
     other. The sketch lists only keys it has seen, and it cannot miss a key
-    above its error, which is smaller than the 0.1 % asked for.
+    above its error, which is smaller than the share asked for.
     """
     branch = F.pmod(F.spark_partition_id(), F.lit(MERGE_BRANCHES)).alias("branch")
     counted = (
@@ -64,7 +67,16 @@ def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
         )
     )
     floor = F.greatest(F.lit(min_rows).cast("bigint"), F.ceil(F.col("total") / MAX_HOT_KEYS))
-    return listed.filter(F.col("entry.count") >= floor).select(F.col("entry.item").alias(key))
+    return listed.filter(F.col("entry.count") >= floor).select(
+        F.col("entry.item").alias(key), F.col("entry.count").alias("hot_rows")
+    )
+
+
+def _salted(hot: list, df: DataFrame, key: str, min_hot_rows: int, name: str) -> DataFrame:
+    """``(key, name)``: how many salts each hot key gets, by its counted rows."""
+    rows = [(value, -(-count // min_hot_rows) + 1) for value, count in hot]
+    schema = StructType([StructField(key, df.schema[key].dataType), StructField(name, IntegerType())])
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
 def skew_join(
@@ -74,67 +86,70 @@ def skew_join(
     how: str = "left",
     *,
     salts: int = 64,
-    min_hot_rows: int = 1_000_000,
+    min_hot_rows: int = TASK_ROWS,
     force: bool = False,
     left_keys: DataFrame | None = None,
     right_keys: DataFrame | None = None,
     right_unique: bool = False,
+    right_scan: bool = True,
 ) -> DataFrame:
     """``left.join(right, key, how)`` for ``how`` in left, inner; exact.
 
     A row of a key that is hot on its own side takes one salt of that side's
     axis and is repeated along the other axis only if the key is hot there
-    too. Each matching pair therefore meets in exactly one cell. In a left
-    join, a row repeated along the right axis may find some cells empty;
-    those copies are dropped, which is safe because a key listed for the
-    right side has at least one right row, so a real match remains.
+    too. A key has one salt more than it has ``min_hot_rows``, so the number
+    of tasks follows its rows; rows without a key are spread over ``salts``.
+    Each matching pair meets in exactly one cell. In a left join, a row
+    repeated along the right axis may find some cells empty; those copies are
+    dropped, which is safe because a key listed for the right side has at
+    least one right row, so a real match remains.
 
     ``left_keys`` and ``right_keys`` are cheaper tables to look for hot keys
     in, such as the scan a side was derived from; each must hold only keys of
     that side. A key missed there costs balance only, never rows.
     ``right_unique`` says that the right side holds every key once, as after
-    a grouping by it, so that there is nothing to look for.
+    a grouping by it, so that there is nothing to look for. ``right_scan``
+    is False for a right side that comes out of a shuffle: it is salted by
+    the row's content, as positions may change when a task runs again.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
+    look_left = left if left_keys is None else left_keys
+    look_right = right if right_keys is None else right_keys
     if not force and modest(left, right):
         return left.join(right, key, how)
 
     # At most MAX_HOT_KEYS values each. They are fixed here once, so that both
     # sides, and any task that runs again, agree on them.
     def heavy(df: DataFrame) -> list:
-        return [row[0] for row in hot_keys(df, key, min_hot_rows).collect()]
+        return [tuple(row) for row in hot_keys(df, key, min_hot_rows).collect()]
 
-    hot_left = heavy(left if left_keys is None else left_keys)
-    hot_right = [] if right_unique else heavy(right if right_keys is None else right_keys)
+    hot_left = heavy(look_left)
+    hot_right = [] if right_unique else heavy(look_right)
     if not hot_left and not hot_right:
         return left.join(right, key, how)
 
     columns = [c for c in left.columns if c != key]
     added = [c for c in right.columns if c not in (key, POSITION)]
-    axis = F.sequence(F.lit(0), F.lit(salts - 1))
-    origin = F.array(F.lit(0))
-
-    def among(values: list) -> Column:
-        return F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
-
-    def spread(df: DataFrame, own: list, other: list, own_salt: str, other_salt: str):
-        salt = F.pmod(F.col(POSITION), F.lit(salts)).cast("int")
-        alone = among(own) | F.col(key).isNull()
-        return (
-            with_position(df)
-            .withColumn(own_salt, F.when(alone, salt).otherwise(0))
-            .withColumn(other_salt, F.explode(F.when(among(other), axis).otherwise(origin)))
+
+    def spread(df: DataFrame, own: list, other: list, own_salt: str, other_salt: str, scan: bool):
+        marked = with_position(df) if scan else df.withColumn(POSITION, F.xxhash64(*df.columns))
+        marked = marked.join(_salted(own, df, key, min_hot_rows, "_own"), key, "left")
+        marked = marked.join(_salted(other, df, key, min_hot_rows, "_other"), key, "left")
+        count = F.when(F.col(key).isNull(), salts).otherwise(F.coalesce("_own", F.lit(1)))
+        axis = F.sequence(F.lit(0), F.coalesce("_other", F.lit(1)) - 1)
+        return marked.withColumn(own_salt, F.pmod(F.col(POSITION), count).cast("int")).withColumn(
+            other_salt, F.explode(axis)
         )
 
-    lhs = spread(left, hot_left, hot_right, "_si", "_sj").select(key, *columns, "_si", "_sj")
-    rhs = spread(right, hot_right, hot_left, "_sj", "_si").select(
+    lhs = spread(left, hot_left, hot_right, "_si", "_sj", True).select(key, *columns, "_si", "_sj", "_other")
+    rhs = spread(right, hot_right, hot_left, "_sj", "_si", right_scan).select(
         key, *added, "_si", "_sj", F.lit(True).alias("_match")
     )
     joined = lhs.join(rhs, [key, "_si", "_sj"], how)
     if how == "left":
-        joined = joined.filter(~among(hot_right) | F.col("_match"))
-    return joined.drop("_si", "_sj", "_match")
+        joined = joined.filter(F.col("_other").isNull() | F.col("_match"))
+    return joined.drop("_si", "_sj", "_match", "_other")
 
 
 def join_dimension(

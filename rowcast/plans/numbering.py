@@ -32,8 +32,9 @@ def shuffled_index(
     The order is that of ``md5(seed:key)``. Its leading hex digits cut the
     rows into ``16 ** digits`` even buckets; bucket sizes are counted first
     and summed up, so each bucket is then numbered on its own. Copies of one
-    key share a bucket: on large inputs a key with very many rows is taken
-    out of it and spread over ``salts`` buckets that follow right after.
+    key share a bucket: on large inputs a key with very many rows gets buckets
+    of its own, in its place, one more for each ``min_hot_rows`` it has. Other
+    keys have the same number either way.
     """
     if index in df.columns:
         raise ValueError(f"column {index} already exists")
@@ -42,11 +43,21 @@ def shuffled_index(
     bucket = F.substring("_order", 1, digits)
     hot = []
     if force or not modest(df):
-        hot = [row[0] for row in hot_keys(df, key, min_hot_rows).collect()]
+        hot = [tuple(row) for row in hot_keys(df, key, min_hot_rows).collect()]
     if hot:
-        salt = F.format_string("~%s~%08d", "_order", F.pmod(F.col(POSITION), F.lit(salts)))
-        spot = F.when(F.col(key).isin(hot), F.concat(bucket, salt)).otherwise(bucket)
-        marked = with_position(marked).withColumn("_bucket", spot).drop(POSITION)
+        # A bucket with hot keys is cut into what lies before, between and after
+        # them, and each hot key into salts, so every row keeps its place in the order.
+        known = df.sparkSession.createDataFrame(hot, df.select(key, F.lit(0).cast("bigint").alias("hot_rows")).schema)
+        ranked = known.withColumn("_order", order)
+        listed = ranked.groupBy(bucket.alias("_cell")).agg(F.array_sort(F.collect_list("_order")).alias("_hot"))
+        several = ranked.select(F.col("_order").alias("_key_order"), F.ceil(F.col("hot_rows") / min_hot_rows).alias("_salts"))
+        marked = with_position(marked).withColumn("_cell", bucket).join(F.broadcast(listed), "_cell", "left")
+        marked = marked.join(F.broadcast(several), F.col("_order") == F.col("_key_order"), "left")
+        before_it = F.expr("coalesce(size(filter(_hot, x -> x < _order)), 0)")
+        piece = before_it * 2 + F.col("_salts").isNotNull().cast("int")
+        salt = F.coalesce(F.pmod(F.col(POSITION), F.col("_salts") + salts - 1), F.lit(0))
+        spot = F.format_string("%s~%06d~%08d", "_cell", piece, salt)
+        marked = marked.withColumn("_bucket", spot).drop(POSITION, "_cell", "_hot", "_key_order", "_salts")
     else:
         marked = marked.withColumn("_bucket", bucket)
 

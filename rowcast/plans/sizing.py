@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 # A build side is broadcast only while its estimate stays under this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Stored bytes say little about a table of repeated rows, so rows are limited as well.
 BROADCAST_ROWS = 2_000_000
-# Inputs below this fit a few tasks whatever their keys look like.
+# What the rows hold once decoded: well-compressed text can be far larger than its file.
+BROADCAST_PAYLOAD = 64 * 1024 * 1024
+# Inputs below this, and of fewer rows, fit a few tasks whatever their keys look like.
 SKEW_FLOOR_BYTES = 8 * 1024 * 1024 * 1024
+SKEW_FLOOR_ROWS = 50_000_000
 
 
 def _optimized(df: DataFrame):
@@ -38,19 +43,37 @@ def input_bytes(df: DataFrame) -> int | None:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
+def payload(df: DataFrame) -> Column:
+    """Bytes a row holds: texts and binaries as they are, numbers as eight, nested values as JSON."""
+    total = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            size = F.octet_length(column)
+        elif isinstance(field.dataType, AtomicType):
+            size = F.lit(8)
+        else:
+            size = F.octet_length(F.to_json(F.struct(column)))
+        total = total + F.coalesce(size, F.lit(0))
+    return total
+
+
 def broadcastable(df: DataFrame) -> bool:
-    """True only for an output estimated small and counted short.
+    """True only for an output estimated small, counted short and measured small.
 
-    Rows are counted only after the estimate has passed, so the count reads
-    little; for Parquet it reads footers.
+    Rows are counted and their bytes summed in one job, and only after the
+    estimate has passed, so that job reads little.
     """
     estimate = plan_bytes(df)
     if estimate is None or estimate > BROADCAST_BYTES:
         return False
-    return df.count() <= BROADCAST_ROWS
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(payload(df)), F.lit(0)).alias("bytes")).first()
+    return seen["rows"] <= BROADCAST_ROWS and seen["bytes"] <= BROADCAST_PAYLOAD
 
 
 def modest(*frames: DataFrame) -> bool:
-    """True only when the inputs of all frames are known and small together."""
+    """True only when the inputs of all frames are small together, in bytes and in counted rows."""
     sizes = [input_bytes(df) for df in frames]
-    return None not in sizes and sum(sizes) <= SKEW_FLOOR_BYTES
+    if None in sizes or sum(sizes) > SKEW_FLOOR_BYTES:
+        return False
+    return sum(df.count() for df in frames) <= SKEW_FLOOR_ROWS

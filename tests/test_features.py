@@ -162,6 +162,11 @@ def test_copies_of_one_key_are_numbered_without_gaps(spark):
     assert sorted(r.id for r in rows) == sorted(r.id for r in table.collect())
     plain = shuffled_index(table, "id", 1, digits=2, force=True)
     assert sorted(r.row_index for r in plain.collect()) == list(range(3000))
+    # Whatever is spread, single keys keep their numbers, and copies theirs together.
+    numbers = {r.id: r.row_index for r in rows if r.id != 7}
+    assert numbers == {r.id: r.row_index for r in plain.collect() if r.id != 7}
+    few = shuffled_index(table, "id", 1, digits=1, salts=1, min_hot_rows=2, force=True)
+    assert numbers == {r.id: r.row_index for r in few.collect() if r.id != 7}
 
 
 def test_leading_rows_with_a_shared_first_key(spark):

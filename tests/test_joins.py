@@ -139,3 +139,29 @@ def test_skew_join_on_random_rows(spark, left, right, how, min_hot_rows):
     rhs = spark.createDataFrame(right, "k bigint, b string")
     result = skew_join(lhs, rhs, "k", how, salts=3, min_hot_rows=min_hot_rows, force=True)
     assert Counter(map(tuple, result.collect())) == brute(left, right, how)
+
+
+def test_well_compressed_rows_are_not_broadcast(spark, tmp_path):
+    import rowcast.plans.sizing as sizing
+
+    spark.range(2000).select("id", F.repeat(F.lit("text"), 20_000).alias("t")).coalesce(1).write.parquet(str(tmp_path / "d"))
+    wide = spark.read.parquet(str(tmp_path / "d"))
+    assert plan_bytes(wide) < sizing.BROADCAST_BYTES
+    assert not sizing.broadcastable(wide) and sizing.broadcastable(wide.limit(10))
+    nested = spark.range(3).select(F.array(F.lit("x")).alias("a"), F.lit(None).cast("string").alias("b"))
+    assert sizing.broadcastable(nested)
+
+
+def test_a_key_of_half_a_thousandth_is_spread_by_its_rows(spark):
+    rows = spark.range(200_000).select(F.when(F.col("id") % 2000 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in hot_keys(rows, "k", 50).collect()] == [(-1, 100)]
+    other = rows.filter("k < 500").withColumn("b", F.lit(1)).distinct()
+    joined = skew_join(rows, other, "k", "left", min_hot_rows=50, force=True)
+    assert joined.count() == 200_000 and joined.filter("b = 1").count() == rows.filter("k < 500").count()
+
+
+def test_a_shuffled_side_is_salted_by_content(spark):
+    left = spark.range(300).select((F.col("id") % 3).alias("k"), "id")
+    right = spark.range(60).select((F.col("id") % 3).alias("k"), F.lit("same").alias("b"))
+    joined = skew_join(left, right.repartition(7), "k", min_hot_rows=5, force=True, right_scan=False)
+    assert joined.count() == 300 * 20
