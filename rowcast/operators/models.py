@@ -21,20 +21,29 @@ PENALTY = 0.001
 # Fixed value: probabilities are kept above this before taking logarithms.
 SMALLEST = 1e-15
 
-RESULT = "model string, parameters bigint, split string, log_loss double, accuracy double"
+RESULT = (
+    "model string, parameters bigint, split string, rows bigint, log_loss double, accuracy double"
+)
 
 
 def holdout(df: DataFrame, key: str, share: float = 0.1) -> tuple[DataFrame, DataFrame]:
-    """Validation and training rows, split by a hash of ``key``; all rows are used."""
-    spot = F.pmod(F.xxhash64(key), F.lit(10_000))
-    cut = int(share * 10_000)
+    """Validation and training rows, split by the leading digits of ``md5(key)``; all rows are used."""
+    spot = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("int")
+    spot = F.coalesce(spot, F.lit(0))
+    cut = int(share * 65_536)
     return df.filter(spot < cut), df.filter(spot >= cut)
 
 
+def first_by_hash(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """A bounded sample for fitting: the ``rows`` rows first in the order of ``md5(key)``."""
+    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(rows)
+
+
 def score(predicted: DataFrame) -> DataFrame:
     """Cross-entropy and accuracy per ``split`` of a scored table, in one pass."""
     chosen = F.get(vector_to_array("probability"), F.col("label").cast("int"))
     return predicted.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
         F.avg(-F.log(F.greatest(chosen, F.lit(SMALLEST)))).alias("log_loss"),
         F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
     )
@@ -53,7 +62,7 @@ def _sweep(train: DataFrame, validation: DataFrame, fits) -> DataFrame:
             weights = model.weights if hasattr(model, "weights") else model.coefficients
             # Two rows per model, whatever the table size.
             results += [
-                (name, len(weights), row.split, row.log_loss, row.accuracy)
+                (name, len(weights), row.split, row["rows"], row.log_loss, row.accuracy)
                 for row in score(model.transform(rows)).collect()
             ]
     finally:

@@ -6,6 +6,7 @@ city``. Values are summed as they are. An order without items has the value 0.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -140,3 +141,48 @@ def quantiles(
     values = df.approxQuantile(column, list(probabilities), error)
     rows = list(zip(map(float, probabilities), values)) if values else []
     return df.sparkSession.createDataFrame(rows, "probability double, quantile double")
+
+
+# Values that one exact selection may hold; more are narrowed down first.
+EXACT_ROWS = 200_000
+
+
+def exact_quantiles(
+    df: DataFrame,
+    column: str,
+    probabilities: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.99),
+    exact_rows: int = EXACT_ROWS,
+) -> DataFrame:
+    """Quantiles that are values of the column, exact at any size.
+
+    The value of rank ``ceil(p * n)``, NULL and NaN left out. A sketch gives
+    two values that enclose it, what lies below is counted, and only what lies
+    between is looked at again, until it is few enough to select from.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
+    total = values.count()
+    found = []
+    if 0 < total <= exact_rows:
+        ranks = [max(1, math.ceil(round(p * total, 6))) for p in probabilities]
+        found = values.approxQuantile("v", [(rank - 0.5) / total for rank in ranks], 0.0)
+    elif total:
+        found = [_selected(values, total, max(1, math.ceil(round(p * total, 6))), exact_rows) for p in probabilities]
+    rows = list(zip(map(float, probabilities), found)) if found else []
+    return df.sparkSession.createDataFrame(rows, "probability double, quantile double")
+
+
+def _selected(values: DataFrame, total: int, rank: int, exact_rows: int) -> float:
+    error = 0.001
+    while total > exact_rows:
+        middle = (rank - 0.5) / total
+        low, high = values.approxQuantile("v", [max(0.0, middle - 2 * error), min(1.0, middle + 2 * error)], error)
+        if low == high:
+            return low
+        inside = F.col("v").between(low, high)
+        below, among = values.agg(F.count_if(F.col("v") < low), F.count_if(inside)).first()
+        if not below < rank <= below + among:
+            raise ValueError("values change between passes")
+        values, rank = values.filter(inside), rank - below
+        error = error if among < total else error / 10
+        total = among
+    return values.approxQuantile("v", [(rank - 0.5) / total], 0.0)[0]

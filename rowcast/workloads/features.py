@@ -93,14 +93,34 @@ def _classified(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     return train, validation
 
 
+# Rows that the sweeps fit; validation rows are all scored.
+FIT_ROWS = 400
+
+
+def _checked(scores: DataFrame) -> DataFrame:
+    """What holds for any fit: split sizes, weights, and scores within their ranges."""
+    return scores.select(
+        "model",
+        "parameters",
+        "split",
+        "rows",
+        F.col("log_loss").between(0.0, 35.0).alias("loss_in_range"),
+        F.col("accuracy").between(0.0, 1.0).alias("accuracy_in_range"),
+    )
+
+
 def model_capacity_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """All four sizes, fitted for a few steps on a bounded sample."""
     train, validation = _classified(spark, folder)
-    return models.capacity_sweep(train, validation, WIDTH, ("tiny", "small"), iterations=20)
+    sample = models.first_by_hash(train, "vec_id", FIT_ROWS)
+    return _checked(models.capacity_sweep(sample, validation, WIDTH, iterations=3))
 
 
 def model_regularization_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """All three penalties on the same sample."""
     train, validation = _classified(spark, folder)
-    return models.regularization_sweep(train, validation, iterations=20)
+    sample = models.first_by_hash(train, "vec_id", FIT_ROWS)
+    return _checked(models.regularization_sweep(sample, validation, iterations=20))
 
 
 QUERIES = {
@@ -192,7 +212,28 @@ _PCA = (
     + " FROM scaled, first, second) "
 )
 
+def _sweep_sql(parameters: dict[str, int]) -> str:
+    models_listed = ", ".join(f"('{name}', {count})" for name, count in parameters.items())
+    return f"""WITH placed AS (
+        SELECT CAST('0x' || MD5(CAST(vec_id AS VARCHAR))[1:4] AS INTEGER) < {int(0.1 * 65_536)} AS held
+        FROM embeddings
+    ), sizes AS (
+        SELECT 'train' AS split, LEAST(COUNT(*), {FIT_ROWS}) AS rows FROM placed WHERE NOT held
+        UNION ALL SELECT 'validation', COUNT(*) FROM placed WHERE held
+    )
+    SELECT model, CAST(parameters AS BIGINT) AS parameters, split, rows,
+           TRUE AS loss_in_range, TRUE AS accuracy_in_range
+    FROM sizes, (VALUES {models_listed}) m(model, parameters)"""
+
+
+def _weights(hidden: list[int]) -> int:
+    layers = [WIDTH, *hidden, 2]
+    return sum((a + 1) * b for a, b in zip(layers, layers[1:]))
+
+
 ORACLE = {
+    "model_capacity_sweep": _sweep_sql({name: _weights(hidden) for name, hidden in models.CAPACITIES.items()}),
+    "model_regularization_sweep": _sweep_sql(dict.fromkeys(("none", "l2", "l1"), WIDTH)),
     "features_pca": _PCA
     + f"""SELECT l_orderkey, l_linenumber, target, {rounded_sql("pc1", SCORE_DIGITS)} AS pc1,
     {rounded_sql("pc2", SCORE_DIGITS)} AS pc2 FROM scores""",
