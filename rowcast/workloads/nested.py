@@ -1,7 +1,7 @@
-"""Nested orders built row by row from ``orders``.
+"""Nested orders collected from ``orders``, ``lineitem``, ``part``, ``customer`` and ``nation``.
 
-Each order carries none to five items, worked out from its key and price, so
-no grouping is needed to nest them.
+An order's items are its lines with the name of their part, its city is its
+customer's nation. Orders without lines occur and have no items.
 """
 
 from __future__ import annotations
@@ -10,37 +10,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.operators import nested
+from rowcast.plans.joins import join_dimension
 from rowcast.plans.scratch import scratch_path
-from rowcast.sources import files, synth
+from rowcast.sources import files
 from rowcast.workloads.tables import rounded, rounded_sql, table
 
-PRODUCTS = [name for name, _, _ in synth.PRODUCTS]
-CITIES = synth.CITIES
-
 
 def nested_orders(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    products = F.array(*[F.lit(name) for name in PRODUCTS])
-    cities = F.array(*[F.lit(name) for name in CITIES])
-    cents = F.rint(F.col("o_totalprice") * 100.0).cast("bigint")
-
-    def item(i):
-        return F.struct(
-            F.element_at(products, ((key + i * 3) % 8 + 1).cast("int")).alias("product"),
-            ((key + i) % 5 + 1).alias("qty"),
-            ((cents % 9973 + i * 101) / 100.0).alias("price"),
-        )
-
-    lines = F.slice(F.array(*[item(i) for i in range(1, 6)]), F.lit(1), (key % 6).cast("int"))
-    return table(spark, folder, "orders").select(
-        key.alias("order_id"),
+    """One row per order; lines are gathered by their order, which holds a few of them."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("part_id"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").cast("bigint").alias("qty"),
+        F.col("l_extendedprice").alias("price"),
+    )
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("part_id"), F.col("p_name").alias("product"))
+    named = join_dimension(lines, parts, "part_id", "inner", right_unique=True)
+    gathered = named.groupBy("order_id").agg(
+        F.array_sort(F.collect_list(F.struct("line", "product", "qty", "price"))).alias("lines")
+    )
+    items = F.transform("lines", lambda one: F.struct(one["product"].alias("product"), one["qty"].alias("qty"), one["price"].alias("price")))
+    people = table(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("nation_id"))
+    nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("city"))
+    places = join_dimension(people, nations, "nation_id", "left", right_unique=True).select("customer_id", "city")
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
         F.struct(
             F.col("o_custkey").alias("id"),
             F.col("o_orderpriority").alias("name"),
             F.col("o_orderstatus").alias("surname"),
         ).alias("customer"),
-        lines.alias("items"),
-        F.element_at(cities, (F.col("o_custkey") % 8 + 1).cast("int")).alias("city"),
+    )
+    placed = join_dimension(orders, places, "customer_id", "left", right_unique=True, right_scan=False)
+    return placed.join(gathered.select("order_id", items.alias("items")), "order_id", "left").select(
+        "order_id", "customer", "items", "city"
     )
 
 
@@ -95,32 +100,27 @@ QUERIES = {
 }
 
 
-def _listed(names: list[str], index: str) -> str:
-    return "([" + ", ".join(f"'{name}'" for name in names) + f"])[({index}) % {len(names)} + 1]"
-
-
-_NESTED = f"""
-WITH keyed AS (
-    SELECT o_orderkey AS order_id, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents,
-           {_listed(CITIES, "o_custkey")} AS city
-    FROM orders
-), items AS (
-    SELECT order_id, {_listed(PRODUCTS, "order_id + n.i * 3")} AS product,
-           CAST((order_id + n.i) % 5 + 1 AS BIGINT) AS qty,
-           CAST(cents % 9973 + n.i * 101 AS DOUBLE) / 100.0 AS price
-    FROM keyed JOIN (SELECT UNNEST(RANGE(1, 6)) AS i) n ON n.i <= order_id % 6
+_NESTED = """
+WITH items AS (
+    SELECT l_orderkey AS order_id, p_name AS product, CAST(l_quantity AS BIGINT) AS qty,
+           l_extendedprice AS price
+    FROM lineitem JOIN part ON l_partkey = p_partkey
 ), sums AS (
     SELECT order_id, SUM(qty * CAST(price AS DECIMAL(18, 2))) AS order_value
     FROM items GROUP BY order_id
 ), valued AS (
-    SELECT k.order_id, k.city, COALESCE(s.order_value, 0) AS exact_value,
+    SELECT o_orderkey AS order_id, n_name AS city, COALESCE(s.order_value, 0) AS exact_value,
            CAST(COALESCE(s.order_value, 0) AS DOUBLE) AS order_value
-    FROM keyed k LEFT JOIN sums s ON k.order_id = s.order_id
+    FROM orders
+    LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN nation ON c_nationkey = n_nationkey
+    LEFT JOIN sums s ON o_orderkey = s.order_id
 )
 """
 
 ORACLE = {
-    "nested_items": _NESTED + "SELECT order_id, product, qty, price FROM items",
+    "nested_items": _NESTED
+    + "SELECT order_id, product, qty, price FROM items WHERE order_id IN (SELECT o_orderkey FROM orders)",
     "nested_order_values": _NESTED + "SELECT order_id, city, order_value FROM valued",
     "nested_totals": _NESTED
     + """SELECT COUNT(*) AS total_orders,

@@ -53,6 +53,13 @@ def csv_gzip_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_numeric_gzip(spark, path, WIDTH)
 
 
+def csv_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents with their line breaks, quotes and blanks."""
+    path = scratch_path(spark, "csv_text")
+    files.write_csv(table(spark, folder, "documents").select("doc_id", "text", "lang"), path)
+    return files.read_csv_lazy(spark, path, "doc_id bigint, text string, lang string")
+
+
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Written only if absent: the second write must change nothing."""
     path = scratch_path(spark, "parquet")
@@ -95,6 +102,7 @@ QUERIES = {
     "csv_lazy_roundtrip": csv_lazy_roundtrip,
     "csv_headerless_roundtrip": csv_headerless_roundtrip,
     "csv_gzip_roundtrip": csv_gzip_roundtrip,
+    "csv_text_roundtrip": csv_text_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
     "parquet_overwrite": parquet_overwrite,
     "json_roundtrip": json_roundtrip,
@@ -113,9 +121,11 @@ ORACLE = {
     + " FROM embeddings",
     "parquet_roundtrip": "SELECT * FROM orders",
     "parquet_overwrite": "SELECT * FROM part",
-    "json_roundtrip": bank._VIEWS
-    + """SELECT a.alert_id, a.customer_id, a.risk_score, a.risk_class, e.ts AS created_at
-    FROM alerts a JOIN events e ON e.event_id = a.alert_id""",
+    "json_roundtrip": """SELECT event_id AS alert_id, user_id AS customer_id, risk_score,
+    CASE WHEN risk_score >= 0.8 THEN 'high' WHEN risk_score < 0.4 THEN 'low' ELSE 'medium' END AS risk_class,
+    ts AS created_at
+    FROM (SELECT *, CAST(event_id * 37 % 1000 AS DOUBLE) / 1000.0 AS risk_score FROM events)""",
+    "csv_text_roundtrip": "SELECT doc_id, text, lang FROM documents",
     "text_roundtrip": """SELECT CAST(LENGTH(url) AS INTEGER) AS line_length,
     COUNT(*) AS line_count FROM pages GROUP BY LENGTH(url)""",
 }
