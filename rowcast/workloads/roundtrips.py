@@ -25,7 +25,8 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def csv_lazy_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """CSV scanned lazily under a full schema, then averaged per category."""
     path = scratch_path(spark, "csv-lazy")
-    rows = table(spark, folder, "part").select("p_partkey", "p_retailprice", "p_brand")
+    part = table(spark, folder, "part")
+    rows = part.selectExpr("p_partkey AS id", "p_retailprice AS value", "p_brand AS category")
     files.write_csv(rows, path)
     scan = files.read_csv_lazy(spark, path, "id bigint, value double, category string")
     return scan.groupBy("category").agg(rounded(F.avg("value")).alias("avg_value"))
