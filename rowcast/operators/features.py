@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +32,15 @@ def _one_row(stats: DataFrame) -> Column:
 
 def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Means and population deviations of ``columns`` in one row; 1 for a deviation of 0."""
+    return df.agg(*_moment_columns(columns))
+
+
+def _moment_columns(columns: Sequence[str]) -> list[Column]:
     deviations = {name: F.stddev_pop(name) for name in columns}
-    return df.agg(
-        *[F.avg(name).alias(f"{name}_mean") for name in columns],
-        *[
-            F.when(deviation == 0, 1.0).otherwise(deviation).alias(f"{name}_dev")
-            for name, deviation in deviations.items()
-        ],
-    )
+    return [F.avg(name).alias(f"{name}_mean") for name in columns] + [
+        F.when(deviation == 0, 1.0).otherwise(deviation).alias(f"{name}_dev")
+        for name, deviation in deviations.items()
+    ]
 
 
 def _number(value: Column | float | None) -> Column:
@@ -64,19 +65,40 @@ def standardized(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _centred(df, columns, _one_row(moments(df, columns)))
 
 
+def _correlated(df: DataFrame, columns: Sequence[str]) -> tuple[dict, np.ndarray]:
+    """Moments and the correlation matrix of complete rows, by one aggregation of fixed size."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    whole = df.dropna(subset=list(columns))
+    products = [F.covar_pop(a, b).alias(f"{a}_{b}_product") for a, b in pairs]
+    deviations = [F.stddev_pop(name).alias(f"{name}_spread") for name in columns]
+    row = whole.agg(*_moment_columns(columns), *products, *deviations).first().asDict()
+    matrix = np.eye(len(columns))
+    for i, a in enumerate(columns):
+        matrix[i, i] = 1.0 if row[f"{a}_spread"] else 0.0
+        for j in range(i + 1, len(columns)):
+            b = columns[j]
+            product = row[f"{a}_{b}_product"] or 0.0
+            matrix[i, j] = matrix[j, i] = product / row[f"{a}_dev"] / row[f"{b}_dev"]
+    return row, matrix
+
+
+def _leading(matrix: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Loadings and explained shares; a vector's largest entry is positive."""
+    strength, vectors = np.linalg.eigh(matrix)
+    order = np.argsort(-strength, kind="stable")[:count]
+    loadings = vectors[:, order]
+    strongest = np.abs(loadings).argmax(axis=0)
+    signs = np.sign(loadings[strongest, np.arange(loadings.shape[1])])
+    return loadings * signs, strength[order] / max(strength.sum(), np.finfo(float).tiny)
+
+
 def components(scaled: DataFrame, columns: Sequence[str], count: int = 2):
     """Loadings (columns by components) and explained variance of standardized data.
 
-    Every loading vector is turned so that its largest entry is positive.
+    Every loading vector is turned so that its largest entry is positive. Rows
+    with a NULL among ``columns`` do not take part.
     """
-    packed = VectorAssembler(inputCols=list(columns), outputCol="features").transform(
-        scaled.select(*columns)
-    )
-    model = PCA(k=count, inputCol="features", outputCol="scores").fit(packed)
-    loadings = model.pc.toArray()
-    strongest = np.abs(loadings).argmax(axis=0)
-    signs = np.sign(loadings[strongest, np.arange(count)])
-    return loadings * signs, model.explainedVariance.toArray()
+    return _leading(_correlated(scaled, columns)[1], count)
 
 
 def principal_components(
@@ -84,12 +106,13 @@ def principal_components(
 ) -> DataFrame:
     """Scores ``pc1 .. pcN`` of every row, next to the ``keep`` columns.
 
-    The loadings are a small matrix; scoring is plain arithmetic in the scan's
-    own stage, so the label stays with its row.
+    One aggregation gives the moments and all products of two columns; the
+    loadings are the eigenvectors of that small matrix. Scoring is plain
+    arithmetic in the scan's own stage, so the label stays with its row.
     """
-    # One row of numbers, shared by fitting and scoring.
-    scaled = _centred(df, columns, moments(df, columns).first().asDict())
-    loadings, _ = components(scaled, columns, count)
+    stats, matrix = _correlated(df, columns)
+    loadings, _ = _leading(matrix, count)
+    scaled = _centred(df, columns, stats)
     scores = []
     for j in range(count):
         terms = [F.col(name) * float(loadings[i, j]) for i, name in enumerate(columns)]
@@ -118,9 +141,11 @@ def histogram(df: DataFrame, values: str, bins: int = 101) -> DataFrame:
 
     The last bin includes its right edge; a constant column gets the range
     value +/- 0.5. Entries are binned where they are read, and only ``bins``
-    partial counts leave each task. Empty bins are part of the result.
+    partial counts leave each task. Empty bins are part of the result. NULL, NaN
+    and infinite entries are left out.
     """
-    numbers = F.col(values).cast("array<double>")
+    finite = lambda x: F.abs(x) < F.lit(float("inf"))
+    numbers = F.filter(F.col(values).cast("array<double>"), finite)
     span = df.select(numbers.alias("v")).agg(
         F.min(F.array_min("v")).alias("low"), F.max(F.array_max("v")).alias("high")
     )

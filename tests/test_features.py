@@ -177,3 +177,18 @@ def test_leading_rows_with_a_shared_first_key(spark):
     assert cut.count() == 8 * 50
     assert "WindowGroupLimit" in cut._jdf.queryExecution().executedPlan().toString()
     assert [r.id for r in take_rows(table, "id", 50, force=True).collect()] == [0] * 50
+
+
+def test_histogram_leaves_odd_entries_out(spark):
+    table = spark.createDataFrame([([0.0, 1.0, float("nan"), None],), ([float("inf"), 2.0, 2.0],), (None,)], "v array<double>")
+    rows = features.histogram(table, "v", 2).orderBy("bin").collect()
+    assert [(r.left_edge, r["count"]) for r in rows] == [(0.0, 1), (1.0, 3)]
+
+
+def test_components_take_one_pass_and_skip_incomplete_rows(spark):
+    table = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 4.0, 3.0), (3.0, 6.5, 3.0), (None, 1.0, 3.0)], "a double, b double, c double")
+    loadings, explained = features.components(table, ["a", "b", "c"], 2)
+    assert loadings[0, 0] == pytest.approx(loadings[1, 0]) and abs(loadings[2, 0]) < 1e-9
+    assert sum(explained) == pytest.approx(1.0)
+    scores = features.principal_components(table, ["a", "b", "c"], 1).collect()
+    assert sum(r.pc1 is None for r in scores) == 1
