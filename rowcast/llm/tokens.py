@@ -2,8 +2,9 @@
 
 The vocabulary lower-cases, drops white space and never joins words across it,
 so a text's ids are the ids of its lower-cased words in turn. Most words of a corpus repeat: each is
-encoded once and looked up afterwards. The cache is emptied when it is full,
-and long texts are cut at white space into slices, so memory stays bounded.
+encoded once and looked up afterwards. The cache holds two generations of
+bounded size, and long texts are cut at white space into slices, so memory
+stays bounded.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from array import array
 from rowcast.llm.shingles import byte_view, groups
 
 SLICE = 1 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 # Lower-case Latin-1 letters: the vocabulary's normalizer leaves such words alone,
 # and its splitter makes them one group, so they go to the merges directly.
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
@@ -50,70 +51,60 @@ def _slices(data: bytes):
     yield data[start:]
 
 
+class _Words(dict):
+    """Ids of words, as little-endian unsigned 32-bit bytes; an unknown word is encoded when asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.shown = _shown_bytes()
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            # Marks after a letter or digit are a token group of their own.
+            core = word.rstrip(_MARKS)
+            if len(core) < len(word) and core[-1:].isalnum():
+                ids = self[core] + self[word[len(core) :]]
+            else:
+                ids = self._encoded(word)
+        self[word] = ids
+        return ids
+
+    def _encoded(self, word: bytes) -> bytes:
+        text = word.decode().lower()
+        if _PLAIN(text):
+            if len(text) < len(word):
+                text = text.encode().decode("latin-1").translate(self.shown)
+            return array("I", [token.id for token in self.model.tokenize(text)]).tobytes()
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+    def age(self) -> None:
+        """Once full, keep this generation beside a new one; words still in use move over."""
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes."""
+    """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.shown = _shown_bytes()
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        fresh = set(words).difference(self.known)
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            self.known = {}
-            fresh = set(words)
-        # Marks after a letter or digit are a token group of their own.
-        cut = {}
-        for word in fresh:
-            core = word.rstrip(_MARKS)
-            if len(core) < len(word) and core[-1:].isalnum():
-                cut[word] = core
-        needed = fresh.difference(cut)
-        needed.update(cut.values())
-        needed.update(word[len(core) :] for word, core in cut.items())
-        self._encode(list(needed.difference(self.known)))
-        for word, core in cut.items():
-            self.known[word] = self.known[core] + self.known[word[len(core) :]]
-
-    def _encode(self, words: list[bytes]) -> None:
-        merged, shown, others = self.model.tokenize, self.shown, []
-        for word in words:
-            text = word.decode().lower()
-            if _PLAIN(text):
-                if len(text) < len(word):
-                    text = text.encode().decode("latin-1").translate(shown)
-                self.known[word] = array("I", [token.id for token in merged(text)]).tobytes()
-            else:
-                others.append(word)
-        words = others
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            encoded = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
-            for word, one in zip(part, encoded):
-                self.known[word] = array("I", one.ids).tobytes()
+        self.words = _Words(Tokenizer.from_file(path))
 
     def encode(self, data: bytes) -> bytes:
         found = []
         for part in _slices(data):
-            words = part.lower().split()
-            self._learn(words)
-            found.extend(map(self.known.__getitem__, words))
-            if len(found) > CACHE_WORDS:
-                found = [b"".join(found)]
-        return b"".join(found)
+            self.words.age()
+            found.append(b"".join(map(self.words.__getitem__, part.lower().split())))
+        return found[0] if len(found) == 1 else b"".join(found)
 
     def encode_many(self, texts: list[bytes]) -> list[bytes]:
-        """Short texts share one look for new words."""
-        if sum(map(len, texts)) > SLICE:
-            return [self.encode(text) for text in texts]
-        split = [text.lower().split() for text in texts]
-        self._learn([word for words in split for word in words])
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        return [self.encode(text) for text in texts]
 
 
 def encoder(path: str) -> Encoder:

@@ -30,7 +30,7 @@ def test_words_equal_whole_texts(monkeypatch):
     for text, ids in zip(texts, own.encode_many([(t or "").encode() for t in texts])):
         assert np.frombuffer(ids, "<u4").tolist() == plain(text), text
     monkeypatch.setattr("rowcast.llm.tokens.SLICE", 50)
-    monkeypatch.setattr("rowcast.llm.tokens.CACHE_WORDS", 30)
+    monkeypatch.setattr("rowcast.llm.tokens.CACHE_WORDS", 5)
     for text in texts:
         assert np.frombuffer(own.encode((text or "").encode()), "<u4").tolist() == plain(text), text
 
