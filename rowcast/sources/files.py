@@ -111,7 +111,7 @@ def read_numeric_gzip(
     """
     names = ["label"] + [f"f{i}" for i in range(features)]
     schema = StructType([StructField(name, DoubleType()) for name in names])
-    return spread(spark.read.schema(schema).csv(path), partitions)
+    return spread(spark.read.schema(schema).options(**_CSV).csv(path), partitions)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.operators import features, models
+from rowcast.plans.scratch import scratch_path
+from rowcast.sources import files
 from rowcast.workloads.tables import rounded, rounded_sql, table
 
 MEASURES = ["quantity", "price", "discount", "tax"]
@@ -71,6 +73,20 @@ def features_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return features.histogram(vectors(spark, folder), "embedding", 101)
 
 
+def features_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Gzipped CSV to numbers, packed to vectors, to a histogram of the training rows."""
+    path = scratch_path(spark, "chain")
+    rows = vectors(spark, folder).select(
+        F.col("vec_id").cast("double").alias("label"),
+        *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(WIDTH)],
+    )
+    files.write_csv(rows, path, header=False, compression="gzip")
+    names = [f"f{i}" for i in range(WIDTH)]
+    packed = features.pack(files.read_numeric_gzip(spark, path, WIDTH), names, "label")
+    _, train = features.split(packed, "label", validation=100)
+    return features.histogram(train.select(vector_to_array("features").alias("entries")), "entries", 101)
+
+
 def features_split(spark: SparkSession, folder: str) -> DataFrame:
     """Both splits with their name: the first 100 rows, then up to 10000 more."""
     validation, train = features.split(
@@ -131,6 +147,7 @@ QUERIES = {
     "features_class_subset": features_class_subset,
     "features_histogram": features_histogram,
     "features_split": features_split,
+    "features_chain": features_chain,
     "features_batches": features_batches,
     "model_capacity_sweep": model_capacity_sweep,
     "model_regularization_sweep": model_regularization_sweep,
@@ -272,3 +289,8 @@ ORACLE = {
         FROM events
     ) SELECT *, row_index // 500 AS batch_id FROM indexed""",
 }
+# The same counts over the training rows alone.
+ORACLE["features_chain"] = ORACLE["features_histogram"].replace(
+    "FROM embeddings",
+    "FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY vec_id) AS place FROM embeddings) WHERE place BETWEEN 101 AND 10100",
+)

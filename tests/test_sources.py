@@ -7,9 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from rowcast.functions import draws
-from rowcast.operators import basics, nested
+from rowcast.operators import bank, basics, nested, payments
 from rowcast.plans.scratch import is_folder, release, scratch_path
-from rowcast.sources import files, synth
+from rowcast.sources import datasets, files, synth
 
 
 def test_csv_by_header_name_with_bad_values(spark, tmp_path):
@@ -197,3 +197,15 @@ def test_scratch_folders(spark, tmp_path):
         is_folder(spark, path)
     with pytest.raises(ValueError):
         release(spark, str(tmp_path))
+
+
+def test_data_sets_are_written_once(spark, tmp_path):
+    paths = datasets.write_payment_sources(spark, str(tmp_path / "p"), customers=20, orders=50)
+    orders, customers, paid = payments.read_sources(spark, paths["customers"], paths["orders"], paths["payments"])
+    assert payments.totals(orders, paid).first().orders_count == 50 and customers.count() == 20
+    again = datasets.write_payment_sources(spark, str(tmp_path / "p"), customers=30, orders=70)
+    assert again == paths and spark.read.parquet(paths["orders"]).count() == 50
+    paths = datasets.write_bank_sources(spark, str(tmp_path / "b"), 20, 60, 10)
+    people, moves, alerts = bank.read_sources(spark, paths["customers"], paths["transactions"], paths["alerts"])
+    assert (people.count(), moves.count(), alerts.count()) == (20, 60, 10)
+    assert alerts.filter("created_at IS NULL OR risk_class IS NULL").count() == 0
