@@ -209,3 +209,13 @@ def test_data_sets_are_written_once(spark, tmp_path):
     people, moves, alerts = bank.read_sources(spark, paths["customers"], paths["transactions"], paths["alerts"])
     assert (people.count(), moves.count(), alerts.count()) == (20, 60, 10)
     assert alerts.filter("created_at IS NULL OR risk_class IS NULL").count() == 0
+
+
+def test_draws_do_not_repeat_above_the_modulus(spark):
+    starts = [0, 2**31 - 1, 2 * (2**31 - 1), 2**40]
+    seen = [
+        [r[0] for r in spark.range(start, start + 20).orderBy("id").select(draws.draw("id", 3)).collect()]
+        for start in starts
+    ]
+    assert all(0 <= value < draws.PRIME for part in seen for value in part)
+    assert len({tuple(part) for part in seen}) == len(starts)
