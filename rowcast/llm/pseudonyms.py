@@ -13,10 +13,15 @@ can invert it.
 | ssn | area, group and serial in use | all numbers in use |
 | date | a day of 1700 to 2099, as Y-M-D, D.M.Y or M/D/Y | all these days |
 | ip | four numbers up to 255 | all addresses |
-| phone | country code or area code with separators | all digits but the country code |
+| phone | country code or area code with separators, 7 to 15 digits | all digits but the country code |
 | card | 13 to 19 digits, plain or in fours, Luhn | all digits; the check digit follows |
 
-What looks like one of these but is not valid stays as it is. NULL texts stay
+What looks like one of these but is not valid stays as it is, and what starts
+inside it is looked at all the same. IBANs and phone numbers in groups end after
+the last group that leaves them valid (an IBAN of a known country at its length),
+so a value that follows after one space is found on its own. Outside +1, phone
+numbers have no fixed length: a bare group of two to four digits right after one
+is taken for its end, up to 15 digits. Where values overlap, the first wins. NULL texts stay
 NULL; texts without a match are not touched. No row is dropped, and all other
 columns are kept. Names that clash with the added ones are replaced.
 
@@ -39,15 +44,38 @@ _IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-]|\.[0-9])"
 _IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
+_CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:(?: [0-9]{4}){3}|(?:-[0-9]{4}){3})|[0-9]{4} [0-9]{6} [0-9]{5})(?![0-9A-Za-z])"
+_LOCAL = r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
+# A further group of a phone number does not start a value that cannot be its end,
+# nor, once there are seven digits, anything that looks like another kind.
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+_FULL = "(?<=" + r"[0-9][ .()-]{0,2}" * 7 + ")"  # written out, as Java bounds no loop over a group
+_OTHER = (
+    "(?:" + "|".join((_EMAIL, _SECRET, _CARD, rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"))
+    + f"|{_FULL}(?:{_SSN}|{_DATE}|{_IP}|(?<![0-9]){_LOCAL}))"
+)
 _PHONE = (
-    r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-    r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
+    r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+    r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?(?!" + _OTHER + r")[0-9]{2,4}){1,4}"
+    r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|" + _LOCAL + r")(?![0-9])"
 )
-_CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:(?: [0-9]{4}){3}|(?:-[0-9]{4}){3})|[0-9]{4} [0-9]{6} [0-9]{5})(?![0-9A-Za-z])"
+# Enough to tell a match of the phone pattern from other matches without its surroundings.
+_PHONE_SHAPE = r"[+(][^@]*|" + _LOCAL
 PATTERN = "|".join((_EMAIL, _SECRET, _IBAN, _SSN, _DATE, _IP, _PHONE, _CARD))
+# Matches nothing itself, so values that start inside a match are listed as well.
+STARTS = f"(?=({PATTERN}))"
 # Every kind has one of these; most texts have none and are passed on at once.
 HINT = r"[0-9][0-9.]|@|\([0-9]|[0-9a-fA-F]{32}"
 
+# Characters of the IBANs of a country; others may have any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+CHUNK = 256  # candidates put in place at a time, so work grows with the text and not with its square
+
 _DAYS = 146097  # of 400 years, 189 * 773
 _FIRST_DAY = "date'1700-01-01'"
 
@@ -135,14 +163,34 @@ def _remainder(text: str) -> str:
     return f"aggregate(sequence(1, length({text})), 0, (s, j) -> {value})"
 
 
+def _cuts(m: str, separators: str, valid) -> str:
+    """The valid ones of ``m`` and its beginnings before a separator, longest first."""
+    ends = f"filter(sequence(length({m}), 1, -1), e -> e = length({m}) OR substr({m}, e + 1, 1) rlike '[{separators}]')"
+    return f"filter(transform({ends}, e -> substr({m}, 1, e)), v -> {valid('v')})"
+
+
+def _whole_iban(m: str) -> str:
+    """The part of ``m`` that is an IBAN, of the country's length if there is one; NULL if none."""
+    plain = lambda v: f"replace({v}, ' ', '')"
+    turned = lambda v: f"concat(substr({plain(v)}, 5), substr({plain(v)}, 1, 4))"
+    cuts = _cuts(m, " ", lambda v: f"length({plain(v)}) >= 12 AND transform(array({turned(v)}), t -> {_remainder('t')} = 1)[0]")
+    arms = " ".join(
+        f"WHEN substr({m}, 1, 2) IN ({', '.join(map(_text, names.split()))}) THEN {length}" for length, names in IBAN_LENGTHS.items()
+    )
+    usual = f"filter(c, v -> length({plain('v')}) = CASE {arms} ELSE 0 END)"
+    return f"transform(array({cuts}), c -> coalesce(try_element_at({usual}, 1), try_element_at(c, 1)))[0]"
+
+
+def _whole_phone(m: str) -> str:
+    return f"try_element_at({_cuts(m, ' .-', lambda v: f'length({_digits(v)}) BETWEEN 7 AND 15')}, 1)"
+
+
 def _iban(m: str, key: str) -> tuple[str, str]:
     plain = f"replace({m}, ' ', '')"
-    turned = f"concat(substr({plain}, 5), substr({plain}, 1, 4))"
-    valid = f"transform(array({turned}), t -> {_remainder('t')} = 1)[0]"
     check = f"transform(array(concat(b, substr({m}, 1, 2), '00')), t -> lpad(cast(98 - {_remainder('t')} AS string), 2, '0'))[0]"
     body = _permuted(f"substr({plain}, 5)", key, "iban")
     fresh = f"transform(array({body}), b -> concat(substr({m}, 1, 2), {check}, b))[0]"
-    return valid, _refilled(m, fresh, kept=" ")
+    return "true", _refilled(m, fresh, kept=" ")
 
 
 def _ssn(m: str, key: str) -> tuple[str, str]:
@@ -184,7 +232,7 @@ def _phone(m: str, key: str) -> tuple[str, str]:
     head = f"regexp_extract({m}, '^[+][0-9]{{1,3}}(?=[ .(-])', 0)"
     rest = f"substr({m}, length({head}) + 1)"
     fresh = _refilled(rest, _permuted(_digits(rest), key, "phone"))
-    return f"length({_digits(m)}) BETWEEN 7 AND 18", f"concat({head}, {fresh})"
+    return "true", f"concat({head}, {fresh})"
 
 
 def _email(m: str, key: str) -> tuple[str, str]:
@@ -201,34 +249,62 @@ def _whole(pattern: str) -> str:
 
 
 def _replaced(m: str, key: str) -> str:
-    """``(kind, value)`` for one match; the kind is '' if it is not valid."""
+    """``(kind, value, size)`` for one match, ``size`` being the characters replaced; the kind is '' if it is not valid."""
+    kept = "named_struct('kind', '', 'value', '', 'size', 0)"
     arms = []
-    for kind, pattern, rule in (
-        ("email", _EMAIL, _email), ("secret", _SECRET, _secret), ("iban", _IBAN, _iban), ("ssn", _SSN, _ssn),
-        ("date", _DATE, _date), ("ip", _IP, _ip), ("phone", _PHONE, _phone), ("card", _CARD, _card),
+    for kind, pattern, rule, part in (
+        ("email", _EMAIL, _email, None), ("secret", _SECRET, _secret, None), ("iban", _IBAN, _iban, _whole_iban), ("ssn", _SSN, _ssn, None),
+        ("date", _DATE, _date, None), ("ip", _IP, _ip, None), ("phone", _PHONE_SHAPE, _phone, _whole_phone), ("card", _CARD, _card, None),
     ):
-        valid, fresh = rule(m, key)
-        arms.append(
-            f"WHEN {m} rlike {_whole(pattern)} THEN if({valid}, named_struct('kind', '{kind}', 'value', {fresh}),"
-            f" named_struct('kind', '', 'value', {m}))"
-        )
-    return f"CASE {' '.join(arms)} ELSE named_struct('kind', '', 'value', {m}) END"
+        value = "w" if part else m
+        valid, fresh = rule(value, key)
+        put = f"named_struct('kind', '{kind}', 'value', {fresh}, 'size', length({value}))"
+        if part:
+            put = f"transform(array({part(m)}), w -> if(w IS NULL, {kept}, {put}))[0]"
+        else:
+            put = f"if({valid}, {put}, {kept})"
+        arms.append(f"WHEN {m} rlike {_whole(pattern)} THEN {put}")
+    return f"CASE {' '.join(arms)} ELSE {kept} END"
+
+
+# Cells are the candidates with the text from their start to the next one's.
+# ``skip`` is how much of the value before reaches into the next cell.
+_PART = "struct<kind: string, text: string>"
+_PLACED = f"""aggregate(
+    transform(sequence(0, size(_cells) - 1, {CHUNK}), at -> slice(_cells, at + 1, {CHUNK})),
+    named_struct('parts', cast(array() AS array<array<{_PART}>>), 'skip', 0),
+    (done, chunk) -> transform(array(aggregate(
+        chunk, named_struct('parts', cast(array() AS array<{_PART}>), 'skip', done.skip),
+        (s, c) -> if(s.skip > 0 OR c.kind = '',
+            named_struct(
+                'parts', concat(s.parts, array(named_struct('kind', '', 'text', substr(c.text, s.skip + 1)))),
+                'skip', greatest(s.skip - length(c.text), 0)),
+            named_struct(
+                'parts', concat(s.parts, array(named_struct('kind', c.kind, 'text', concat(c.value, substr(c.text, c.size + 1))))),
+                'skip', greatest(c.size - length(c.text), 0)))
+    )), s -> named_struct('parts', concat(done.parts, array(s.parts)), 'skip', s.skip))[0],
+    done -> flatten(done.parts))"""
 
 
 def pseudonymized(docs: DataFrame, key: str, *, text_col: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col``; with ``counts``, also ``n_<kind>`` of what was replaced."""
     source = F.col(text_col).cast("string")
-    found = F.when(source.rlike(HINT), F.regexp_extract_all(source, F.lit(PATTERN), F.lit(0)))
+    found = F.when(source.rlike(HINT), F.regexp_extract_all(source, F.lit(STARTS), F.lit(1)))
     marked = docs.withColumn("_found", F.when(F.size(found) > 0, found))
-    marked = marked.withColumn("_fresh", F.expr(f"transform(_found, m -> {_replaced('m', key)})"))
-    gaps = F.split(source, PATTERN, -1)
-    # Gaps and values alternate; there is one gap more.
-    woven = F.array_join(F.transform(gaps, lambda gap, i: F.concat(gap, F.coalesce(F.try_element_at("_fresh", i + 1)["value"], F.lit("")))), "")
+    # One piece per candidate, and one before the first unless the text starts with it.
+    marked = marked.withColumn("_pieces", F.when(F.col("_found").isNotNull(), F.split(source, STARTS, -1)))
+    cells = (
+        f"zip_with(transform(_found, m -> {_replaced('m', key)}), slice(_pieces, size(_pieces) - size(_found) + 1, size(_found)),"
+        " (x, p) -> named_struct('kind', x.kind, 'value', x.value, 'size', x.size, 'text', p))"
+    )
+    marked = marked.withColumn("_cells", F.expr(cells))
+    marked = marked.withColumn("_fresh", F.expr(f"if(_cells IS NULL, NULL, {_PLACED})"))
+    woven = F.expr("concat(if(size(_pieces) > size(_found), _pieces[0], ''), array_join(transform(_fresh, x -> x.text), ''))")
     out = marked.withColumn(text_col, F.when(F.col("_fresh").isNull(), source).otherwise(woven))
     if counts:
         for kind in KINDS:
             out = out.withColumn(f"n_{kind}", _count(kind))
-    return out.drop("_found", "_fresh")
+    return out.drop("_found", "_pieces", "_cells", "_fresh")
 
 
 def _count(kind: str) -> Column:

@@ -84,6 +84,45 @@ def test_invalid_values_and_plain_texts_stay(spark):
         assert row.text == text and not kinds(row), row
 
 
+def test_every_ordered_pair_of_kinds_side_by_side(spark):
+    values = {
+        "email": ["jo.Smith+x9@mail7.example.com", "12ab@b.org"],
+        "secret": ["24be64439e3e49cf46b2d7c90f3602a3d0b907ff"],
+        "iban": ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "AT61 1904 3002 3457 3201"],
+        "ssn": ["123-45-6789"],
+        "date": ["2020-01-02", "31.12.1999", "12/25/2020"],
+        "ip": ["190.137.223.204", "10.1.22.7"],
+        "phone": ["+1 (826) 555-4081", "+49 30 1234567", "+14155552671", "(212) 555-1234", "212-555-1234"],
+        "card": ["4111111111111111", "4111 1111 1111 1111", "5500 0000 0000 0004", "3782 822463 10005"],
+    }
+    flat = [(kind, value) for kind, all_of in values.items() for value in all_of]
+    alone = dict(zip((value for _, value in flat), (row.text for row in run(spark, [value for _, value in flat]))))
+    assert all(value != fresh for value, fresh in alone.items())
+    pairs = [(a, b, gap) for a in flat for b in flat for gap in (" ", ", ", "\n")]
+    for (a, b, gap), row in zip(pairs, run(spark, [a[1] + gap + b[1] for a, b, gap in pairs])):
+        assert row.text == alone[a[1]] + gap + alone[b[1]], (a, b, gap, row.text)
+        assert kinds(row) == ({a[0]: 2} if a[0] == b[0] else {a[0]: 1, b[0]: 1})
+
+
+def test_what_fails_hides_nothing(spark):
+    texts = [
+        "2021 4111 1111 1111 1111", "XX12 4111 1111 1111 1111", "+1 (826) 555-4081 12", "+49 30 1234567 190.137.223.204 2020-01-02",
+        "AT61 1904 3002 3457 3201 IS MINE", "+123 1234567890123456 and 1.2.3.4", "+49 30 999-45-6789",
+    ]
+    card, phone, other, ip, day, iban, short = (
+        r.text for r in run(spark, ["4111 1111 1111 1111", "+1 (826) 555-4081", "+49 30 1234567", "190.137.223.204", "2020-01-02",
+                                    "AT61 1904 3002 3457 3201", "1.2.3.4"])
+    )
+    rows = [r.text for r in run(spark, texts)]
+    assert rows[:6] == [
+        "2021 " + card, "XX12 " + card, phone + " 12", f"{other} {ip} {day}", iban + " IS MINE", "+123 1234567890123456 and " + short,
+    ]
+    assert "999-45-6789" not in rows[6]
+    # More candidates than are put in place at a time.
+    many = run(spark, ["2021 4111 1111 1111 1111, " * 700])[0]
+    assert many.text == f"2021 {card}, " * 700 and many.n_card == 700
+
+
 def test_values_are_linked_and_never_meet(spark):
     numbers = [f"10.0.{i // 200}.{i % 200}" for i in range(400)]
     dates = [str(datetime.date(1999, 1, 1) + datetime.timedelta(days=i)) for i in range(400)]
