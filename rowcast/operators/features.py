@@ -136,14 +136,18 @@ def class_summary(df: DataFrame, label: str, columns: Sequence[str]) -> DataFram
     )
 
 
-def histogram(df: DataFrame, values: str, bins: int = 101) -> DataFrame:
+def histogram(
+    df: DataFrame, values: str, bins: int = 101, by: str | None = None, groups: Sequence[str] = ()
+) -> DataFrame:
     """Counts per equal-width bin over all entries of the array column ``values``.
 
     The last bin includes its right edge; a constant column gets the range
     value +/- 0.5. Entries are binned where they are read, and only ``bins``
     partial counts leave each task. Empty bins are part of the result. NULL, NaN
-    and infinite entries are left out.
+    and infinite entries are left out. With ``by``, counts are per value of that
+    column among ``groups``, over the same bins of all rows.
     """
+    keys = [by] if by else []
     finite = lambda x: F.abs(x) < F.lit(float("inf"))
     numbers = F.filter(F.col(values).cast("array<double>"), finite)
     span = df.select(numbers.alias("v")).agg(
@@ -159,14 +163,17 @@ def histogram(df: DataFrame, values: str, bins: int = 101) -> DataFrame:
     low, width = edges["low"], edges["high"] - edges["low"]
     position = F.floor((F.col("x") - low) / width * float(bins)).cast("int")
     counted = (
-        df.select(F.explode(numbers).alias("x"))
+        df.select(*keys, F.explode(numbers).alias("x"))
         .filter(F.col("x").isNotNull())
-        .select(F.least(position, F.lit(bins - 1)).alias("bin"))
-        .groupBy("bin")
+        .select(*keys, F.least(position, F.lit(bins - 1)).alias("bin"))
+        .groupBy(*keys, "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return all_bins.join(counted, "bin", "left").select(
+    if by:
+        all_bins = all_bins.select("bin", F.explode(F.array(*map(F.lit, groups))).alias(by))
+    return all_bins.join(counted, [*keys, "bin"], "left").select(
+        *keys,
         "bin",
         (low + F.col("bin") * width / float(bins)).alias("left_edge"),
         F.coalesce("n", F.lit(0).cast("bigint")).alias("count"),
@@ -183,6 +190,26 @@ def split(
     )
 
 
+PARTS = ("validation", "train", "rest")
+
+
+def with_part(
+    df: DataFrame, key: str, validation: int = 1_000, train: int = 10_000, **options
+) -> DataFrame:
+    """All rows with the ``part`` of the split they fall in; ``rest`` is past both.
+
+    Parts are told by their last keys, so rows of one key stay together. Rows
+    without a key belong to the rest.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    ends = [
+        _one_row(taken.agg(F.max(key).alias("last")))["last"]
+        for taken in split(keys, key, validation, train, **options)
+    ]
+    part = F.when(F.col(key) <= ends[0], PARTS[0]).when(F.col(key) <= ends[1], PARTS[1])
+    return df.withColumn("part", part.otherwise(PARTS[2]))
+
+
 def batches(df: DataFrame, key: str, size: int = 500, seed: int = 7) -> DataFrame:
     """Shuffle by seed and number the rows in batches of ``size``."""
     indexed = shuffled_index(df, key, seed)

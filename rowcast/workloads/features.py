@@ -73,8 +73,8 @@ def features_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return features.histogram(vectors(spark, folder), "embedding", 101)
 
 
-def features_chain(spark: SparkSession, folder: str) -> DataFrame:
-    """Gzipped CSV to numbers, packed to vectors, to a histogram of the training rows."""
+def _chained(spark: SparkSession, folder: str) -> DataFrame:
+    """Gzipped CSV to numbers, packed to vectors: all rows of the table."""
     path = scratch_path(spark, "chain")
     rows = vectors(spark, folder).select(
         F.col("vec_id").cast("double").alias("label"),
@@ -82,11 +82,22 @@ def features_chain(spark: SparkSession, folder: str) -> DataFrame:
     )
     files.write_csv(rows, path, header=False, compression="gzip")
     names = [f"f{i}" for i in range(WIDTH)]
-    packed = features.pack(files.read_numeric_gzip(spark, path, WIDTH), names, "label")
-    _, train = features.split(packed, "label", validation=100)
+    return features.pack(files.read_numeric_gzip(spark, path, WIDTH), names, "label")
+
+
+def features_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """The chain to a histogram of the training rows alone."""
+    _, train = features.split(_chained(spark, folder), "label", validation=100)
     return features.histogram(train.select(vector_to_array("features").alias("entries")), "entries", 101)
 
 
+def features_chain_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """The chain to a histogram of all packed rows, its counts told apart by the split that follows."""
+    parted = features.with_part(_chained(spark, folder), "label", validation=100)
+    entries = parted.select("part", vector_to_array("features").alias("entries"))
+    return features.histogram(entries, "entries", 101, by="part", groups=features.PARTS)
+
+
 def features_split(spark: SparkSession, folder: str) -> DataFrame:
     """Both splits with their name: the first 100 rows, then up to 10000 more."""
     validation, train = features.split(
@@ -148,6 +159,7 @@ QUERIES = {
     "features_histogram": features_histogram,
     "features_split": features_split,
     "features_chain": features_chain,
+    "features_chain_whole": features_chain_whole,
     "features_batches": features_batches,
     "model_capacity_sweep": model_capacity_sweep,
     "model_regularization_sweep": model_regularization_sweep,
@@ -294,3 +306,20 @@ ORACLE["features_chain"] = ORACLE["features_histogram"].replace(
     "FROM embeddings",
     "FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY vec_id) AS place FROM embeddings) WHERE place BETWEEN 101 AND 10100",
 )
+# The counts of all rows by the part of the split.
+ORACLE["features_chain_whole"] = """WITH parted AS (
+    SELECT embedding, CASE WHEN place <= 100 THEN 'validation' WHEN place <= 10100 THEN 'train' ELSE 'rest' END AS part
+    FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY vec_id) AS place FROM embeddings)
+), entries AS (
+    SELECT part, CAST(UNNEST(embedding) AS DOUBLE) AS x FROM parted
+), span AS (
+    SELECT MIN(x) AS low, MAX(x) - MIN(x) AS width FROM entries
+), counted AS (
+    SELECT part, CAST(LEAST(FLOOR((x - low) / width * 101.0), 100) AS INTEGER) AS bin,
+           COUNT(*) AS n FROM entries, span GROUP BY 1, 2
+)
+SELECT p.part, CAST(b.i AS INTEGER) AS bin,
+low + CAST(b.i AS DOUBLE) * width / CAST(101 AS DOUBLE) AS left_edge,
+COALESCE(n, 0) AS count
+FROM (SELECT UNNEST(RANGE(101)) AS i) b CROSS JOIN (SELECT UNNEST(['validation', 'train', 'rest']) AS part) p
+CROSS JOIN span LEFT JOIN counted ON bin = b.i AND counted.part = p.part"""

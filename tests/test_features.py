@@ -71,6 +71,23 @@ def test_histogram_equals_numpy(spark, bins):
     assert np.allclose([r.left_edge for r in rows], edges[:-1])
 
 
+def test_histogram_covers_all_parts_of_a_split(spark):
+    dice = np.random.default_rng(6)
+    data = dice.normal(0, 1, (60, 3))
+    rows = [(i, r.tolist()) for i, r in enumerate(data)] + [(None, [0.0])]
+    table = spark.createDataFrame(rows, "id bigint, v array<double>")
+    parted = features.with_part(table, "id", validation=5, train=20)
+    got = features.histogram(parted, "v", 7, by="part", groups=features.PARTS).collect()
+    edges = np.histogram(data.flatten(), bins=7)[1]
+    rest = np.append(data[25:].flatten(), 0.0)
+    for part, own in zip(features.PARTS, (data[:5], data[5:25], rest)):
+        counts = [r["count"] for r in sorted(got, key=lambda r: r.bin) if r.part == part]
+        assert counts == np.histogram(own, bins=edges)[0].tolist()
+    assert sum(r["count"] for r in got) == 60 * 3 + 1
+    few = features.histogram(features.with_part(table, "id", 100, 100), "v", 7, by="part", groups=features.PARTS)
+    assert few.filter("part <> 'validation'").groupBy("part").sum("count").orderBy("part").collect() == [("rest", 1), ("train", 0)]
+
+
 def test_histogram_of_a_constant(spark):
     table = spark.createDataFrame([([2.0, 2.0],), ([2.0],)], "v array<double>")
     rows = features.histogram(table, "v", 4).orderBy("bin").collect()
