@@ -16,7 +16,8 @@ with their ``k + 1`` smallest ids, which is all that a top-k can use.
 A row's neighbours are the ``k`` other rows of smallest distance, smaller ids
 first among equals. Rows without an id or a code take no part, not as queries
 either; rows of one id count as one per distinct code. A table of fewer rows
-gives fewer neighbours, an empty one none.
+gives fewer neighbours, an empty one none. Vectors of more than 64 dimensions
+have no code; ``checked_code``, which the registered query takes, refuses them.
 """
 
 from __future__ import annotations
@@ -44,6 +45,12 @@ def sign_code(vector: str) -> Column:
     return F.when(F.size(vector) <= 64, code)
 
 
+def checked_code(vector: str) -> Column:
+    """The same, but an error for vectors that have no code for being too wide."""
+    wide = F.concat(F.lit("codes hold 64 dimensions, a vector has "), F.size(vector).cast("string"))
+    return F.when(F.size(vector) > 64, F.raise_error(wide)).otherwise(sign_code(vector))
+
+
 def _masks(bits: int, weight: int) -> np.ndarray:
     """All numbers of ``bits`` bits of which ``weight`` are set."""
     return np.array([sum(1 << bit for bit in own) for own in combinations(range(bits), weight)], np.int64)

@@ -49,7 +49,7 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_multi_index_hamming(spark: SparkSession, folder: str) -> DataFrame:
     """Ten nearest codes of every row whose id is divisible by 20, among all rows."""
-    rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code"))
+    rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), hamming.checked_code("embedding").alias("code"))
     return hamming.nearest(rows, rows.filter("id % 20 = 0"))
 
 

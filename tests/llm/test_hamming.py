@@ -7,6 +7,7 @@ import random
 import pytest
 
 from rowcast.llm import hamming
+from rowcast.llm.queries import op6_multi_index_hamming
 
 
 @pytest.mark.parametrize("k", [1, 4])
@@ -48,3 +49,14 @@ def test_small_tables(spark):
 def test_sign_code(spark):
     frame = spark.createDataFrame([([0.5, -1.0, 2.0, None],), (None,), ([],), ([1.0] * 64,), ([1.0] * 65,)], "v array<double>")
     assert [r[0] for r in frame.select(hamming.sign_code("v")).collect()] == [5, None, 0, -1, None]
+
+
+def test_wide_vectors_are_refused(spark, tmp_path):
+    rows = [(0, [1.0] * 64), (1, [-1.0] * 64), (20, None)]
+    schema = "vec_id long, embedding array<double>"
+    for name, more in (("fit", []), ("wide", [(2, [1.0] * 65)])):
+        spark.createDataFrame(rows + more, schema).write.parquet(f"{tmp_path}/{name}/embeddings.parquet")
+    found = op6_multi_index_hamming(spark, f"{tmp_path}/fit").collect()
+    assert [(r.query_id, r.neighbor_id, r.distance) for r in found] == [(0, 1, 64)]
+    with pytest.raises(Exception, match="a vector has 65"):
+        op6_multi_index_hamming(spark, f"{tmp_path}/wide").collect()
