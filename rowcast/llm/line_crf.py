@@ -307,8 +307,9 @@ def fit_quality(
     own = own.groupBy("id").agg(F.max("label").alias("label"))
     chosen = own.orderBy(F.md5(F.col("id").cast("string")), "id").limit(train_docs)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    # At most ``train_docs`` rows, so the sample is safe to broadcast and its features to collect.
-    sample = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
+    # At most ``train_docs`` ids, safe to broadcast. An id may stand on any number of rows: equal
+    # ones are described once, and of what is left only the first ``train_docs`` are collected.
+    sample = texts.join(F.broadcast(chosen), "id").select("id", "label", "text").distinct()
 
     def describe(batches):
         for batch in batches:
@@ -327,7 +328,8 @@ def fit_quality(
                         )
 
     drawn = sample.mapInArrow(describe, "id long, label int, length binary, features binary")
-    rows = sorted({(r.id, r.label, bytes(r.length), bytes(r.features)) for r in drawn.collect()})[:train_docs]
+    first = drawn.distinct().orderBy("id", "label", "length", "features").limit(train_docs)
+    rows = sorted((r.id, r.label, bytes(r.length), bytes(r.features)) for r in first.collect())
     length = np.concatenate([np.zeros(0, np.int32)] + [np.frombuffer(r[2], np.int32) for r in rows]).astype(np.int64)
     features = np.concatenate([np.zeros((0, FEATURES))] + [np.frombuffer(r[3], np.float32).reshape(-1, FEATURES) for r in rows])
     bounds = np.cumsum([0] + [len(r[2]) // 4 for r in rows])

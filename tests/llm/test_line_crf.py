@@ -63,3 +63,15 @@ def test_held_out_accuracy(spark):
     bad = [r.score for r in rows if r.quality == 0]
     assert sum(g > b for g in good for b in bad) >= 0.95 * len(good) * len(bad)
     assert sum(r.predicted == r.quality for r in rows) >= 0.93 * len(rows)
+
+
+def test_sample_is_bounded_by_rows(spark, monkeypatch):
+    own = [(i, f"Plain words of text {i}.\n" + "A further line. " * n) for i in range(8) for n in range(40)]
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame(own * 2, schema)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    sizes, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: (sizes.append(len(out := collect(self))), out)[1])
+    model = fit_quality(docs, labels, train_docs=4)
+    assert sizes and max(sizes) <= 4
+    assert (model.scale, model.shift) == (lambda m: (m.scale, m.shift))(fit_quality(spark.createDataFrame(own, schema), labels, train_docs=4))
