@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowcast.llm.common import table
 from rowcast.llm import decontaminate, hamming, token_index, warc
+from rowcast.llm.divergence import judged
 from rowcast.llm.hilbert import hilbert_shards
 from rowcast.llm.licenses import scan_licenses
 from rowcast.llm.line_crf import graded
@@ -77,6 +78,11 @@ def op10_token_index(spark: SparkSession, folder: str) -> DataFrame:
     return token_index.read_by_key(spark, path, token_index.keys_of(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op12_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base measures of every document and the verdict of its distances to the language references."""
+    return judged(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -88,6 +94,7 @@ QUERIES = {
     "op8_license_automaton": op8_license_automaton,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
     "op10_token_index": op10_token_index,
+    "op12_divergence_rules": op12_divergence_rules,
 }
 
 ORACLE = {

@@ -30,13 +30,15 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> _U(31))
 
 
-def _byte_values() -> np.ndarray:
+def byte_values(fold: bool = True) -> np.ndarray:
+    """A worth for every byte; with ``fold`` A-Z are worth what a-z are."""
     values = mix((np.arange(256, dtype=np.uint64) + _U(1)) * _BASE)
-    values[65:91] = values[97:123]
+    if fold:
+        values[65:91] = values[97:123]
     return values
 
 
-_VALUES = _byte_values()
+_VALUES = byte_values()
 _IN_WORD = np.ones(256, dtype=bool)
 _IN_WORD[[32, 9, 10, 11, 12, 13]] = False
 _POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -80,9 +82,9 @@ def groups(starts: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> Iterat
         yield slice(first, len(starts))
 
 
-def _window_words(content: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _window_words(content: np.ndarray, breaks: np.ndarray, values: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and start places of the words of one window; ``breaks`` also end words."""
-    inside = _IN_WORD[content]
+    inside = word_bytes[content]
     opened = inside.copy()
     opened[1:] &= ~inside[:-1]
     breaks = breaks[breaks < len(content)]
@@ -92,25 +94,34 @@ def _window_words(content: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray,
         return np.zeros(0, np.uint64), first
     # A word ends where the next one opens at the latest; separators add nothing.
     powers, inverse = _powers(len(content))
-    terms = _VALUES[content] * powers[: len(content)]
+    terms = values[content] * powers[: len(content)]
     terms[~inside] = 0
     return mix(np.add.reduceat(terms, first) * inverse[first]), first
 
 
-def word_hashes(content: np.ndarray, breaks: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash and start of every word; words also end at ``breaks`` (sorted)."""
+def word_hashes(
+    content: np.ndarray,
+    breaks: np.ndarray,
+    window: int = WINDOW,
+    values: np.ndarray = _VALUES,
+    word_bytes: np.ndarray = _IN_WORD,
+) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash and start of every word; words also end at ``breaks`` (sorted).
+
+    ``values`` gives what each byte is worth (equal worth, equal word), ``word_bytes`` which bytes are part of a word.
+    """
     if len(content) <= window:
-        return _window_words(content, breaks)
+        return _window_words(content, breaks, values, word_bytes)
     hashes, places, at = [], [], 0
     while at < len(content):
         end = min(at + window, len(content))
         while end < len(content):
-            gaps = np.flatnonzero(~_IN_WORD[content[at:end]])
+            gaps = np.flatnonzero(~word_bytes[content[at:end]])
             if len(gaps):
                 end = at + int(gaps[-1]) + 1
                 break
             end = min(end + window, len(content))
-        h, p = _window_words(content[at:end], breaks[(breaks >= at) & (breaks < end)] - at)
+        h, p = _window_words(content[at:end], breaks[(breaks >= at) & (breaks < end)] - at, values, word_bytes)
         hashes.append(h)
         places.append(p + at)
         at = end
