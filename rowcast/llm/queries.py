@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.llm.common import table
-from rowcast.llm import decontaminate, hamming, token_index, warc
+from rowcast.llm import decontaminate, hamming, hard_negatives, token_index, warc
+from rowcast.llm.conversation_trie import ORACLE as TRIE_ORACLE
+from rowcast.llm.conversation_trie import conversation_trie
 from rowcast.llm.divergence import judged
 from rowcast.llm.hilbert import hilbert_shards
 from rowcast.llm.licenses import scan_licenses
@@ -78,11 +80,25 @@ def op10_token_index(spark: SparkSession, folder: str) -> DataFrame:
     return token_index.read_by_key(spark, path, token_index.keys_of(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conversation_trie(table(spark, folder, "conversations"), rebuild=True)
+
+
 def op12_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures of every document and the verdict of its distances to the language references."""
     return judged(table(spark, folder, "documents"))
 
 
+def op13_secondary_sort_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every row whose id is divisible by 100."""
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (bigint(label) + 1) % 10 ELSE label END")
+    rows = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), label.cast("int").alias("label"), hard_negatives.quantised("embedding").alias("code")
+    )
+    return hard_negatives.hard_negatives(rows, "id % 100 = 0")
+
+
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -94,10 +110,14 @@ QUERIES = {
     "op8_license_automaton": op8_license_automaton,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
     "op10_token_index": op10_token_index,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_divergence_rules": op12_divergence_rules,
+    "op13_secondary_sort_negatives": op13_secondary_sort_negatives,
 }
 
 ORACLE = {
     "op2_benchmark_decontamination": decontaminate.ORACLE,
     "op6_multi_index_hamming": hamming.ORACLE,
+    "op11_prefix_trie": TRIE_ORACLE,
+    "op13_secondary_sort_negatives": hard_negatives.ORACLE,
 }
