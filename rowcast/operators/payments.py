@@ -68,7 +68,7 @@ def settle(orders: DataFrame, payments: DataFrame, **skew) -> DataFrame:
 def joined(orders: DataFrame, customers: DataFrame, payments: DataFrame, **skew) -> DataFrame:
     """One row per order and payment, with customer columns and amounts."""
     placed = with_position(orders)
-    known = join_dimension(placed, customers, "customer_id", "left", **skew)
+    known = join_dimension(placed, customers, "customer_id", "left", left_keys=orders, **skew)
     return settle(known, payments, left_keys=orders, **skew).select(
         "order_id",
         "customer_id",

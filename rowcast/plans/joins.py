@@ -2,8 +2,10 @@
 
 Three ways, from cheap to heavy:
 
-* a build side whose size was checked is broadcast;
-* small inputs use a plain join, and AQE picks the physical strategy;
+* a build side under the session's broadcast threshold is left to Spark, one
+  somewhat larger is broadcast after its size was measured;
+* small inputs use a plain join, and AQE picks the physical strategy and splits
+  skewed partitions; neither of these runs a job while the query is built;
 * large inputs use ``skew_join``: heavy keys found by a mergeable sketch are
   spread over a grid of salts, so no task receives one key whole. Without
   heavy keys it is a plain join again.
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from rowcast.plans.sizing import broadcastable, modest
+from rowcast.plans.sizing import broadcastable, left_to_spark, modest
 
 POSITION = "_position"
 # The sketch lists at most this many keys, which bounds what is collected and broadcast.
@@ -156,6 +158,8 @@ def join_dimension(
     fact: DataFrame, dimension: DataFrame, key: str, how: str = "left", **skew
 ) -> DataFrame:
     """Look ``key`` up in ``dimension``: broadcast if it is small, else skew-safe."""
+    if not skew.get("force") and left_to_spark(dimension):
+        return fact.join(dimension, key, how)
     if broadcastable(dimension):
         return fact.join(F.broadcast(dimension), key, how)
     return skew_join(fact, dimension, key, how, **skew)

@@ -1,4 +1,10 @@
-"""Size checks taken from Catalyst's own estimates."""
+"""Size checks taken from Catalyst's own estimates.
+
+Building a query should cost no pass over its inputs, so small inputs are told
+by the bytes of their files alone, which Catalyst knows when a table is opened.
+A job runs only where much hangs on the answer: before a broadcast that Spark
+would not make by itself.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +18,8 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 2_000_000
 # What the rows hold once decoded: well-compressed text can be far larger than its file.
 BROADCAST_PAYLOAD = 64 * 1024 * 1024
-# Inputs below this, and of fewer rows, fit a few tasks whatever their keys look like.
-SKEW_FLOOR_BYTES = 8 * 1024 * 1024 * 1024
-SKEW_FLOOR_ROWS = 50_000_000
+# Inputs below this fit a few tasks whatever their keys look like; AQE splits what is skewed among them.
+SKEW_FLOOR_BYTES = 2 * 1024 * 1024 * 1024
 
 
 def _optimized(df: DataFrame):
@@ -71,9 +76,16 @@ def broadcastable(df: DataFrame) -> bool:
     return seen["rows"] <= BROADCAST_ROWS and seen["bytes"] <= BROADCAST_PAYLOAD
 
 
+def left_to_spark(df: DataFrame) -> bool:
+    """Whether Spark broadcasts ``df`` on its own estimate, under the session's threshold."""
+    estimate = plan_bytes(df)
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    number = text.rstrip("bkmgt")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[len(number) : len(number) + 1], 1)
+    return estimate is not None and estimate <= int(number) * scale
+
+
 def modest(*frames: DataFrame) -> bool:
-    """True only when the inputs of all frames are small together, in bytes and in counted rows."""
+    """True only when the files behind all frames are small together; no job is run."""
     sizes = [input_bytes(df) for df in frames]
-    if None in sizes or sum(sizes) > SKEW_FLOOR_BYTES:
-        return False
-    return sum(df.count() for df in frames) <= SKEW_FLOOR_ROWS
+    return None not in sizes and sum(sizes) <= SKEW_FLOOR_BYTES

@@ -30,13 +30,18 @@ def run_until_stopped(query: StreamingQuery, seconds: int | None = None) -> None
 
 
 def replay(
-    spark: SparkSession, counters: DataFrame, mode: str = "update", name: str = "replay"
+    spark: SparkSession,
+    counters: DataFrame,
+    mode: str = "update",
+    name: str = "replay",
+    progress: list | None = None,
 ) -> DataFrame:
     """Run a stream over everything available and return its output table.
 
     Batches are written by the executors to a folder per batch, so a batch
     that runs again replaces what it wrote before; nothing is gathered on the
-    driver. Rows carry ``batch_id``.
+    driver. Rows carry ``batch_id``. ``progress`` takes the stream's reports,
+    one of every batch it still remembers.
     """
     target = scratch_path(spark, name)
 
@@ -54,6 +59,8 @@ def replay(
         .start()
     )
     query.awaitTermination()
+    if progress is not None:
+        progress.extend(query.recentProgress)
     schema = StructType([*counters.schema.fields, StructField("batch_id", LongType())])
     # A stream that had nothing to read ran no batch.
     if not started[0]:

@@ -33,7 +33,6 @@ def nested_orders(spark: SparkSession, folder: str) -> DataFrame:
     items = F.transform("lines", lambda one: F.struct(one["product"].alias("product"), one["qty"].alias("qty"), one["price"].alias("price")))
     people = table(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("nation_id"))
     nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("city"))
-    places = join_dimension(people, nations, "nation_id", "left", right_unique=True).select("customer_id", "city")
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -43,7 +42,8 @@ def nested_orders(spark: SparkSession, folder: str) -> DataFrame:
             F.col("o_orderstatus").alias("surname"),
         ).alias("customer"),
     )
-    placed = join_dimension(orders, places, "customer_id", "left", right_unique=True, right_scan=False)
+    known = join_dimension(orders, people, "customer_id", "left", right_unique=True)
+    placed = join_dimension(known, nations, "nation_id", "left", right_unique=True).drop("customer_id", "nation_id")
     return placed.join(gathered.select("order_id", items.alias("items")), "order_id", "left").select(
         "order_id", "customer", "items", "city"
     )

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from rowcast.streaming import counters, runners
+from rowcast.streaming import counters, deliveries, runners
 
 SCHEMA = "timestamp timestamp, value bigint"
 
@@ -134,3 +134,42 @@ def test_rate_source_to_console(spark, capfd):
     query = runners.start_console(counters.two_counters(stream))
     runners.run_until_stopped(query, 6)
     assert not query.isActive and query.exception() is None
+
+
+def test_deliveries_drop_late_rows_and_evict_windows(spark, tmp_path):
+    table = events(spark, 1200).withColumn("delivery", F.expr("int(value div 100) + CASE WHEN value % 17 = 0 THEN 3 WHEN value % 5 = 0 THEN 1 ELSE 0 END"))
+    path = str(tmp_path / "deliveries")
+    assert deliveries.write_deliveries(table, path, "delivery") == 1
+    stream = counters.table_stream(spark, path, events(spark, 1).schema, files_per_batch=1)
+    counted = counters.flat_window(counters.two_counters(counters.flagged(stream)))
+    progress = []
+    updates = deliveries.replay_deliveries(spark, counted, "t-late", progress)
+    got = runners.latest(updates, "window_start")
+    ends = F.window("timestamp", "10 seconds")["end"]
+    late = deliveries.late_rows(table, "timestamp", "delivery", ends, 30_000)
+    dropped = {r.value for r in late.collect()}
+    assert {v for v in range(1200) if v % 17 == 0 and v < 1000} - dropped == {v for v in range(100) if v % 17 == 0 and v >= 100}
+    kept = events(spark, 1200).filter(~F.col("value").isin(*dropped))
+    assert rows(got.select(batch_result(kept).columns)) == rows(batch_result(kept))
+    assert 10 < updates.select("batch_id").distinct().count() <= len(progress)
+    states = [p["stateOperators"][0] for p in progress if p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) > 0
+    # Windows leave the state as they close: it never holds them all.
+    assert max(s["numRowsTotal"] for s in states) < batch_result(events(spark, 1200)).count() / 2
+
+
+def test_no_deliveries(spark, tmp_path):
+    none = events(spark, 0).withColumn("delivery", F.lit(1))
+    assert deliveries.write_deliveries(none, str(tmp_path / "d"), "delivery") == 0
+
+
+def test_deliveries_of_several_files_stay_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(deliveries, "FILE_ROWS", 100)
+    table = events(spark, 3000).withColumn("delivery", F.expr("int(value div 1000)"))
+    path = str(tmp_path / "d")
+    assert deliveries.write_deliveries(table, path, "delivery", files=3) == 3
+    stream = counters.table_stream(spark, path, events(spark, 1).schema, files_per_batch=3)
+    counted = counters.flat_window(counters.two_counters(counters.flagged(stream)))
+    updates = deliveries.replay_deliveries(spark, counted, "t-files")
+    sums = updates.groupBy("batch_id").agg(F.min("window_start").alias("at")).orderBy("batch_id").collect()
+    assert len(sums) == 3 and [r.at for r in sums] == sorted(r.at for r in sums)
