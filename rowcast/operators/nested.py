@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowcast.functions.exact import amount, sum_units, units
+from rowcast.functions.quantiles import PROBABILITIES, estimated, sketched
+from rowcast.plans.scratch import scratch_path
 
 # Only what the reports read; a JSON scan parses just the fields listed.
 READ_SCHEMA = (
@@ -134,13 +136,15 @@ def describe(df: DataFrame, *columns: str) -> DataFrame:
 def quantiles(
     df: DataFrame,
     column: str,
-    probabilities: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.99),
+    probabilities: Sequence[float] = PROBABILITIES,
     error: float = 0.01,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Approximate quantiles, one row per probability, within ``error`` in rank."""
-    values = df.approxQuantile(column, list(probabilities), error)
-    rows = list(zip(map(float, probabilities), values)) if values else []
-    return df.sparkSession.createDataFrame(rows, "probability double, quantile double")
+    """Approximate quantiles within ``error`` in rank, one row per probability and group of ``by``.
+
+    One aggregation, run when the result is asked for.
+    """
+    return estimated(sketched(df, list(by), column, error), probabilities).drop("value_count")
 
 
 # Values that one exact selection may hold; more are narrowed down first.
@@ -150,16 +154,20 @@ EXACT_ROWS = 200_000
 def exact_quantiles(
     df: DataFrame,
     column: str,
-    probabilities: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.99),
+    probabilities: Sequence[float] = PROBABILITIES,
     exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """Quantiles that are values of the column, exact at any size.
 
     The value of rank ``ceil(p * n)``, NULL and NaN left out. A sketch gives
     two values that enclose it, what lies below is counted, and only what lies
-    between is looked at again, until it is few enough to select from.
+    between is looked at again, until it is few enough to select from. The
+    column is written once, so the passes do not repeat what made it.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
+    path = scratch_path(df.sparkSession, "values")
+    values.write.parquet(path)
+    values = df.sparkSession.read.schema("v double").parquet(path)
     total = values.count()
     found = []
     if 0 < total <= exact_rows:

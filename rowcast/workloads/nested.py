@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowcast.functions import quantiles
 from rowcast.operators import nested
 from rowcast.plans.joins import join_dimension
 from rowcast.plans.scratch import scratch_path
@@ -88,7 +89,27 @@ def nested_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     return nested.exact_quantiles(nested_order_values(spark, folder), "order_value")
 
 
+def nested_city_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Order values per city and over all cities, from one sketch a city; each quantile's rank is checked.
+
+    Sketches draw lots, so it is not the value that is compared but whether its
+    rank, counted over all orders, is within one per cent.
+    """
+    path = scratch_path(spark, "order-values")
+    files.write_parquet(nested_order_values(spark, folder).select("city", "order_value"), path)
+    values = spark.read.schema("city string, order_value double").parquet(path)
+    cities = quantiles.sketched(values, ["city"], "order_value")
+    found = []
+    for keys, sketches in ((["city"], cities), ([], quantiles.merged(cities))):
+        estimates = quantiles.estimated(sketches)
+        checked = quantiles.rank_errors(values, keys, "order_value", estimates)
+        place = F.col("city") if keys else F.lit("all")
+        found.append(checked.select(place.alias("city"), "probability", "value_count", (F.col("rank_error") <= quantiles.ERROR).alias("within")))
+    return found[0].unionByName(found[1])
+
+
 QUERIES = {
+    "nested_city_quantiles": nested_city_quantiles,
     "nested_items": nested_items,
     "nested_order_values": nested_order_values,
     "nested_totals": nested_totals,
@@ -119,6 +140,10 @@ WITH items AS (
 """
 
 ORACLE = {
+    "nested_city_quantiles": _NESTED
+    + """SELECT city, CAST(p AS DOUBLE) AS probability, COUNT(*) AS value_count, TRUE AS within
+    FROM (SELECT city FROM valued UNION ALL SELECT 'all' FROM valued), (SELECT UNNEST([0.25, 0.5, 0.75, 0.9, 0.99]) AS p)
+    GROUP BY city, p""",
     "nested_items": _NESTED
     + "SELECT order_id, product, qty, price FROM items WHERE order_id IN (SELECT o_orderkey FROM orders)",
     "nested_order_values": _NESTED + "SELECT order_id, city, order_value FROM valued",
