@@ -10,7 +10,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.plans.numbering import shuffled_index, take_rows
+from rowcast.functions.vectors import scatter, weighed
+from rowcast.plans.joins import POSITION, with_position
+from rowcast.plans.numbering import CONTENT, content, leading_cut, shuffled_index, within_cut
 
 
 def pack(df: DataFrame, features: Sequence[str], label: str, *keep: str) -> DataFrame:
@@ -123,6 +125,29 @@ def principal_components(
     return scaled.select(*keep, *scores)
 
 
+def array_components(df: DataFrame, column: str, count: int = 2, *keep: str) -> DataFrame:
+    """Scores ``pc1 .. pcN`` of an array column of any width, next to the ``keep`` columns.
+
+    As ``principal_components``: entries are standardized, a constant one
+    becomes 0. The correlation matrix is one accumulator, not an aggregate per
+    pair. Rows that took no part in it have NULL scores.
+    """
+    rows, means, products = scatter(df, column)
+    if not rows:
+        return df.select(*keep, *[F.lit(None).cast("double").alias(f"pc{j + 1}") for j in range(count)])
+    spread = np.sqrt(np.diag(products) / rows)
+    scale = np.where(spread == 0, 1.0, spread)
+    loadings, _ = _leading(products / rows / np.outer(scale, scale), count)
+    fits = F.size(column) == len(means)
+    return df.select(
+        *keep,
+        *[
+            F.when(fits, weighed(column, loadings[:, j].tolist(), means.tolist(), scale.tolist())).alias(f"pc{j + 1}")
+            for j in range(loadings.shape[1])
+        ],
+    )
+
+
 def of_class(df: DataFrame, label: str, value) -> DataFrame:
     """The rows of one class."""
     return df.filter(F.col(label) == value)
@@ -180,17 +205,15 @@ def histogram(
     )
 
 
+PARTS = ("validation", "train", "rest")
+
+
 def split(
     df: DataFrame, key: str, validation: int = 1_000, train: int = 10_000, **options
 ) -> tuple[DataFrame, DataFrame]:
-    """The first ``validation`` rows in key order, and the next ``train`` rows."""
-    return (
-        take_rows(df, key, validation, **options),
-        take_rows(df, key, train, skip=validation, **options),
-    )
-
-
-PARTS = ("validation", "train", "rest")
+    """The first ``validation`` rows in key order, and the next ``train`` rows; no row is in both."""
+    parted = with_part(df, key, validation, train, **options)
+    return tuple(parted.filter(F.col("part") == name).drop("part") for name in PARTS[:2])
 
 
 def with_part(
@@ -198,16 +221,15 @@ def with_part(
 ) -> DataFrame:
     """All rows with the ``part`` of the split they fall in; ``rest`` is past both.
 
-    Parts are told by their last keys, so rows of one key stay together. Rows
-    without a key belong to the rest.
+    Parts have exactly the wanted rows, also where a key repeats across a
+    boundary: rows of one key are in the order of a hash of their content, and
+    equal rows in the order of the scan. Rows without a key belong to the rest.
     """
-    keys = df.select(key).filter(F.col(key).isNotNull())
-    ends = [
-        _one_row(taken.agg(F.max(key).alias("last")))["last"]
-        for taken in split(keys, key, validation, train, **options)
-    ]
-    part = F.when(F.col(key) <= ends[0], PARTS[0]).when(F.col(key) <= ends[1], PARTS[1])
-    return df.withColumn("part", part.otherwise(PARTS[2]))
+    marked = content(with_position(df))
+    cuts = [leading_cut(marked, key, count, **options) for count in (validation, validation + train)]
+    part = F.when(within_cut(cuts[0], key), PARTS[0]).when(within_cut(cuts[1], key), PARTS[1])
+    added = [c for c in (POSITION, CONTENT) if c not in df.columns]
+    return marked.withColumn("part", part.otherwise(PARTS[2])).drop(*added)
 
 
 def batches(df: DataFrame, key: str, size: int = 500, seed: int = 7) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Hidden layers of the capacity sweep, and the penalty weight.
@@ -27,16 +27,15 @@ RESULT = (
 
 
 def holdout(df: DataFrame, key: str, share: float = 0.1) -> tuple[DataFrame, DataFrame]:
-    """Validation and training rows, split by the leading digits of ``md5(key)``; all rows are used."""
-    spot = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("int")
-    spot = F.coalesce(spot, F.lit(0))
-    cut = int(share * 65_536)
-    return df.filter(spot < cut), df.filter(spot >= cut)
+    """Validation and training rows, see ``held_out``; all rows are used."""
+    held = held_out(key, share)
+    return df.filter(held), df.filter(~held)
 
 
-def first_by_hash(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """A bounded sample for fitting: the ``rows`` rows first in the order of ``md5(key)``."""
-    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(rows)
+def held_out(key: str, share: float = 0.1) -> Column:
+    """Whether a row is for validation, by the leading digits of ``md5(key)``; a NULL key is."""
+    spot = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("int")
+    return F.coalesce(spot, F.lit(0)) < int(share * 65_536)
 
 
 def score(predicted: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ read them more than once and rely on the same rows in the same places.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowcast.plans.joins import POSITION, hot_keys, with_position
@@ -99,6 +99,70 @@ def leading_rows(df: DataFrame, key: str, count: int, *, force: bool = False) ->
     return ranked.filter(F.col("_rank") <= count).drop("_branch", "_rank")
 
 
+CONTENT = "_content"
+
+
+def content(df: DataFrame) -> DataFrame:
+    """Add a hash of every column but the position, to order rows of one key by."""
+    if CONTENT in df.columns:
+        return df
+    return df.withColumn(CONTENT, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != POSITION]))
+
+
+def leading_cut(df: DataFrame, key: str, count: int, **options) -> tuple | None:
+    """Where the first ``count`` rows by (key, content, position) end; None if there are no more than that.
+
+    ``df`` has all three, see ``with_position`` and ``content``. The last key is
+    found first; only where more rows share it than are wanted are its contents
+    counted, by leading bits and then within one of 65 536 stretches, and only
+    where equal rows remain their places, by task and then within one task. So
+    nothing sorts a key's rows, however many there are.
+    """
+    if count <= 0:
+        return (None,)
+    rows = df.filter(F.col(key).isNotNull())
+    known = leading_rows(rows.select(key), key, count, **options).orderBy(key).limit(count)
+    last = known.agg(F.max(key).alias("last"), F.count(F.lit(1)).alias("n")).first()
+    if last["n"] < count:
+        return None
+    value = F.lit(last["last"])
+    below, same = rows.agg(F.count_if(F.col(key) < value), F.count_if(F.col(key) == value)).first()
+    wanted = count - below
+    if wanted == same:
+        return (last["last"], None, None)
+    equal = rows.filter(F.col(key) == value)
+    stretch, wanted = _counted_place(equal, F.shiftright(CONTENT, 48), wanted)
+    hashed, wanted = _counted_place(equal.filter(F.shiftright(CONTENT, 48) == stretch), F.col(CONTENT), wanted)
+    equal = equal.filter(F.col(CONTENT) == hashed)
+    # A position is a task's number and a place within it.
+    task, wanted = _counted_place(equal, F.shiftright(POSITION, 33), wanted)
+    place = F.row_number().over(Window.orderBy(POSITION))
+    inside = equal.filter(F.shiftright(POSITION, 33) == task).select(POSITION, place.alias("place"))
+    return (last["last"], hashed, inside.filter(F.col("place") == wanted).first()[POSITION])
+
+
+def _counted_place(df: DataFrame, step: Column, wanted: int) -> tuple[int, int]:
+    """The value of ``step`` that the row of rank ``wanted`` has, and its rank among the rows of that value."""
+    counts = df.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    upto = counts.select("step", "n", F.sum("n").over(Window.orderBy("step")).alias("upto"))
+    row = upto.filter(F.col("upto") >= wanted).orderBy("step").first()
+    return row["step"], wanted - (row["upto"] - row["n"])
+
+
+def within_cut(cut: tuple | None, key: str) -> Column:
+    """Whether a row lies before the end that ``leading_cut`` found."""
+    if cut is None:
+        return F.col(key).isNotNull()
+    if len(cut) == 1:
+        return F.lit(False)
+    value, hashed, position = cut
+    if hashed is None:
+        return F.col(key) <= F.lit(value)
+    first = F.col(CONTENT) < F.lit(hashed).cast("long")
+    equal = (F.col(CONTENT) == F.lit(hashed).cast("long")) & (F.col(POSITION) <= F.lit(position).cast("long"))
+    return (F.col(key) < F.lit(value)) | ((F.col(key) == F.lit(value)) & (first | equal))
+
+
 def take_rows(df: DataFrame, key: str, count: int, skip: int = 0, **options) -> DataFrame:
     """Rows ``skip .. skip + count`` in the order of a numeric ``key`` without NULLs."""
     ordered = leading_rows(df, key, skip + count, **options).orderBy(key)

@@ -6,13 +6,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.operators import features, models
+from rowcast.operators import features, models, networks
+from rowcast.plans.reuse import reused, settled
 from rowcast.plans.scratch import scratch_path
 from rowcast.sources import files
 from rowcast.workloads.tables import rounded, rounded_sql, table
 
 MEASURES = ["quantity", "price", "discount", "tax"]
 WIDTH = 64
+WIDTHS = (28, 64)
 SEED = 7
 SCORE_DIGITS = 3
 
@@ -85,17 +87,25 @@ def _chained(spark: SparkSession, folder: str) -> DataFrame:
     return features.pack(files.read_numeric_gzip(spark, path, WIDTH), names, "label")
 
 
-def features_chain(spark: SparkSession, folder: str) -> DataFrame:
-    """The chain to a histogram of the training rows alone."""
-    _, train = features.split(_chained(spark, folder), "label", validation=100)
-    return features.histogram(train.select(vector_to_array("features").alias("entries")), "entries", 101)
+def features_pca_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Two components of the first 28 entries of every vector, and of all 64."""
+    found = []
+    for width in WIDTHS:
+        cut = vectors(spark, folder).select("vec_id", F.slice("embedding", 1, width).alias("entries"))
+        scores = features.array_components(cut, "entries", 2, "vec_id")
+        found.append(scores.select(F.lit(width).alias("width"), "vec_id", *[rounded(name, SCORE_DIGITS).alias(name) for name in ("pc1", "pc2")]))
+    return found[0].unionByName(found[1])
 
 
 def features_chain_whole(spark: SparkSession, folder: str) -> DataFrame:
-    """The chain to a histogram of all packed rows, its counts told apart by the split that follows."""
-    parted = features.with_part(_chained(spark, folder), "label", validation=100)
-    entries = parted.select("part", vector_to_array("features").alias("entries"))
-    return features.histogram(entries, "entries", 101, by="part", groups=features.PARTS)
+    """The chain to a histogram of all packed rows, its counts told apart by the split that follows.
+
+    The gzipped files are read once; the passes of the split and the histogram read the packed rows.
+    """
+    packed = _chained(spark, folder).select("label", vector_to_array("features").alias("entries"))
+    with reused(packed, "packed") as rows:
+        parted = features.with_part(rows, "label", validation=100)
+        return settled(features.histogram(parted, "entries", 101, by="part", groups=features.PARTS), "histogram")
 
 
 def features_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,52 +123,44 @@ def features_batches(spark: SparkSession, folder: str) -> DataFrame:
     return features.batches(keyed, "event_id", 500, SEED)
 
 
-def _classified(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    parity = vectors(spark, folder).withColumn("label", (F.col("label") % 2).cast("double"))
-    packed = features.pack_array(parity, "embedding", "label", "vec_id")
-    validation, train = models.holdout(packed, "vec_id")
-    return train, validation
-
+# Steps and step length of the sweeps; every step is a pass over all training rows.
+CAPACITY_STEPS, PENALTY_STEPS, RATE = 3, 10, 0.5
+# Penalties on the smallest network: strong enough to show after a few steps.
+PENALTIES = {"none": (0.0, 0.0), "l1": (0.004, 0.0), "l2": (0.0, 0.004)}
 
-# Rows that the sweeps fit; validation rows are all scored.
-FIT_ROWS = 400
 
-
-def _checked(scores: DataFrame) -> DataFrame:
-    """What holds for any fit: split sizes, weights, and scores within their ranges."""
-    return scores.select(
-        "model",
-        "parameters",
-        "split",
-        "rows",
-        F.col("log_loss").between(0.0, 35.0).alias("loss_in_range"),
-        F.col("accuracy").between(0.0, 1.0).alias("accuracy_in_range"),
-    )
+def _swept(spark: SparkSession, folder: str, nets: list[networks.Network], steps: int) -> DataFrame:
+    """Networks fitted on all training rows and scored on all rows of both splits."""
+    parity = vectors(spark, folder).withColumn("label", F.col("label") % 2)
+    held = models.held_out("vec_id")
+    rows = parity.select("embedding", "label", F.when(held, "validation").otherwise("train").alias("split"))
+    with reused(rows, "split") as stored:
+        fit = networks.fitted(nets, stored.filter("split = 'train'"), "embedding", "label", steps, RATE)
+        scores = settled(networks.scored(fit, stored, "embedding", "label", "split"), "scores")
+    return scores.withColumns({name: rounded(name) for name in ("log_loss", "accuracy")})
 
 
 def model_capacity_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    """All four sizes, fitted for a few steps on a bounded sample."""
-    train, validation = _classified(spark, folder)
-    sample = models.first_by_hash(train, "vec_id", FIT_ROWS)
-    return _checked(models.capacity_sweep(sample, validation, WIDTH, iterations=3))
+    """Cross-entropy and accuracy of networks of four sizes, after the same few steps."""
+    nets = [networks.network(name, WIDTH, hidden) for name, hidden in models.CAPACITIES.items()]
+    return _swept(spark, folder, nets, CAPACITY_STEPS)
 
 
 def model_regularization_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    """All three penalties on the same sample."""
-    train, validation = _classified(spark, folder)
-    sample = models.first_by_hash(train, "vec_id", FIT_ROWS)
-    return _checked(models.regularization_sweep(sample, validation, iterations=20))
+    """The same figures for one network without penalty, with an absolute and with a squared one."""
+    nets = [networks.network(name, WIDTH, models.CAPACITIES["tiny"], l1, l2) for name, (l1, l2) in PENALTIES.items()]
+    return _swept(spark, folder, nets, PENALTY_STEPS)
 
 
 QUERIES = {
     "features_standardized": features_standardized,
     "features_pca": features_pca,
     "features_pca_classes": features_pca_classes,
+    "features_pca_wide": features_pca_wide,
     "features_packed": features_packed,
     "features_class_subset": features_class_subset,
     "features_histogram": features_histogram,
     "features_split": features_split,
-    "features_chain": features_chain,
     "features_chain_whole": features_chain_whole,
     "features_batches": features_batches,
     "model_capacity_sweep": model_capacity_sweep,
@@ -241,28 +243,72 @@ _PCA = (
     + " FROM scaled, first, second) "
 )
 
-def _sweep_sql(parameters: dict[str, int]) -> str:
-    models_listed = ", ".join(f"('{name}', {count})" for name, count in parameters.items())
-    return f"""WITH placed AS (
-        SELECT CAST('0x' || MD5(CAST(vec_id AS VARCHAR))[1:4] AS INTEGER) < {int(0.1 * 65_536)} AS held
-        FROM embeddings
-    ), sizes AS (
-        SELECT 'train' AS split, LEAST(COUNT(*), {FIT_ROWS}) AS rows FROM placed WHERE NOT held
-        UNION ALL SELECT 'validation', COUNT(*) FROM placed WHERE held
-    )
-    SELECT model, CAST(parameters AS BIGINT) AS parameters, split, rows,
-           TRUE AS loss_in_range, TRUE AS accuracy_in_range
-    FROM sizes, (VALUES {models_listed}) m(model, parameters)"""
-
-
-def _weights(hidden: list[int]) -> int:
-    layers = [WIDTH, *hidden, 2]
-    return sum((a + 1) * b for a, b in zip(layers, layers[1:]))
+_SPLIT = f"""SELECT vec_id AS id, embedding::DOUBLE[] AS x, (label % 2)::DOUBLE AS y,
+    CASE WHEN CAST('0x' || MD5(CAST(vec_id AS VARCHAR))[1:4] AS INTEGER) < {int(0.1 * 65_536)}
+    THEN 'validation' ELSE 'train' END AS split
+    FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL"""
+
+
+def _sweep_sql(nets: dict[str, tuple[list[int], float, float]], steps: int) -> str:
+    listed = []
+    for name, (hidden, l1, l2) in nets.items():
+        parameters = networks.network(name, WIDTH, hidden).parameters
+        fit = networks.oracle_sql(WIDTH, hidden, steps, RATE, _SPLIT, l1, l2)
+        listed.append(
+            f"SELECT '{name}' AS model, CAST({parameters} AS BIGINT) AS parameters, zero_weights, split, rows, "
+            f"{rounded_sql('log_loss')} AS log_loss, {rounded_sql('accuracy')} AS accuracy FROM ({fit})"
+        )
+    return "\nUNION ALL ".join(listed)
+
+
+def _turned(part: str) -> str:
+    """The leading eigenvector of the matrix ``m`` (a list of rows) of the CTE ``part``, by squaring it 40 times."""
+    size = f"len({part}_steps.m)"
+    product = f"list_transform({part}_steps.m, lambda r: list_transform({part}_steps.m, lambda c: list_dot_product(r, c)))"
+    norm = "sqrt(list_sum(list_transform(q, lambda r: list_dot_product(r, r))))"
+    return f"""{part}_steps AS (
+        SELECT 0 AS step, m FROM {part}
+        UNION ALL
+        SELECT step + 1, list_transform(q, lambda r: list_transform(r, lambda v: v / {norm}))
+        FROM (SELECT step, {product} AS q FROM {part}_steps WHERE step < 40 AND {size} > 0)
+    ), {part}_column AS (
+        SELECT m[list_position(d, list_max(d))] AS u FROM (
+            SELECT m, list_transform(range(1, len(m) + 1), lambda i: m[i][i]) AS d FROM {part}_steps WHERE step = 40)
+    ), {part}_unit AS (
+        SELECT list_transform(u, lambda v: v / sqrt(list_dot_product(u, u))) AS u FROM {part}_column
+    ), {part}_vector AS (
+        SELECT list_transform(u, lambda v: v * sign(u[list_position(list_transform(u, lambda x: abs(x)), list_max(list_transform(u, lambda x: abs(x))))])) AS u
+        FROM {part}_unit
+    )"""
+
+
+def _wide_sql(width: int) -> str:
+    return f"""SELECT * FROM (WITH RECURSIVE entries AS (
+        SELECT vec_id, i, embedding[i]::DOUBLE AS x FROM embeddings, (SELECT unnest(range(1, {width + 1})) AS i)
+    ), spread AS (
+        SELECT i, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1 ELSE stddev_pop(x) END AS dev FROM entries GROUP BY i
+    ), scaled AS (
+        SELECT vec_id, list((x - mean) / dev ORDER BY i) AS z FROM entries JOIN spread USING (i) GROUP BY vec_id
+    ), turned AS (
+        SELECT i, list(z[i] ORDER BY vec_id) AS c FROM scaled, (SELECT unnest(range(1, {width + 1})) AS i) GROUP BY i
+    ), first AS MATERIALIZED (
+        SELECT list(r ORDER BY i) AS m FROM (
+            SELECT a.i, list(list_dot_product(a.c, b.c) / len(a.c) ORDER BY b.i) AS r FROM turned a, turned b GROUP BY a.i)
+    ), {_turned("first")}, second AS MATERIALIZED (
+        SELECT list_transform(range(1, {width + 1}), lambda i: list_transform(range(1, {width + 1}), lambda j: m[i][j] - e * u[i] * u[j])) AS m
+        FROM (SELECT m, u, list_dot_product(u, list_transform(m, lambda r: list_dot_product(r, u))) AS e FROM first, first_vector)
+    ), {_turned("second")}
+    SELECT {width}::INTEGER AS width, vec_id, {rounded_sql("list_dot_product(z, a.u)", SCORE_DIGITS)} AS pc1,
+           {rounded_sql("list_dot_product(z, b.u)", SCORE_DIGITS)} AS pc2
+    FROM scaled, first_vector a, second_vector b)"""
 
 
 ORACLE = {
-    "model_capacity_sweep": _sweep_sql({name: _weights(hidden) for name, hidden in models.CAPACITIES.items()}),
-    "model_regularization_sweep": _sweep_sql(dict.fromkeys(("none", "l2", "l1"), WIDTH)),
+    "model_capacity_sweep": _sweep_sql({name: (hidden, 0.0, 0.0) for name, hidden in models.CAPACITIES.items()}, CAPACITY_STEPS),
+    "model_regularization_sweep": _sweep_sql(
+        {name: (models.CAPACITIES["tiny"], *penalty) for name, penalty in PENALTIES.items()}, PENALTY_STEPS
+    ),
+    "features_pca_wide": " UNION ALL ".join(map(_wide_sql, WIDTHS)),
     "features_pca": _PCA
     + f"""SELECT l_orderkey, l_linenumber, target, {rounded_sql("pc1", SCORE_DIGITS)} AS pc1,
     {rounded_sql("pc2", SCORE_DIGITS)} AS pc2 FROM scores""",
@@ -301,11 +347,6 @@ ORACLE = {
         FROM events
     ) SELECT *, row_index // 500 AS batch_id FROM indexed""",
 }
-# The same counts over the training rows alone.
-ORACLE["features_chain"] = ORACLE["features_histogram"].replace(
-    "FROM embeddings",
-    "FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY vec_id) AS place FROM embeddings) WHERE place BETWEEN 101 AND 10100",
-)
 # The counts of all rows by the part of the split.
 ORACLE["features_chain_whole"] = """WITH parted AS (
     SELECT embedding, CASE WHEN place <= 100 THEN 'validation' WHEN place <= 10100 THEN 'train' ELSE 'rest' END AS part

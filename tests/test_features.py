@@ -209,3 +209,55 @@ def test_components_take_one_pass_and_skip_incomplete_rows(spark):
     assert sum(explained) == pytest.approx(1.0)
     scores = features.principal_components(table, ["a", "b", "c"], 1).collect()
     assert sum(r.pc1 is None for r in scores) == 1
+
+
+@pytest.mark.parametrize("copies", [1, 3, 900])
+def test_parts_have_exactly_the_wanted_rows(spark, copies):
+    """A column of equal keys, of equal rows, and of few keys."""
+    table = spark.range(900, numPartitions=6).select(
+        F.lit(7).alias("k") if copies == 900 else (F.col("id") % copies).alias("k"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("v")
+    )
+    table = table.unionByName(spark.createDataFrame([(None, 1)], "k long, v long"))
+    parted = features.with_part(table, "k", 100, 350)
+    assert parted.columns == ["k", "v", "part"]
+    counts = {r.part: r["count"] for r in parted.groupBy("part").count().collect()}
+    assert counts == {"validation": 100, "train": 350, "rest": 451}
+    ends = {r.part: (r.low, r.high) for r in parted.filter("k IS NOT NULL").groupBy("part").agg(F.min("k").alias("low"), F.max("k").alias("high")).collect()}
+    assert ends["validation"][1] <= ends["train"][0] and ends["train"][1] <= ends["rest"][0]
+    # The same rows whatever the layout.
+    rows = sorted(map(tuple, parted.filter("part = 'train'").select("k", "v").collect()), key=str)
+    other = features.with_part(table.repartition(3), "k", 100, 350)
+    assert rows == sorted(map(tuple, other.filter("part = 'train'").select("k", "v").collect()), key=str)
+
+
+def test_split_has_no_row_twice(spark):
+    table = spark.range(50).select(F.lit(1).alias("k"), "id")
+    validation, train = features.split(table, "k", 20, 20)
+    assert validation.count() == train.count() == 20 and validation.join(train, "id").count() == 0
+    few = features.split(table, "k", 40, 40)
+    assert [part.count() for part in few] == [40, 10]
+    assert [part.count() for part in features.split(table.limit(0), "k", 5, 5)] == [0, 0]
+
+
+def test_a_reused_table_reads_its_input_once(spark, tmp_path):
+    from rowcast.plans.reuse import reused, settled
+
+    path = str(tmp_path / "in")
+    spark.range(100).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = spark.read.parquet(path).mapInArrow(counted, "id long")
+    with reused(rows) as stored:
+        total = settled(stored.agg(F.sum("id").alias("s"), F.count(F.lit(1)).alias("n")))
+        assert stored.filter("id > 50").count() == 49 and features.with_part(stored, "id", 3, 4).count() == 100
+        where = stored.inputFiles()[0]
+    assert reads.value == 100
+    assert total.collect() == [(4950, 100)]
+    import os
+
+    assert not os.path.exists(where.removeprefix("file://").removeprefix("file:"))
