@@ -236,11 +236,13 @@ def locate(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     index = spark.read.schema("bucket int, buckets int, blob binary").parquet(f"{path}/index")
     count = index.agg(F.max("buckets")).first()[0] or 1
     wanted = _hashes(keys.select("id", "copy")).withColumn("bucket", F.pmod(F.col("first_half"), F.lit(count)).cast("int"))
+    # A pandas column with a NULL would turn into floats, which large ids do not survive.
+    wanted = wanted.withColumn("named", F.col("id").isNotNull()).withColumn("id", F.coalesce("id", F.lit(0).cast("long")))
 
     def look(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        names = ["id", "copy", "shard", "offset", "length"]
+        names = ["named", "id", "copy", "shard", "offset", "length"]
         if not len(asked) or not len(held):
-            return pd.DataFrame({name: [] for name in names}).astype({"id": "Int64"})
+            return pd.DataFrame({name: [] for name in names})
         levels, prints, shard, offset, length = _unpacked(held["blob"].iat[0])
         first = asked["first_half"].to_numpy(np.int64).view(np.uint64)
         second = asked["second_half"].to_numpy(np.int64).view(np.uint64)
@@ -250,13 +252,15 @@ def locate(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
         slots = slots[good]
         return pd.DataFrame(
             {
-                "id": asked["id"].astype("Int64")[good].to_numpy(), "copy": asked["copy"].to_numpy()[good], "shard": shard[slots].astype(np.int32),
+                "named": asked["named"].to_numpy()[good], "id": asked["id"].to_numpy(np.int64)[good],
+                "copy": asked["copy"].to_numpy()[good], "shard": shard[slots].astype(np.int32),
                 "offset": offset[slots].astype(np.int64), "length": length[slots].astype(np.int64),
             }
         )
 
     both = wanted.groupBy("bucket").cogroup(index.select("bucket", "blob").groupBy("bucket"))
-    return both.applyInPandas(look, "id long, copy long, shard int, offset long, length long")
+    found = both.applyInPandas(look, "named boolean, id long, copy long, shard int, offset long, length long")
+    return found.withColumn("id", F.when(F.col("named"), F.col("id"))).drop("named")
 
 
 def documents_of(spark: SparkSession, path: str, *, with_ids: bool = False) -> DataFrame:

@@ -98,6 +98,12 @@ def test_store(spark, monkeypatch):
             start += r.n_tokens
         ids = lambda t: np.array(plain(t) + [2], "<u4").tobytes()
         assert sorted((r.id or -1, bytes(r.ids)) for r in got) == sorted((r.doc_id or -1, ids(r.text)) for r in want)
+    large = [(None, "a"), (7, "b"), (2**53 + 1, "c"), (2**53 + 3, "d"), (2**63 - 1, "e"), (-(2**63), "f"), (None, "g"), (0, "h")]
+    path = scratch_path(spark, "large")
+    frame = spark.createDataFrame(large, "doc_id long, text string")
+    token_index.write_store(frame, path, vocabulary(), bucket_keys=100)
+    got = token_index.read_by_key(spark, path, token_index.keys_of(frame), with_ids=True).collect()
+    assert sorted((str(r.id), bytes(r.ids)) for r in got) == sorted((str(i), ids(t)) for i, t in large)
     path = scratch_path(spark, "store")
     token_index.write_store(spark.createDataFrame(rows, "doc_id long, text string"), path, vocabulary())
     strangers = spark.createDataFrame([(10**6 + i, 0) for i in range(500)] + [(3, 9)], "id long, copy long")
