@@ -58,64 +58,109 @@ _SHARED = [3, 5, 6, 7, 8, 11]
 FEATURES = _OWN + 2 * len(_SHARED) + 2
 
 
-def _line_values(content: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, byte lengths and own features of the non-empty lines of a window."""
-    ends = np.union1d(np.flatnonzero(content == 10) + 1, breaks)
-    starts = np.union1d([0], ends[ends < len(content)]).astype(np.int64)
-    kinds = _CLASSES[content]
-    counts = np.stack([np.add.reduceat(kinds == kind, starts, dtype=np.int64) for kind in range(8)], axis=1)
-    length = counts.sum(axis=1)
-    full = length > counts[:, _SPACE]
-    hashes, places = word_hashes(content, breaks)
-    line = np.searchsorted(starts, places, "right") - 1
-    words = np.bincount(line, minlength=len(starts))
-    again = np.zeros(len(hashes), bool)
-    again[1:] = (hashes[1:] == hashes[:-1]) & (line[1:] == line[:-1])
-    repeats = np.bincount(line[again], minlength=len(starts))
-    stops = np.append(starts[1:], len(content)) - 1
-    last = content[np.where((content[stops] == 10) & (stops > starts), stops - 1, stops)]
-    starts, length, counts = starts[full], length[full], counts[full]
-    words, repeats, last = words[full], repeats[full], last[full]
-    seen = np.maximum(length - counts[:, _SPACE], 1)
-    letters = np.maximum(counts[:, _LETTER_LOW] + counts[:, _LETTER_UP], 1)
-    some = np.maximum(words, 1)
-    values = np.zeros((len(starts), _OWN))
-    values[:, 0] = 1
-    values[:, 1] = np.log1p(length) / 8
-    values[:, 2] = np.log1p(words) / 6
-    values[:, 3] = counts[:, _LETTER_UP] / letters
-    values[:, 4] = np.minimum(1, 4 * counts[:, _DIGIT] / seen)
-    values[:, 5] = np.minimum(1, 4 * counts[:, _SYMBOL] / seen)
-    values[:, 6] = np.minimum(1, 2 * counts[:, _BAR] / some)
-    values[:, 7] = np.minimum(1, 2 * counts[:, _SHOUT] / some)
-    values[:, 8] = np.minimum(1, 2 * repeats / some)
-    values[:, 9] = np.minimum(2, seen / some / 10)
-    values[:, 10] = counts[:, _STOP] / some
-    values[:, 11] = values[:, 3] > 0.6
-    values[:, 12] = values[:, 8] > 0.5
-    values[:, 13] = last == 46
-    values[:, 14] = _CLASSES[content[starts]] == _LETTER_UP
-    values[:, 15] = words < 3
-    return starts, length, values
-
-
-def line_features(column: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per group of texts: which texts, bounds of their lines, byte lengths, features."""
+class _Lines:
+    """Counts of the lines of a window; a line that goes on in the next window is added up there."""
+
+    def __init__(self, content: np.ndarray, breaks: np.ndarray, base: int):
+        ends = np.union1d(np.flatnonzero(content == 10) + 1, breaks)
+        starts = np.union1d([0], ends[ends < len(content)]).astype(np.int64)
+        kinds = _CLASSES[content]
+        self.starts = starts + base
+        self.counts = np.stack([np.add.reduceat(kinds == kind, starts, dtype=np.int64) for kind in range(8)], axis=1)
+        hashes, places = word_hashes(content, breaks)
+        line = np.searchsorted(starts, places, "right") - 1
+        self.words = np.bincount(line, minlength=len(starts))
+        again = np.zeros(len(hashes), bool)
+        again[1:] = (hashes[1:] == hashes[:-1]) & (line[1:] == line[:-1])
+        self.repeats = np.bincount(line[again], minlength=len(starts))
+        stops = np.append(starts[1:], len(content)) - 1
+        broken = content[stops] == 10
+        self.last = content[np.where(broken & (stops > starts), stops - 1, stops)]
+        self.bare = broken & (stops == starts)
+        self.first = _CLASSES[content[starts]]
+        # The first word of the first line and the last of the last, to see a repeat across the cut.
+        self.head = hashes[0] if len(hashes) and line[0] == 0 else None
+        self.tail = hashes[-1] if len(hashes) and line[-1] == len(starts) - 1 else None
+
+    def carry(self, after: "_Lines") -> None:
+        """Add the first line of ``after`` to the last one here, and take it out there."""
+        self.counts[-1] += after.counts[0]
+        self.words[-1] += after.words[0]
+        self.repeats[-1] += after.repeats[0] + (self.tail is not None and self.tail == after.head)
+        # A break alone ends the line with the byte before it.
+        if not after.bare[0]:
+            self.last[-1] = after.last[0]
+        whole = len(after.starts) == 1
+        if whole and after.tail is not None:
+            self.tail = after.tail
+        for name in ("starts", "counts", "words", "repeats", "last", "bare", "first"):
+            setattr(after, name, getattr(after, name)[1:])
+
+    def values(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, byte lengths and own features of the lines that hold more than blanks."""
+        length = self.counts.sum(axis=1)
+        full = length > self.counts[:, _SPACE]
+        starts, length, counts = self.starts[full], length[full], self.counts[full]
+        words, repeats, last, first = self.words[full], self.repeats[full], self.last[full], self.first[full]
+        seen = np.maximum(length - counts[:, _SPACE], 1)
+        letters = np.maximum(counts[:, _LETTER_LOW] + counts[:, _LETTER_UP], 1)
+        some = np.maximum(words, 1)
+        values = np.zeros((len(starts), _OWN))
+        values[:, 0] = 1
+        values[:, 1] = np.log1p(length) / 8
+        values[:, 2] = np.log1p(words) / 6
+        values[:, 3] = counts[:, _LETTER_UP] / letters
+        values[:, 4] = np.minimum(1, 4 * counts[:, _DIGIT] / seen)
+        values[:, 5] = np.minimum(1, 4 * counts[:, _SYMBOL] / seen)
+        values[:, 6] = np.minimum(1, 2 * counts[:, _BAR] / some)
+        values[:, 7] = np.minimum(1, 2 * counts[:, _SHOUT] / some)
+        values[:, 8] = np.minimum(1, 2 * repeats / some)
+        values[:, 9] = np.minimum(2, seen / some / 10)
+        values[:, 10] = counts[:, _STOP] / some
+        values[:, 11] = values[:, 3] > 0.6
+        values[:, 12] = values[:, 8] > 0.5
+        values[:, 13] = last == 46
+        values[:, 14] = first == _LETTER_UP
+        values[:, 15] = words < 3
+        return starts, length, values
+
+
+def _window_end(content: np.ndarray, at: int, high: int, window: int) -> int:
+    """Where a window from ``at`` is cut: after its last line break, else after its last blank, else it grows."""
+    end = min(at + window, high)
+    while end < high:
+        breaks = np.flatnonzero(content[at:end] == 10)
+        if not len(breaks):
+            breaks = np.flatnonzero(_CLASSES[content[at:end]] == _SPACE)
+        if len(breaks):
+            return at + int(breaks[-1]) + 1
+        end = min(end + window, high)
+    return end
+
+
+def line_features(column: pa.Array, window: int = WINDOW) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per group of texts: which texts, bounds of their lines, byte lengths, features.
+
+    A line is one node however long it is: its counts are added up over the windows.
+    """
     content, begins, ends = byte_view(column)
-    for part in groups(begins, ends):
+    for part in groups(begins, ends, window):
         low, high = int(begins[part.start]), int(ends[part.stop - 1])
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, _OWN)))]
-        at = low
+        edges = np.concatenate([begins[part], ends[part]])
+        found, held, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, _OWN)))], None, low
         while at < high:
-            end = min(at + WINDOW, high)
-            if end < high:
-                breaks = np.flatnonzero(content[at:end] == 10)
-                end = at + int(breaks[-1]) + 1 if len(breaks) else end
-            cuts = np.concatenate([begins[part], ends[part]])
-            cuts = np.unique(cuts[(cuts >= at) & (cuts < end)]) - at
-            starts, length, values = _line_values(content[at:end], cuts)
-            found.append((starts + at, length, values))
+            end = _window_end(content, at, high, window)
+            cuts = np.unique(edges[(edges >= at) & (edges < end)]) - at
+            lines = _Lines(content[at:end], cuts, at)
+            if held is not None and content[at - 1] != 10 and not (len(cuts) and cuts[0] == 0):
+                held.carry(lines)
+            if len(lines.starts):
+                if held is not None:
+                    found.append(held.values())
+                held = lines
             at = end
+        if held is not None:
+            found.append(held.values())
         starts, length, own = (np.concatenate(one) for one in zip(*found))
         bounds = np.append(np.searchsorted(starts, begins[part]), len(starts))
         # Texts without lines have equal bounds.

@@ -44,6 +44,30 @@ def test_windows_and_odd_texts():
     assert all(f.shape[1] == FEATURES and np.isfinite(f).all() for _, _, _, f in parts)
 
 
+def _features(texts, window):
+    """Per text its lines' lengths and features, whatever groups they come in."""
+    out = []
+    for _, bounds, length, features in line_features(pa.array(texts), window):
+        out += [(length[a:b].tolist(), features[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:])]
+    return out
+
+
+def test_a_line_is_one_node_at_any_window():
+    draw = np.random.default_rng(7)
+    signs = np.array(list("aB1 .|!\n\té") + ["the ", "the the ", "word "])
+    texts = ["".join(draw.choice(signs, size)) for size in draw.integers(0, 400, 60)]
+    texts += ["word word " * 60 + "end.", "a" * 500 + "\n" + "b " * 300, "x " * 200 + "\n\n" + " " * 300 + "\n.", None, "", "Q" * 64 + "\n" + "z" * 63 + "\n"]
+    want = _features(texts, 1 << 22)
+    for window in (1, 16, 64, 250):
+        assert _features(texts, window) == want
+
+
+def test_a_line_of_nine_megabytes_scores_alike():
+    text = "Good long line, with the usual words. " * 250_000 + "\nshort"
+    wide, narrow = _features([text], 4 << 20), _features([text], 64 << 10)
+    assert len(wide[0][0]) == 2 and wide == narrow
+
+
 def test_tables(spark):
     docs = spark.createDataFrame([(1, "good text.\nhere", 5.0), (2, None, 1.0), (None, "", 1.0), (2, "\n\n", 2.0)], "doc_id long, text string, score double")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
