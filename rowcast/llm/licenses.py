@@ -5,7 +5,8 @@ it one by one: the state after a word is the longest run of words, ending
 there, that some template contains, and its length is the matching statistic.
 Runs of at least ``LEAST`` words are chained per template: in file order and
 in template order, with gaps up to ``GAP`` words. A template whose chained
-words cover enough of it gives its label and a span.
+words cover enough of it gives its label and a span, one for every place where
+the notice stands.
 
 Only words of the templates move the automaton; at any other word it returns
 to its start. So the words of a whole batch are first looked up together, and
@@ -21,6 +22,8 @@ whole, in windows cut between words.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -78,23 +81,23 @@ _LOWER[65:91] = np.arange(97, 123)
 
 
 class SuffixAutomaton:
-    """All runs of words of several texts; states know one place of their run."""
+    """All runs of words of several texts; states know every place of their run."""
 
     def __init__(self, texts: list[list[int]]):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        # Per state: (text, end) of every text that has its longest run there.
-        self.ends: list[dict[int, int]] = [{}]
+        # Per state: the texts that have its longest run, with all places where it ends.
+        self.ends: list[dict[int, set[int]]] = [{}]
         for number, text in enumerate(texts):
             last = 0
             for place, word in enumerate(text):
                 last = self._extend(last, word)
-                self.ends[last].setdefault(number, place)
+                self.ends[last].setdefault(number, set()).add(place)
         for state in sorted(range(1, len(self.next)), key=lambda s: -self.length[s]):
             above = self.link[state]
-            for number, place in self.ends[state].items():
+            for number, places in self.ends[state].items():
                 if above > 0:
-                    self.ends[above].setdefault(number, place)
+                    self.ends[above].setdefault(number, set()).update(places)
 
     def _state(self, length: int, after: dict[int, int], link: int) -> int:
         self.next.append(after)
@@ -182,34 +185,65 @@ class Scanner:
         for i, (size, state) in enumerate(stats):
             longest = i + 1 == len(stats) or stats[i + 1][0] <= size
             if size >= self.least and longest:
-                for number, place in self.automaton.ends[state].items():
-                    out.append((number, place - size + 1, offset + i - size + 1, size))
+                for number, places in self.automaton.ends[state].items():
+                    out += [(number, place - size + 1, offset + i - size + 1, size) for place in sorted(places)]
         return out
 
     def chained(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[str, float, int, int]]:
-        """``(label, share covered, first word, end)`` of the best chain of every template."""
+        """``(label, share covered, first word, end)`` of the chains of every template.
+
+        The best chain is given whatever it covers; of the others those that
+        cover enough and overlap none that is better.
+        """
         by: dict[int, list[tuple[int, int, int]]] = {}
         for number, place, start, size in matches:
             by.setdefault(number, []).append((start, place, size))
         out = []
         for number, own in by.items():
-            best: list[tuple[int, int]] = []  # (words, first) of chains ending here
+            least, taken = 0.0, []
             own.sort()
-            low = 0
-            for i, (start, place, size) in enumerate(own):
-                gain, first = size, start
-                while own[low][0] + self.sizes[number] + self.gap < start:
-                    low += 1
-                for j in range(low, i):
-                    before, at, long = own[j]
-                    jump, step = start - before - long, place - at - long
-                    if 0 <= jump <= self.gap and 0 <= step <= self.gap and best[j][0] + size > gain:
-                        gain, first = best[j][0] + size, best[j][1]
-                best.append((gain, first))
-            words, first, end = max((w, -f, own[i][0] + own[i][2]) for i, (w, f) in enumerate(best))
-            out.append((self.labels[number], min(1.0, words / self.sizes[number]), -first, end))
+            while own:
+                found = self._best_chains(number, own, least, taken)
+                if not found:
+                    break
+                for words, first, end in found:
+                    out.append((self.labels[number], min(1.0, words / self.sizes[number]), first, end))
+                # What lies beside the chains may hold one that reached into them before.
+                edges = np.array(sorted((first, end) for _, first, end in taken))
+                starts, stops = (np.array(c) for c in zip(*((s, s + size) for s, _, size in own)))
+                at = np.searchsorted(edges[:, 0], stops, "left") - 1
+                free = (at < 0) | (edges[np.maximum(at, 0), 1] <= starts)
+                own = [match for match, apart in zip(own, free) if apart]
+                least = self.covered
         return out
 
+    def _best_chains(self, number: int, own: list, least: float, taken: list) -> list[tuple[int, int, int]]:
+        """``(words, first, end)`` of chains that do not overlap, best first; they are added to ``taken``."""
+        best: list[tuple[int, int]] = []  # (words, first) of chains ending here
+        low = 0
+        for i, (start, place, size) in enumerate(own):
+            gain, first = size, start
+            while own[low][0] + self.sizes[number] + self.gap < start:
+                low += 1
+            for j in range(low, i):
+                before, at, long = own[j]
+                jump, step = start - before - long, place - at - long
+                if 0 <= jump <= self.gap and 0 <= step <= self.gap and best[j][0] + size > gain:
+                    gain, first = best[j][0] + size, best[j][1]
+            best.append((gain, first))
+        chains = sorted((-words, first, own[i][0] + own[i][2]) for i, (words, first) in enumerate(best))
+        found, edges = [], sorted((first, end) for _, first, end in taken)
+        for words, first, end in chains:
+            if found and -words < self.covered * self.sizes[number] or -words < least * self.sizes[number]:
+                break
+            at = bisect_left(edges, (end, -1))
+            if at and edges[at - 1][1] > first:
+                continue
+            edges.insert(at, (first, end))
+            found.append((-words, first, end))
+        taken += found
+        return found
+
 
 def word_hashes(content: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash and start of every word of a window; words also end at ``breaks``."""

@@ -22,8 +22,10 @@ def test_statistics_equal_brute_force():
         words = [draw.randrange(4) for _ in range(20)]
         for i, (size, state) in enumerate(automaton.statistics(words)):
             assert size == max(k for k in range(i + 2) if k == 0 or tuple(words[i - k + 1 : i + 1]) in known)
-            for number, place in automaton.ends[state].items() if size else ():
-                assert texts[number][place - size + 1 : place + 1] == words[i - size + 1 : i + 1]
+            run = words[i - size + 1 : i + 1]
+            want = {(n, k) for n, t in enumerate(texts) for k in range(size - 1, len(t)) if t[k - size + 1 : k + 1] == run}
+            if size:
+                assert {(n, k) for n, places in automaton.ends[state].items() for k in places} == want
 
 
 def base(text):
@@ -71,6 +73,25 @@ def test_templates_with_changes(monkeypatch):
     ]
 
 
+def test_every_notice_has_a_span():
+    """Copies apart and side by side, whole and changed; a run that stands twice in its template."""
+    notice = L.TEMPLATES[6][1]
+    words = notice.split()
+    changed = " ".join(words[:8] + ["indeed"] + words[9:])
+    text = f"start {notice} code code code code code code code {notice} {changed} " + "end " * 9 + notice
+    row = next(L.scan_column(pa.array([text]), L.Scanner()))
+    size = len(words)
+    assert [(s, e) for s, e, *_ in row[8]] == [(1, 1 + size), (8 + size, 8 + 2 * size), (8 + 2 * size, 8 + 3 * size), (17 + 3 * size, 17 + 4 * size)]
+    assert {label for _, _, label, _ in row[8]} == {"mit"} and row[8][2][3] < 1.0 == row[8][0][3]
+    twice = L.Scanner(templates=[("t", "a b c x y a b c z w")], phrases={})
+    found = next(L.scan_column(pa.array(["q a b c x y a b c z w q q q q q q q a b c z w"]), twice))
+    assert found[8][0][:2] == (1, 11) and found[8][0][3] == 1.0
+    many = next(L.scan_column(pa.array([(notice + " . word word word word word word word ") * 400]), L.Scanner()))
+    assert len(many[8]) == 400 and all(share == 1.0 for *_, share in many[8])
+    starts = [s for s, *_ in many[8]]
+    assert starts == sorted(starts) and all(b - a == size + 7 for a, b in zip(starts, starts[1:]))
+
+
 def test_tables(spark):
     frame = spark.createDataFrame([(1, "mit license", 1), (None, None, 2), (1, "mit license", 1)], "doc_id long, text string, labels int")
     rows = L.scan_licenses(frame).collect()
