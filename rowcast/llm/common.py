@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.plans.scratch import scratch_path
+from rowcast.plans.sizing import payload
 
-# A side is broadcast only after its rows were counted below this; beyond it the join shuffles.
+# A side is broadcast only after its rows and bytes were measured below these; beyond them the join shuffles.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,8 +30,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it holds at most ``rows`` narrow rows; else leave it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Mark ``df`` for broadcast if its counted rows and their measured bytes are few; else leave it."""
+    if df.limit(rows + 1).count() > rows:
+        return df
+    size = df.agg(F.coalesce(F.sum(payload(df)), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def only_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:

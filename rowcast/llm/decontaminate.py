@@ -5,21 +5,27 @@ similarity says nothing there, so the search goes by containment: a document
 is reported for an item if it holds at least ``share`` percent of the item's
 distinct five-word shingles.
 
-An item's sketch is its MinHash prefix: the ``k`` shingles of smallest hash,
-with ``k`` one more than the shingles it may lack. A document that lacks no
-more than those must hold one of the ``k``, so nothing is lost. Sketches are
-posted by document size class (powers of two of the number of shingles), and
-only in classes that can hold what the item needs. Documents that meet a
-sketch are read again, and the whole sets are compared by shingle text.
+Items are parted by size (powers of two of their number of shingles), and every
+part has sketches of its own length: the MinHash prefix of ``k`` shingles of
+smallest hash, with ``k`` one more than the largest item of the part may lack.
+A document that lacks no more than those must hold one of the ``k``, so nothing
+is lost. A sketch entry is one row with the fewest shingles that an item posted
+under it needs; a document meets it only if it is at least as large. Documents
+that meet a sketch are read again, and the whole sets are compared by shingle
+text.
+
+What a document holds is a matter of its text alone, so texts are compared, each
+once however many rows have it, and every row is reported for what its own text
+holds: rows of one id do not add up, and rows without an id are reported too.
 
 Words are runs of letters and digits, lower-cased, so punctuation and layout
 do not hide a passage. An item of fewer than five words is looked for as one
-run of its words. Items or documents without words, or without an id, are
-never reported; rows of one document id count as one document, of rows with
-one item id the best counts. Other columns of either table are not looked at.
+run of its words. Items or documents without words and items without an id are
+never reported; of rows with one item id the best counts. Other columns of
+either table are not looked at.
 
 Only DataFrame functions run here. Sketches and item sets are broadcast when
-counted small, otherwise joined by shuffle.
+their rows and bytes were counted small, otherwise joined by shuffle.
 """
 
 from __future__ import annotations
@@ -27,11 +33,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import only_ids, small_side, stored
+from rowcast.llm.common import small_side, stored
 
 WIDTH = 5
 SHARE = 75
-LARGEST_CLASS = 40
 
 
 def words(text: Column) -> Column:
@@ -86,55 +91,58 @@ def contained_items(
     item_text_col: str = "text",
     share: int = SHARE,
 ) -> DataFrame:
-    """``(doc_id, item_id, n_item, n_shared)`` of every document that holds enough of an item."""
+    """``(doc_id, item_id, n_item, n_shared)`` of every row of ``docs`` whose text holds enough of an item."""
     tests = stored(_items(items, item_id_col, item_text_col), "items")
     widths = sorted(row[0] for row in tests.select("width").distinct().collect())  # five at most
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), words(F.col(text_col)).alias("words")).filter("doc IS NOT NULL")
+    text = F.col(text_col).cast("string")
+    key = [F.xxhash64(text).alias("text_a"), F.hash(text).alias("text_b")]
+    texts = docs.filter(text.isNotNull()).select(*key, words(text).alias("words"))
     if not widths:
-        return _named(tests.select(F.lit(0).cast("long").alias("doc"), "item", F.lit(0).cast("long").alias("n_item"), F.lit(0).cast("long").alias("n_shared")).limit(0), id_col, item_id_col)
+        nothing = F.lit(0).cast("long")
+        return tests.select(nothing.alias(id_col), F.col("item").alias(item_id_col), nothing.alias("n_item"), nothing.alias("n_shared")).limit(0)
 
     need = F.ceil(F.size("hashes") * F.lit(share) / F.lit(100)).cast("int")
-    sketch = tests.select("key", need.alias("need"), F.slice(F.array_sort("hashes"), F.lit(1), F.size("hashes") - need + 1).alias("sketch"))
-    # A document of class c has fewer than 2^(c+1) runs.
-    classes = F.sequence(_log2(F.col("need")), F.lit(LARGEST_CLASS))
-    sketch = (
-        sketch.select("need", F.explode("sketch").alias("hash"))
-        .groupBy("hash")
-        .agg(F.min("need").alias("need"))
-        .select("hash", F.explode(classes).alias("size_class"))
-    )
-    runs = texts.select("doc", _all_runs(widths, _hashed).alias("runs"))
+    sized = tests.select("hashes", need.alias("need"), _log2(F.size("hashes")).alias("part"))
+    lengths = sized.groupBy("part").agg(F.max(F.size("hashes") - F.col("need") + 1).alias("k"))
+    sketch = sized.join(F.broadcast(lengths), "part").select("need", F.slice(F.array_sort("hashes"), F.lit(1), F.col("k")).alias("sketch"))
+    sketch = sketch.select("need", F.explode("sketch").alias("hash")).groupBy("hash").agg(F.min("need").alias("need"))
+    runs = texts.select("text_a", "text_b", _all_runs(widths, _hashed).alias("runs"))
     # Outer, or the planner tests the array's size below and computes words for every run.
-    met = (
-        runs.select("doc", _log2(F.size("runs")).alias("size_class"), F.explode_outer("runs").alias("hash"))
-        .join(small_side(sketch), ["size_class", "hash"], "left_semi")
-        .select("doc")
-        .distinct()
-    )
-    met = stored(met, "met")
+    posted = runs.select("text_a", "text_b", F.size("runs").alias("held"), F.explode_outer("runs").alias("hash"))
+    entries = small_side(sketch.withColumnRenamed("hash", "entry"))
+    met = posted.join(entries, (F.col("hash") == F.col("entry")) & (F.col("held") >= F.col("need")), "left_semi")
+    met = stored(met.select("text_a", "text_b").distinct(), "met")
 
     full = tests.select("key", "item", F.size("texts").cast("long").alias("n_item"), F.explode("texts").alias("run"))
-    held = only_ids(texts, met, "doc").select("doc", F.explode_outer(F.array_distinct(_all_runs(widths, _joined))).alias("run"))
+    again = texts.join(small_side(met), ["text_a", "text_b"], "left_semi").dropDuplicates(["text_a", "text_b"])
+    held = again.select("text_a", "text_b", F.explode_outer(F.array_distinct(_all_runs(widths, _joined))).alias("run"))
     shared = (
         held.join(small_side(full), "run")
-        .groupBy("doc", "key", "item", "n_item")
+        .groupBy("text_a", "text_b", "key", "item", "n_item")
         .agg(F.count_distinct("run").alias("n_shared"))
         .filter(F.col("n_shared") * 100 >= F.col("n_item") * share)
     )
-    best = shared.groupBy("doc", "item").agg(
+    best = shared.groupBy("text_a", "text_b", "item").agg(
         F.max_by(F.struct("n_item", "n_shared"), F.struct(F.col("n_shared") / F.col("n_item"), "n_item")).alias("best")
     )
-    return _named(best.select("doc", "item", "best.n_item", "best.n_shared"), id_col, item_id_col)
+    found = stored(best.select("text_a", "text_b", F.col("item").alias(item_id_col), "best.n_item", "best.n_shared"), "found")
+    rows = docs.filter(text.isNotNull()).select(F.col(id_col).cast("long").alias(id_col), *key)
+    return rows.join(small_side(found), ["text_a", "text_b"]).select(id_col, item_id_col, "n_item", "n_shared")
 
 
-def _named(rows: DataFrame, id_col: str, item_id_col: str) -> DataFrame:
-    return rows.withColumnsRenamed({"doc": id_col, "item": item_id_col})
+def clean_rows(docs: DataFrame, items: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text holds no item; rows of one text stay or go together."""
+    numbered = docs.select(F.col(text_col).alias("text")).select(F.xxhash64("text").alias("id"), "text")
+    found = contained_items(numbered, items, id_col="id", text_col="text", **options).select("id").distinct()
+    marked = docs.withColumn("_text_id", F.xxhash64(F.col(text_col)))
+    found = stored(found.withColumnRenamed("id", "_text_id"), "contaminated")
+    return marked.join(small_side(found), "_text_id", "left_anti").select(docs.columns)
 
 
 ORACLE = r"""
 WITH d AS (
-    SELECT doc_id AS doc, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
-    FROM documents WHERE doc_id IS NOT NULL
+    SELECT row_number() OVER () AS doc, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+    FROM documents
 ), i AS (
     SELECT item_id AS item, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
     FROM benchmark WHERE item_id IS NOT NULL
@@ -142,14 +150,14 @@ WITH d AS (
     SELECT DISTINCT item, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) AS run
     FROM i WHERE len(w) >= 5
 ), doc_runs AS (
-    SELECT DISTINCT doc, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) AS run
+    SELECT DISTINCT doc, doc_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) AS run
     FROM d WHERE len(w) >= 5
 ), sizes AS (
     SELECT item, count(*) AS n_item FROM item_runs GROUP BY item
 ), met AS (
-    SELECT doc, item, count(*) AS n_shared FROM doc_runs JOIN item_runs USING (run) GROUP BY doc, item
+    SELECT doc, doc_id, item, count(*) AS n_shared FROM doc_runs JOIN item_runs USING (run) GROUP BY doc, doc_id, item
 )
-SELECT doc AS doc_id, item AS item_id, n_item, n_shared
+SELECT doc_id, item AS item_id, n_item, n_shared
 FROM met JOIN sizes USING (item)
 WHERE n_shared * 100 >= n_item * 75
 """

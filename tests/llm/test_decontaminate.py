@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from rowcast.llm.decontaminate import contained_items
+from rowcast.llm.decontaminate import clean_rows, contained_items
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -15,6 +15,7 @@ def runs(text, width):
 
 
 def brute(docs, items):
+    """One entry for every row of ``docs`` and item it holds."""
     out = {}
     for item, text in items:
         count = runs(text, 5)[1]
@@ -22,13 +23,13 @@ def brute(docs, items):
             continue
         width = min(5, count)
         own = runs(text, width)[0]
-        for doc, body in docs:
+        for row, (_, body) in enumerate(docs):
             both = len(own & runs(body, width)[0])
-            if doc is not None and 100 * both >= 75 * len(own):
-                best = out.get((doc, item))
+            if 100 * both >= 75 * len(own):
+                best = out.get((row, item))
                 if best is None or (both / len(own), len(own)) > (best[1] / best[0], best[0]):
-                    out[doc, item] = (len(own), both)
-    return {(*key, *value) for key, value in out.items()}
+                    out[row, item] = (len(own), both)
+    return sorted(((docs[row][0], item, *value) for (row, item), value in out.items()), key=str)
 
 
 def test_whole_partial_and_short_items(spark):
@@ -44,9 +45,22 @@ def test_whole_partial_and_short_items(spark):
     docs += [(100, None), (101, ""), (102, "alpha, BETA"), (None, items[0][1]), (103, items[0][1]), (103, items[0][1]), (104, "gamma")]
     left = spark.createDataFrame(docs, "doc_id long, text string")
     right = spark.createDataFrame(items, "item_id long, text string")
-    got = {tuple(r) for r in contained_items(left, right).collect()}
+    got = sorted((tuple(r) for r in contained_items(left, right).collect()), key=str)
     assert got == brute(docs, items)
-    assert len(got) > 30
+    assert len(got) > 30 and any(r[0] is None for r in got)
+    dirty = {row for row in range(len(docs)) if brute([docs[row]], items)}
+    kept = clean_rows(left, right)
+    assert kept.columns == ["doc_id", "text"]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((d for row, d in enumerate(docs) if row not in dirty), key=str)
+
+
+def test_rows_of_one_id_do_not_add_up(spark):
+    words = [f"x{i}" for i in range(40)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    halves = [(7, " ".join(words[:22])), (7, " ".join(words[18:])), (8, " ".join(words[:36])), (8, "clean text of the same id as a dirty one")]
+    docs = spark.createDataFrame(halves, "doc_id long, text string")
+    assert [tuple(r) for r in contained_items(docs, items).collect()] == [(8, 1, 36, 32)]
+    assert sorted(r.text for r in clean_rows(docs, items).collect()) == sorted(t for i, t in halves if t != halves[2][1])
 
 
 def test_empty_tables_and_clashing_columns(spark):

@@ -38,6 +38,21 @@ def test_odd_rows_pass_every_stage(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, frame, FOLDER).count() == 0 if empty else frame.count() >= 3
 
 
+def test_rows_without_an_id_and_with_one_id_are_decided_by_their_text(spark):
+    words = [f"word{i} more{i}" for i in range(60)]
+    text = " ".join(words)
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").filter("text IS NOT NULL").orderBy("item_id").first().text
+    rows = [(None, text), (None, text + " end"), (3, text), (3, "A clean text of another kind that shares its id."), (None, f"before {item} after"), (3, f"x {item}"), (4, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    path = stored(docs, "odd")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, path, FOLDER)
+    assert sorted((r.doc_id, r.text) for r in kept.filter("text LIKE '%more%'").collect()) == [(3, text)]
+    # The two rows around the item are near copies of each other.
+    assert kept.count() == 5 and kept.columns == docs.columns
+    clean = corpus_pipeline.drop_contaminated(spark, path, FOLDER)
+    assert clean.count() == 6 and not [r for r in clean.collect() if item in (r.text or "")]
+
+
 def test_every_operator_is_registered():
     names = registry.queries()
-    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 11)) and "pipeline" in names
+    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 14)) and "pipeline" in names
