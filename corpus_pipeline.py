@@ -3,15 +3,17 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is
 written as Parquet and read again as the next stage's ``docs``. All but the
 last return the columns of ``documents``; the last returns the packed pieces
-with their ids. Rows without an id pass the stages that decide by id.
+with their ids. Every row is decided by its own text, never by its id, so rows
+without an id and rows that share one are treated like all others.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowcast.llm.common import stored, table
-from rowcast.llm.decontaminate import contained_items
+from rowcast.llm.decontaminate import clean_rows
 from rowcast.llm.line_crf import THRESHOLD, fit_quality, quality_scores
 from rowcast.llm.near_dedup import near_duplicates
 from rowcast.llm.packing import pack
@@ -27,15 +29,20 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies."""
-    dropped = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One row of every group of near copies: the one with the smallest id, of several the first in the scan."""
+    # Positions in the scan of a stored table are the same every time it is read.
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    classes = stored(near_duplicates(rows.select("_row", "text"), id_col="_row"), "classes")
+    grouped = classes.join(classes.filter("NOT kept").select("component_id").distinct(), "component_id", "left_semi")
+    named = rows.select("_row", "doc_id").join(grouped.select("_row", "component_id"), "_row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))["_row"].alias("first"))
+    dropped = named.join(first, "component_id").filter("_row <> first").select("_row")
+    return rows.join(dropped, "_row", "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = contained_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
