@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.operators import basics
+from rowcast.functions import limbs
+from rowcast.operators import basics, layout
+from rowcast.plans.scratch import scratch_path
 from rowcast.sources import files
-from rowcast.workloads.tables import rounded, rounded_sql, table
+from rowcast.workloads.tables import SCHEMAS, rounded, rounded_sql, table
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,11 +72,34 @@ def table_profile(spark: SparkSession, folder: str) -> DataFrame:
     return basics.profile(table(spark, folder, "lineitem"))
 
 
-def table_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    return basics.partitions(table(spark, folder, "lineitem"))
+def table_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines written by return flag; rows, files and bytes of every folder as the files themselves tell."""
+    path = scratch_path(spark, "layout")
+    table(spark, folder, "lineitem").write.partitionBy("l_returnflag").parquet(path)
+    blocks = layout.blocks(spark.read.schema(SCHEMAS["lineitem"]).parquet(path))
+    folders = blocks.withColumn("l_returnflag", F.regexp_extract("file_path", "l_returnflag=([^/]*)/", 1))
+    files = layout.files(folders, "l_returnflag")
+    return files.groupBy("l_returnflag").agg(
+        F.sum("rows").alias("row_count"), F.bool_and((F.col("file_bytes") > 0) & F.col("in_one_piece")).alias("files_whole")
+    )
+
+
+def exact_event_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """Values of very different size and sign per type, summed without rounding: whole part and fraction."""
+    scaled = F.col("value") * F.pow(F.lit(2.0), (F.col("event_id") % 25 - 12).cast("double"))
+    signed = F.when(F.col("event_id") % 3 == 0, -scaled).otherwise(scaled)
+    sums = limbs.exact_sums(table(spark, folder, "events").withColumn("v", signed), "v", "event_type")
+    return sums.select(
+        "event_type",
+        "value_count",
+        limbs.whole_part("sum").cast("string").alias("whole"),
+        limbs.fraction("sum").cast("string").alias("fraction"),
+    )
 
 
 QUERIES = {
+    "table_layout": table_layout,
+    "exact_event_sums": exact_event_sums,
     "basic_filter": basic_filter,
     "basic_group_avg": basic_group_avg,
     "basic_mean": basic_mean,
@@ -83,7 +108,6 @@ QUERIES = {
     "basic_head": basic_head,
     "basic_retitled": basic_retitled,
     "table_profile": table_profile,
-    "table_partitions": table_partitions,
 }
 
 _ORDERS = """
@@ -100,7 +124,18 @@ _WIDTHS = {
 }
 _LINEITEM = [*_WIDTHS, "l_returnflag", "l_linestatus"]
 
+# Sums as whole numbers of 2 ** -72; every value is a multiple of that.
+_UNIT = 1 << 72
+
 ORACLE = {
+    "table_layout": "SELECT l_returnflag, COUNT(*) AS row_count, TRUE AS files_whole FROM lineitem GROUP BY l_returnflag",
+    "exact_event_sums": f"""WITH scaled AS (
+        SELECT event_type, CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END * value * POW(2.0::DOUBLE, event_id % 25 - 12) AS v FROM events
+    ), summed AS (
+        SELECT event_type, COUNT(v) AS value_count, SUM(CAST(v * {float(_UNIT)!r}::DOUBLE AS HUGEINT)) AS s FROM scaled GROUP BY event_type
+    )
+    SELECT event_type, value_count, CAST((s - f) // {_UNIT}::HUGEINT AS VARCHAR) AS whole, CAST(f AS VARCHAR) AS fraction
+    FROM (SELECT *, ((s % {_UNIT}::HUGEINT) + {_UNIT}::HUGEINT) % {_UNIT}::HUGEINT AS f FROM summed)""",
     "basic_filter": _ORDERS + "SELECT * FROM placed WHERE amount > 250000",
     "basic_group_avg": _ORDERS
     + f"SELECT category, {rounded_sql('AVG(amount)')} AS avg_amount FROM placed GROUP BY category",
