@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -148,7 +149,19 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**TIME_FORMATS).json(path)
 
 
-def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_text(df: DataFrame, path: str, mode: str = "overwrite", header: str | None = None) -> None:
+    """One line per ``value``; with ``header`` every file begins with that line."""
+    if header is not None:
+
+        def headed(batches):
+            first = True
+            for batch in batches:
+                if first and batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema.field(0).type)], schema=batch.schema)
+                    first = False
+                yield batch
+
+        df = df.mapInArrow(headed, "value string")
     df.write.mode(mode).text(path)
 
 

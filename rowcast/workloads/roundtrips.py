@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowcast.plans.scratch import scratch_path
-from rowcast.sources import files
+from rowcast.sources import files, foreign
 from rowcast.workloads import bank
 from rowcast.workloads.tables import rounded, rounded_sql, table
 
@@ -54,6 +54,17 @@ def csv_gzip_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_numeric_gzip(spark, path, WIDTH)
 
 
+def csv_foreign_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents in CSV as other programs write it, with line breaks inside quotes, read back in parallel."""
+    path = scratch_path(spark, "csv_foreign")
+    docs = table(spark, folder, "documents")
+    quoted = [F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')) for c in ("text", "lang")]
+    row = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in (quoted[0], F.col("doc_id").cast("string"), quoted[1], F.col("n_chars").cast("string"))])
+    # The header opens every file; rows of this writer end in CR LF.
+    files.write_text(docs.select(F.concat(row, F.lit("\r")).alias("value")), path, header="text,doc_id,lang,n_chars\r")
+    return foreign.read_foreign_csv(spark, path, "doc_id bigint, text string, lang string, n_chars bigint")
+
+
 def csv_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents with their line breaks, quotes and blanks."""
     path = scratch_path(spark, "csv_text")
@@ -104,6 +115,7 @@ QUERIES = {
     "csv_headerless_roundtrip": csv_headerless_roundtrip,
     "csv_gzip_roundtrip": csv_gzip_roundtrip,
     "csv_text_roundtrip": csv_text_roundtrip,
+    "csv_foreign_roundtrip": csv_foreign_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
     "parquet_overwrite": parquet_overwrite,
     "json_roundtrip": json_roundtrip,
@@ -127,6 +139,7 @@ ORACLE = {
     ts AS created_at
     FROM (SELECT *, CAST(event_id * 37 % 1000 AS DOUBLE) / 1000.0 AS risk_score FROM events)""",
     "csv_text_roundtrip": "SELECT doc_id, text, lang FROM documents",
+    "csv_foreign_roundtrip": "SELECT doc_id, text, lang, n_chars FROM documents",
     "text_roundtrip": """SELECT CAST(LENGTH(url) AS INTEGER) AS line_length,
     COUNT(*) AS line_count FROM pages GROUP BY LENGTH(url)""",
 }
