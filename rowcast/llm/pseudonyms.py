@@ -74,6 +74,10 @@ IBAN_LENGTHS = {
     25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
     29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
 }
+# Country calling codes of one or two digits; all others have three.
+COUNTRY_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+# The column that holds the key while texts are replaced.
+KEY = "_pseudonym_key"
 CHUNK = 256  # candidates put in place at a time, so work grows with the text and not with its square
 
 _DAYS = 146097  # of 400 years, 189 * 773
@@ -85,7 +89,7 @@ def _text(value: str) -> str:
 
 
 def _noise(key: str, kind: str, *parts: str) -> str:
-    return f"sha2(concat_ws('|', {_text(key)}, {_text(kind)}, {', '.join(parts)}), 256)"
+    return f"sha2(concat_ws('|', {key}, {_text(kind)}, {', '.join(parts)}), 256)"
 
 
 def _shifted(text: str, noise: str, letters: int) -> str:
@@ -229,7 +233,7 @@ def _ip(m: str, key: str) -> tuple[str, str]:
 
 
 def _phone(m: str, key: str) -> tuple[str, str]:
-    head = f"regexp_extract({m}, '^[+][0-9]{{1,3}}(?=[ .(-])', 0)"
+    head = f"regexp_extract({m}, '^[+](?:{COUNTRY_CODES}|[0-9]{{3}})', 0)"
     rest = f"substr({m}, length({head}) + 1)"
     fresh = _refilled(rest, _permuted(_digits(rest), key, "phone"))
     return "true", f"concat({head}, {fresh})"
@@ -287,14 +291,19 @@ _PLACED = f"""aggregate(
 
 
 def pseudonymized(docs: DataFrame, key: str, *, text_col: str = "text", counts: bool = True) -> DataFrame:
-    """``docs`` with pseudonyms in ``text_col``; with ``counts``, also ``n_<kind>`` of what was replaced."""
+    """``docs`` with pseudonyms in ``text_col``; with ``counts``, also ``n_<kind>`` of what was replaced.
+
+    The key is data of a one-row table, looked up by a scalar subquery, so it
+    does not stand in the plan, the web page or the event log.
+    """
+    secret = docs.sparkSession.createDataFrame([(key,)], "secret string").select("secret")
     source = F.col(text_col).cast("string")
     found = F.when(source.rlike(HINT), F.regexp_extract_all(source, F.lit(STARTS), F.lit(1)))
-    marked = docs.withColumn("_found", F.when(F.size(found) > 0, found))
+    marked = docs.withColumn(KEY, secret.scalar()).withColumn("_found", F.when(F.size(found) > 0, found))
     # One piece per candidate, and one before the first unless the text starts with it.
     marked = marked.withColumn("_pieces", F.when(F.col("_found").isNotNull(), F.split(source, STARTS, -1)))
     cells = (
-        f"zip_with(transform(_found, m -> {_replaced('m', key)}), slice(_pieces, size(_pieces) - size(_found) + 1, size(_found)),"
+        f"zip_with(transform(_found, m -> {_replaced('m', KEY)}), slice(_pieces, size(_pieces) - size(_found) + 1, size(_found)),"
         " (x, p) -> named_struct('kind', x.kind, 'value', x.value, 'size', x.size, 'text', p))"
     )
     marked = marked.withColumn("_cells", F.expr(cells))
@@ -304,7 +313,7 @@ def pseudonymized(docs: DataFrame, key: str, *, text_col: str = "text", counts:
     if counts:
         for kind in KINDS:
             out = out.withColumn(f"n_{kind}", _count(kind))
-    return out.drop("_found", "_pieces", "_cells", "_fresh")
+    return out.drop(KEY, "_found", "_pieces", "_cells", "_fresh")
 
 
 def _count(kind: str) -> Column:

@@ -142,3 +142,21 @@ def test_tables(spark):
     assert pseudonymized(frame.limit(0), "k").count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_the_key_is_not_in_the_plan(spark):
+    frame = spark.createDataFrame([(1, "write to someone@example.org or +1 (826) 555-4081")], "doc_id long, text string")
+    out = pseudonymized(frame, "very-secret-key")
+    assert "someone" not in out.collect()[0].text
+    execution = out._jdf.queryExecution()
+    for shown in (execution.toString(), execution.executedPlan().toString(), execution.logical().toString(), execution.optimizedPlan().toString()):
+        assert "very-secret-key" not in shown
+    assert not any(name in execution.executedPlan().toString() for name in ("Python", "Arrow", "NestedLoop"))
+
+
+def test_one_phone_number_in_any_layout_is_one_pseudonym(spark):
+    for number in (["+18265554081", "+1 826 555 4081", "+1 (826) 555-4081", "+1.826.555.4081"], ["+49301234567", "+49 30 1234567", "+49 (30) 1234 567"]):
+        texts = [r.text for r in run(spark, [f"call {n} now" for n in number])]
+        digits = ["".join(c for c in t if c.isdigit()) for t in texts]
+        assert len(set(digits)) == 1 and digits[0] != "".join(c for c in number[0] if c.isdigit())
+        assert [len(t) for t in texts] == [len(n) + 9 for n in number]
