@@ -5,7 +5,9 @@ An archive is a table of rows ``(record, chunk, last, data, digest)``. The
 chunk 0 holds the header block, the following ones at most ``CHUNK_BYTES`` of
 payload each, the last one the closing line breaks. Every chunk carries the
 SHA-1 of the payload so far, so a reader can check a record piece by piece and
-stop at the first wrong one. Payload bytes are sliced out of the Arrow buffer
+stop at the first wrong one. Every record has an id of its own, made from its
+number in the archive, and the date that the caller gives; page ids are extension
+fields beside them. Payload bytes are sliced out of the Arrow buffer
 and hashed on the way; a record is never put together in memory, neither when
 it is written nor when it is read. Spark's committer writes the table, so a
 task that runs twice leaves one copy.
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 from rowcast.llm.shingles import byte_view
 
 CHUNK_BYTES = 256 << 10
+# Stands in every record unless another is given: a date of writing would differ between attempts.
+DATE = "2000-01-01T00:00:00Z"
 ROWS_BYTES = 4 << 20
 CHUNKS = "record long, chunk int, last boolean, data binary, digest binary"
 _NAMES = [part.split()[0] for part in CHUNKS.split(", ")]
@@ -43,31 +47,36 @@ def _base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def _header(kind, page, uri, digest: bytes, size: int, refers) -> bytes:
+def _record_id(record: int) -> str:
+    return f"<urn:record:{record}>"
+
+
+def _header(kind, record, page, uri, date, digest: bytes, size: int, refers, original) -> bytes:
     """The header block; fields that stand for NULL are left out."""
-    lines = ["WARC/1.1", f"WARC-Type: {kind}"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_record_id(record)}", f"WARC-Date: {date}"]
     if uri:
         lines.append("WARC-Target-URI: " + "".join(c for c in uri if c >= " "))
     if page is not None:
-        lines.append(f"WARC-Record-ID: <urn:page:{page}>")
+        lines.append(f"Page-ID: {page}")
     lines.append(f"WARC-Payload-Digest: sha1:{_base32(digest)}")
     lines.append(f"WARC-Payload-Bytes: {size}")
     if kind == "revisit":
         lines.append(f"WARC-Profile: {_PROFILE}")
+        lines.append(f"WARC-Refers-To: {_record_id(original)}")
         if refers is not None:
-            lines.append(f"WARC-Refers-To: <urn:page:{refers}>")
+            lines.append(f"Refers-To-Page-ID: {refers}")
     lines += ["Content-Type: text/html", f"Content-Length: {size if kind == 'response' else 0}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
 
 def _roles(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """``(record, refers, revisit)`` of rows ``(record, page, payload)``, moving digests only."""
+    """``(record, refers, revisit)`` (``revisit`` the number of the response) of rows ``(record, page, payload)``, moving digests only."""
     narrow = pages.select("record", "page", F.sha1(F.col("payload").cast("binary")).alias("digest"), F.octet_length("payload").alias("size"))
     narrow = narrow.filter(F.col("size") >= least_bytes)
     rank = F.struct(F.col("page").isNull().alias("unknown"), "page", "record")
     first = narrow.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     revisits = narrow.join(first, "digest").filter(F.col("record") != F.col("first.record"))
-    return revisits.select("record", F.col("first.page").alias("refers"), F.lit(True).alias("revisit"))
+    return revisits.select("record", F.col("first.page").alias("refers"), F.col("first.record").alias("revisit"))
 
 
 def write_archive(
@@ -79,6 +88,7 @@ def write_archive(
     uri_col: str | None = "url",
     least_bytes: int = 0,
     chunk_bytes: int = CHUNK_BYTES,
+    date: str = DATE,
 ) -> None:
     """Write one WARC record per row of ``pages`` under ``path``."""
     own = pages.select(
@@ -105,10 +115,10 @@ def write_archive(
                 whole = hashlib.sha1()
                 for at in range(a, b, chunk_bytes):
                     whole.update(content[at : min(at + chunk_bytes, b)])
-                kind = "revisit" if revisit else "response"
-                head = _header(kind, page, uri, whole.digest(), b - a, refers)
+                kind = "response" if revisit is None else "revisit"
+                head = _header(kind, record, page, uri, date, whole.digest(), b - a, refers, revisit)
                 so_far = hashlib.sha1()
-                cuts = [] if revisit else list(range(a, b, chunk_bytes))
+                cuts = [] if kind == "revisit" else list(range(a, b, chunk_bytes))
                 held.append((record, 0, not cuts, head + (b"" if cuts else _END), so_far.digest()))
                 for number, at in enumerate(cuts, 1):
                     part = content[at : min(at + chunk_bytes, b)]
@@ -151,8 +161,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
             rows = []
             for record, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 known = _fields(data.as_py())
-                page, refers = known.get("WARC-Record-ID"), known.get("WARC-Refers-To")
-                number = lambda value: int(value.strip("<>").rpartition(":")[2]) if value else None
+                page, refers = known.get("Page-ID"), known.get("Refers-To-Page-ID")
+                number = lambda value: None if value is None else int(value)
                 digest = known["WARC-Payload-Digest"].removeprefix("sha1:")
                 rows.append((record, number(page), int(known["WARC-Payload-Bytes"]), digest, known["WARC-Type"], number(refers)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)

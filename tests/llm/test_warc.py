@@ -47,14 +47,18 @@ def test_round_trip(spark, least, chunk):
     table = spark.read.parquet(path)
     assert table.filter(F.length("data") > chunk + 2000).count() == 0
     raw = b"".join(bytes(r.data) for r in warc.export_bytes(table).collect())
-    at = 0
+    at, ids, referred = 0, set(), set()
     for _ in ROWS:
         end = raw.index(b"\r\n\r\n", at)
         fields = dict(line.split(": ", 1) for line in raw[at:end].decode().split("\r\n")[1:])
+        assert fields["WARC-Date"] == warc.DATE and fields["WARC-Record-ID"] not in ids
+        ids.add(fields["WARC-Record-ID"])
+        assert (fields["WARC-Type"] == "revisit") == ("WARC-Refers-To" in fields)
+        referred |= {fields["WARC-Refers-To"]} if "WARC-Refers-To" in fields else set()
         at = end + 4 + int(fields["Content-Length"])
         assert raw[at : at + 4] == b"\r\n\r\n"
         at += 4
-    assert at == len(raw)
+    assert at == len(raw) and len(ids) == len(ROWS) and referred <= ids
 
 
 def test_damage_is_found(spark):
