@@ -16,8 +16,13 @@ least ``matches`` tokens are candidates, found without listing all pairs:
   most, usually the text that the others were copied from. A class so gets
   one hub, the one it meets most often, and a group of thousands of near
   copies becomes one component at linear cost;
-* what the hub did not link is compared exactly with all others of the same
-  hub, in blocks of bounded size that return only links between components;
+* what the hub did not link is looked for by rare shingles: members of one hub
+  are posted under the rarest shingles that a partner must share, with how
+  much can still be shared from there on. Where that is too little for any
+  member of the list the posting goes, so texts that share a common template
+  but not enough of the rest meet nowhere. Short lists give pairs; what is
+  left in long ones is compared exactly, in blocks of bounded size that return
+  only links between components;
 * lists that still hold several components are compared across hubs, long
   ones in blocks, each pair in one list only.
 
@@ -149,15 +154,61 @@ def _joined_by(links, parts: dict) -> list[tuple[int, int]]:
     return kept
 
 
-def _beside_hub(members: DataFrame, sets: DataFrame, share: int, block: int) -> DataFrame:
-    """Links between components among classes of one hub: ``members(id, hub, component)``.
+def _rare_lists(placed: DataFrame, share: int) -> DataFrame:
+    """``(hub, token, many, id, component, size, left)``: members that may still find a partner, by shingle.
+
+    Shingles are ordered by how many members of the hub have them, rarest
+    first. A partner must share one of a member's first ``size - need + 1``,
+    ``need`` being the least overlap of any pair at the similarity. ``left`` is
+    how many of the member's shingles come at or after the posting: two members
+    that first meet there share no more than the smaller of theirs.
+    """
+    size = F.size("shingles").cast("long")
+    tokens = placed.select("hub", "id", "component", size.alias("size"), F.explode("shingles").alias("token"))
+    shared = tokens.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    own = tokens.join(shared, ["hub", "token"]).groupBy("hub", "id").agg(
+        F.min("component").alias("component"), F.min("size").alias("size"), F.array_sort(F.collect_list(F.struct("many", "token"))).alias("own")
+    )
+    alone = F.col("size") - F.size("own")
+    need = F.ceil(F.col("size") * share / F.lit(100.0))
+    prefix = (F.col("size") - need + 1 - alone).cast("int")
+    lists = own.filter(prefix > 0).select("hub", "id", "component", "size", alone.alias("alone"), F.posexplode(F.slice("own", 1, prefix)).alias("pos", "one"))
+    lists = lists.select("hub", F.col("one.token").alias("token"), "id", "component", "size", (F.col("size") - F.col("alone") - F.col("pos")).alias("left"))
+    lists = stored(lists, "rare")
+    for step in ("first", "second"):
+        seen = lists.groupBy("hub", "token").agg(
+            F.count(F.lit(1)).alias("many"), F.min("size").alias("smallest"), F.max("left").alias("most"),
+            F.min("component").alias("low"), F.max("component").alias("high"),
+        ).filter("low <> high")
+        # Enough must be left on both sides for the smallest partner of the list.
+        overlap = F.least("left", "most") * (100 + share) >= (F.col("size") + F.col("smallest")) * share
+        lists = stored(lists.drop("many").join(seen, ["hub", "token"]).filter(overlap).select("hub", "token", "many", "id", "component", "size", "left"), step)
+    counts = lists.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("many"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return lists.drop("many").join(counts.filter("low <> high").select("hub", "token", "many"), ["hub", "token"])
+
+
+def _beside_hub(members: DataFrame, sets: DataFrame, share: int, short: int, block: int) -> DataFrame:
+    """Links between components among classes of one hub: ``members(id, hub, component)``."""
+    center = members.filter("id = hub").select("hub", F.col("component").alias("center"))
+    marked = members.join(center, "hub").withColumn("inner", F.col("component") == F.col("center"))
+    open_hubs = marked.filter("NOT inner").select("hub").distinct()
+    placed = stored(marked.join(open_hubs, "hub").join(sets.select("id", "shingles"), "id"), "placed")
+    lists = stored(_rare_lists(placed, share), "lists")
+    brief = lists.filter(F.col("many") <= short)
+    other = brief.select("hub", "token", F.col("id").alias("b"), F.col("component").alias("beside"), F.col("size").alias("size_b"), F.col("left").alias("left_b"))
+    met = brief.withColumnRenamed("id", "a").join(other, ["hub", "token"]).filter("a < b AND component <> beside")
+    enough = F.least("left", "left_b") * (100 + share) >= (F.col("size") + F.col("size_b")) * share
+    links = _confirmed(met.filter(enough).select("a", "b").distinct(), sets, share)
+    busy = lists.filter(F.col("many") > short).select("hub", "id").distinct()
+    return links.unionByName(_in_blocks(placed.join(busy, ["hub", "id"], "left_semi"), share, block))
+
+
+def _in_blocks(placed: DataFrame, share: int, block: int) -> DataFrame:
+    """Links between components among ``placed(hub, id, component, inner, shingles)``.
 
     Members outside the hub's component are dealt into blocks and compared
     with every block; members inside it only with those outside.
     """
-    center = members.filter("id = hub").select("hub", F.col("component").alias("center"))
-    placed = members.join(center, "hub").join(sets.select("id", "shingles"), "id")
-    placed = stored(placed.withColumn("inner", F.col("component") == F.col("center")), "placed")
     size = F.size("shingles").cast("long")
     room = lambda side: F.greatest(
         F.ceil(F.count(F.when(side, 1)) / block), F.ceil(F.coalesce(F.sum(F.when(side, size)), F.lit(0)) / (block * 4096))
@@ -294,7 +345,7 @@ def near_duplicates(
     # The hub belongs to its own members, whatever hub it has itself.
     centers = parts.filter("id <> hub").select(F.col("hub").alias("id")).distinct()
     groups = parts.unionByName(parts.join(centers, "id", "left_semi").withColumn("hub", F.col("id")))
-    links = links.unionByName(stored(_beside_hub(groups.distinct(), sets, share, block), "links"))
+    links = links.unionByName(stored(_beside_hub(groups.distinct(), sets, share, short_list, block), "links"))
     pairs = stored(_across(postings, labelled(links), classes, matches, short_list, block), "pairs")
     links = links.unionByName(stored(_confirmed(_alike(pairs, signatures, matches, share), sets, share), "links"))
 

@@ -105,3 +105,27 @@ def test_components(spark, edges):
                 root[a] = root[b] = min(root[a], root[b])
                 changed = True
     assert got == root
+
+
+def _template(draw, count, shared, own):
+    """Texts with a common template and a part of their own; similarity about shared / (shared + 2 * own)."""
+    base = [f"t{k}" for k in range(shared)]
+    return [" ".join(base + [f"o{draw.randrange(10**9)}" for _ in range(own)]) for _ in range(count)]
+
+
+def test_a_common_template_below_the_bound_meets_nowhere(spark, monkeypatch):
+    """All texts have one hub and none is linked: nothing is dealt into blocks, and pairs of true copies are still found."""
+    from rowcast.llm import near_dedup
+
+    draw = random.Random(11)
+    texts = _template(draw, 300, 164, 36)
+    dealt = []
+    whole = near_dedup._in_blocks
+    monkeypatch.setattr(near_dedup, "_in_blocks", lambda placed, share, block: dealt.append(placed.count()) or whole(placed, share, block))
+    rows = list(enumerate(texts))
+    check(spark, rows)
+    assert dealt == [0]
+    # Each text once more with a few changes: the copies share rare shingles, so lists stay short.
+    copies = [(1000 + i, text.replace(" t20 ", f" c{i} ")) for i, text in enumerate(texts[:150])]
+    check(spark, rows[:150] + copies)
+    assert dealt == [0, 0]
