@@ -1,7 +1,9 @@
 """Token ids of whole texts, through a cache of words.
 
-The vocabulary lower-cases, drops white space and never joins words across it,
-so a text's ids are the ids of its lower-cased words in turn. Most words of a corpus repeat: each is
+The default vocabulary lower-cases, drops white space and never joins words
+across it, so a text's ids are the ids of its lower-cased words in turn. Whether
+a vocabulary does that is read from its file; one of another kind has its texts
+encoded whole, by the tokenizers library alone. Most words of a corpus repeat: each is
 encoded once and looked up afterwards. The cache holds two generations of
 bounded size, and long texts are cut at white space into slices, so memory
 stays bounded.
@@ -9,8 +11,11 @@ stays bounded.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+import types
 from array import array
 
 from rowcast.llm.shingles import byte_view, groups
@@ -22,6 +27,8 @@ CACHE_WORDS = 200_000
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 # ASCII marks that no rule of the vocabulary joins with a letter or digit before them.
 _MARKS = b".,!?#$%&*;:)"
+# Fixed value: how the default vocabulary's file cuts words.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPACES = (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")
 
 
@@ -87,6 +94,27 @@ class _Words(dict):
             self.clear()
 
 
+def _by_words(settings: dict) -> bool:
+    """Whether a vocabulary file cuts lower-cased texts at white space and byte-encodes words of one kind, as ``_Words`` takes for granted."""
+    steps = (settings.get("normalizer") or {}).get("normalizers") or []
+    cuts = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    model = settings.get("model") or {}
+    return (
+        [step["type"] for step in steps] == ["NFC", "Replace", "Lowercase"]
+        and steps[1].get("pattern") == {"Regex": "\\s+"}
+        and steps[1].get("content") == " "
+        and [cut["type"] for cut in cuts] == ["Split", "ByteLevel"]
+        and cuts[0].get("pattern") == {"Regex": _SPLIT}
+        and cuts[0].get("behavior") == "Removed"
+        and cuts[0].get("invert") is True
+        and not cuts[1].get("add_prefix_space")
+        and model.get("type") == "BPE"
+        and not model.get("dropout")
+        # Marked pieces of a text would be tokens wherever they stand.
+        and all(re.fullmatch(r"<\|\w+\|>", token["content"]) for token in settings.get("added_tokens") or [])
+    )
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -94,9 +122,13 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.words = _Words(Tokenizer.from_file(path))
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.words = _Words(self.tokenizer) if _by_words(json.load(file)) else None
 
     def encode(self, data: bytes) -> bytes:
+        if self.words is None:
+            return array("I", self.tokenizer.encode(data.decode(), add_special_tokens=False).ids).tobytes()
         found = []
         for part in _slices(data):
             self.words.age()
@@ -109,9 +141,8 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """This worker's encoder; it stays with the process, so later tasks find its words known."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_encoders_by_path", {})
+    # Functions of this module travel with every task, so what stays is kept in a module of its own.
+    kept = sys.modules.setdefault("_rowcast_encoders", types.ModuleType("_rowcast_encoders")).__dict__
     if path not in kept:
         kept[path] = Encoder(path)
     return kept[path]

@@ -35,6 +35,21 @@ def test_words_equal_whole_texts(monkeypatch):
         assert np.frombuffer(own.encode((text or "").encode()), "<u4").tolist() == plain(text), text
 
 
+def test_another_vocabulary_is_encoded_whole(spark):
+    path = vocabulary("byte_bpe_50k.json")
+    whole = tokenizers.Tokenizer.from_file(path)
+    own = Encoder(path)
+    assert own.words is None and Encoder(vocabulary()).words is not None
+    texts = ["Hello world, this is a Test.", "", "  two  blanks\n", *[t or "" for t in TEXTS]]
+    for text in texts:
+        assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = pack(frame, path, with_ids=True).collect()
+    for i, text in enumerate(texts):
+        ids = b"".join(bytes(r.ids) for r in sorted((r for r in pieces if r.doc_id == i), key=lambda r: r.start))
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids + [1]
+
+
 @pytest.mark.parametrize("length", [1, 2, 31, 33, 682, 683, 1024, 1025, 2047, 2048, 2049, 100_001])
 def test_cuts(length):
     pieces = cut_lengths(length)
