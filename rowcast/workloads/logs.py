@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowcast.functions.logtext import ACCESS_LINE, APP_LINE
 from rowcast.operators import logs
 from rowcast.plans.scratch import scratch_path
 from rowcast.sources import files
@@ -111,7 +112,7 @@ WITH lines AS (
     FROM events
 ), cut AS (
     SELECT REGEXP_EXTRACT(value,
-        '^(\S+) \S+ \S+ \[([^\]]+)\] "(\S+) (.*?) (HTTP/\d\.\d)" (\d{3}) (\S+)',
+        '{access_line}',
         ['ip', 'timestamp', 'method', 'url', 'http_ver', 'status', 'size']) AS p
     FROM lines
 ), parsed AS (
@@ -132,8 +133,8 @@ WITH lines AS (
         || ' ' || UNNEST(STRING_SPLIT(text, CHR(10))) AS value
     FROM documents
 ), hits AS (
-    SELECT value, REGEXP_MATCHES(value, '\[(.*?)\]\s+(INFO|WARN|ERROR)\s+(.*)') AS hit,
-           REGEXP_EXTRACT(value, '\[(.*?)\]\s+(INFO|WARN|ERROR)\s+(.*)',
+    SELECT value, REGEXP_MATCHES(value, '{app_line}') AS hit,
+           REGEXP_EXTRACT(value, '{app_line}',
                           ['timestamp', 'level', 'message']) AS p
     FROM lines
 ), parsed AS (
@@ -143,6 +144,9 @@ WITH lines AS (
 )
 """
 
+_ACCESS = _ACCESS.replace("{access_line}", ACCESS_LINE)
+_APP = _APP.replace("{app_line}", APP_LINE)
+
 ORACLE = {
     "weblog_parsed": _ACCESS
     + "SELECT ip, timestamp, method, url, http_ver, status, size, epoch_seconds FROM parsed",
