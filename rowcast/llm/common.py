@@ -31,10 +31,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if its counted rows and their measured bytes are few; else leave it."""
-    if df.limit(rows + 1).count() > rows:
-        return df
-    size = df.agg(F.coalesce(F.sum(payload(df)), F.lit(0))).first()[0]
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    sizes = df.select(payload(df).alias("bytes")).limit(rows + 1)
+    seen = sizes.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if seen["rows"] <= rows and seen["bytes"] <= BROADCAST_BYTES else df
 
 
 def only_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:

@@ -182,7 +182,8 @@ def _entries(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     narrow = _payload(spark, path).select("shard", "block", "first", "missing", "keys", "lengths")
-    rows = narrow.mapInArrow(spread, "id long, shard int, block int, slot int, offset long, length long")
+    # Written once, or every consumer below would unpack the payload's keys again.
+    rows = stored(narrow.mapInArrow(spread, "id long, shard int, block int, slot int, offset long, length long"), "documents")
     # Copies of an id lie next to each other; most ids have one. Only ids that
     # repeat are numbered, per shard and then over shards.
     counts = rows.groupBy("id", "shard").agg(F.count(F.lit(1)).alias("rows"))
@@ -192,7 +193,7 @@ def _entries(spark: SparkSession, path: str) -> DataFrame:
     many = many.withColumnRenamed("id", "other").withColumn("mark", F.lit(True))
     base = counts.join(many, same).drop("other", "mark").withColumn("base", F.coalesce(F.sum("rows").over(before), F.lit(0)))
     base = base.select(F.col("id").alias("other"), F.col("shard").alias("in_shard"), "base", F.lit(True).alias("mark"))
-    marked = rows.join(small_side(base), same & (F.col("shard") == F.col("in_shard")), "left")
+    marked = rows.join(small_side(stored(base, "repeated")), same & (F.col("shard") == F.col("in_shard")), "left")
     within = Window.partitionBy("id", "shard").orderBy("block", "slot")
     single = marked.filter("mark IS NULL").withColumn("copy", F.lit(0).cast("long"))
     repeated = marked.filter("mark").withColumn("copy", F.col("base") + F.row_number().over(within) - 1)
@@ -307,7 +308,8 @@ def read_by_key(spark: SparkSession, path: str, keys: DataFrame, *, with_ids: bo
     """``(id, start, n_tokens, ids_crc32)`` of stored ``keys(id, copy)``, found through the index."""
     found = locate(spark, path, keys)
     held = documents_of(spark, path, with_ids=with_ids)
-    rows = found.join(held, ["shard", "offset"]).join(small_side(shard_starts(spark, path)), "shard")
+    starts = stored(shard_starts(spark, path), "starts")
+    rows = found.join(held, ["shard", "offset"]).join(small_side(starts), "shard")
     return rows.select("id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 

@@ -4,9 +4,9 @@ The default vocabulary lower-cases, drops white space and never joins words
 across it, so a text's ids are the ids of its lower-cased words in turn. Whether
 a vocabulary does that is read from its file; one of another kind has its texts
 encoded whole, by the tokenizers library alone. Most words of a corpus repeat: each is
-encoded once and looked up afterwards. The cache holds two generations of
-bounded size, and long texts are cut at white space into slices, so memory
-stays bounded.
+encoded once and looked up afterwards. The cache keeps the words met first, most
+of them frequent ones, and of later ones two generations of bounded size; long
+texts are cut at white space into slices, so memory stays bounded.
 """
 
 from __future__ import annotations
@@ -65,18 +65,27 @@ class _Words(dict):
         super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.shown = _shown_bytes()
+        self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self.recent.get(word)
+        if ids is not None:
+            return ids
         ids = self.older.get(word)
         if ids is None:
             # Marks after a letter or digit are a token group of their own.
             core = word.rstrip(_MARKS)
-            if len(core) < len(word) and core[-1:].isalnum():
+            if len(core) < len(word) and (core[-1:].isalnum() or _PLAIN(core.decode().lower())):
                 ids = self[core] + self[word[len(core) :]]
             else:
                 ids = self._encoded(word)
-        self[word] = ids
+        if len(self) < CACHE_WORDS:
+            self[word] = ids
+        else:
+            if len(self.recent) >= CACHE_WORDS // 2:
+                self.older, self.recent = self.recent, {}
+            self.recent[word] = ids
         return ids
 
     def _encoded(self, word: bytes) -> bytes:
@@ -87,12 +96,6 @@ class _Words(dict):
             return array("I", [token.id for token in self.model.tokenize(text)]).tobytes()
         return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
-    def age(self) -> None:
-        """Once full, keep this generation beside a new one; words still in use move over."""
-        if len(self) > CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-
 
 def _by_words(settings: dict) -> bool:
     """Whether a vocabulary file cuts lower-cased texts at white space and byte-encodes words of one kind, as ``_Words`` takes for granted."""
@@ -131,7 +134,6 @@ class Encoder:
             return array("I", self.tokenizer.encode(data.decode(), add_special_tokens=False).ids).tobytes()
         found = []
         for part in _slices(data):
-            self.words.age()
             found.append(b"".join(map(self.words.__getitem__, part.lower().split())))
         return found[0] if len(found) == 1 else b"".join(found)
 

@@ -9,7 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from rowcast.llm import token_index
+from rowcast.llm import token_index, tokens
 from rowcast.llm.packing import cut_lengths, pack
 from rowcast.llm.tokens import Encoder, vocabulary
 from rowcast.plans.scratch import scratch_path
@@ -35,6 +35,32 @@ def test_words_equal_whole_texts(monkeypatch):
         assert np.frombuffer(own.encode((text or "").encode()), "<u4").tolist() == plain(text), text
 
 
+def test_known_words_stay_known(monkeypatch):
+    asked = []
+    encoded = tokens._Words._encoded
+    monkeypatch.setattr(tokens._Words, "_encoded", lambda self, word: asked.append(word) or encoded(self, word))
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 10)
+    own = Encoder(vocabulary())
+    text = "the cat sat on the mat"
+    for i in range(300):
+        for one in (text, f"rare{chr(97 + i % 26)}{chr(97 + i // 26)}"):
+            assert np.frombuffer(own.encode(one.encode()), "<u4").tolist() == plain(one)
+    assert asked.count(b"cat") == 1 and len(own.words) + len(own.words.recent) + len(own.words.older) <= 20
+    # A mark after any letter is a group of its own.
+    asked.clear()
+    for text in ("café, naïveté! ÉTÉ.", "e\u0301, x\u0301. \u0301. ½, ²."):
+        assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == plain(text)
+    assert "café,".encode() not in asked and "café".encode() in asked
+
+
+def test_keys_are_unpacked_once(spark):
+    path = scratch_path(spark, "store")
+    token_index.write_store(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "doc_id long, text string"), path, vocabulary())
+    entries = token_index._entries(spark, path)
+    assert "MapInArrow" not in entries._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.copy) for r in entries.collect()) == [(1, 0), (1, 1), (2, 0)]
+
+
 def test_another_vocabulary_is_encoded_whole(spark):
     path = vocabulary("byte_bpe_50k.json")
     whole = tokenizers.Tokenizer.from_file(path)
