@@ -34,7 +34,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     classes = stored(near_duplicates(rows.select("_row", "text"), id_col="_row"), "classes")
     grouped = classes.join(classes.filter("NOT kept").select("component_id").distinct(), "component_id", "left_semi")
-    named = rows.select("_row", "doc_id").join(grouped.select("_row", "component_id"), "_row")
+    named = stored(rows.select("_row", "doc_id").join(grouped.select("_row", "component_id"), "_row"), "grouped")
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))["_row"].alias("first"))
     dropped = named.join(first, "component_id").filter("_row <> first").select("_row")
     return rows.join(dropped, "_row", "left_anti").select(docs.columns)

@@ -31,6 +31,6 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         jump = taken.select(F.col("node").alias("near"), F.col("near").alias("far"))
         after = taken.join(jump, "near").select("node", "was", F.least("near", "far").alias("component"))
         after = stored(after, "labels")
-        if not after.filter("component <> was").limit(1).count():
+        if after.filter("component <> was").isEmpty():
             return after.select("node", "component")
         labels = after.select("node", "component")

@@ -109,7 +109,7 @@ def contained_items(
     runs = texts.select("text_a", "text_b", _all_runs(widths, _hashed).alias("runs"))
     # Outer, or the planner tests the array's size below and computes words for every run.
     posted = runs.select("text_a", "text_b", F.size("runs").alias("held"), F.explode_outer("runs").alias("hash"))
-    entries = small_side(sketch.withColumnRenamed("hash", "entry"))
+    entries = small_side(stored(sketch.withColumnRenamed("hash", "entry"), "entries"))
     met = posted.join(entries, (F.col("hash") == F.col("entry")) & (F.col("held") >= F.col("need")), "left_semi")
     met = stored(met.select("text_a", "text_b").distinct(), "met")
 

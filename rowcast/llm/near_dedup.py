@@ -192,6 +192,7 @@ def _beside_hub(members: DataFrame, sets: DataFrame, share: int, short: int, blo
     center = members.filter("id = hub").select("hub", F.col("component").alias("center"))
     marked = members.join(center, "hub").withColumn("inner", F.col("component") == F.col("center"))
     open_hubs = marked.filter("NOT inner").select("hub").distinct()
+    # Every plan is kept short: its exchanges run side by side and the driver holds what belongs to each.
     placed = stored(marked.join(open_hubs, "hub").join(sets.select("id", "shingles"), "id"), "placed")
     lists = stored(_rare_lists(placed, share), "lists")
     brief = lists.filter(F.col("many") <= short)
@@ -280,7 +281,7 @@ def _blockwise(lists: DataFrame, matches: int, block: int) -> DataFrame:
     return dealt.groupBy("token", "low", "high").applyInPandas(compare, "a long, b long")
 
 
-def _across(postings: DataFrame, members: DataFrame, classes: DataFrame, matches: int, short: int, block: int) -> DataFrame:
+def _across(postings: DataFrame, members: DataFrame, signatures: DataFrame, matches: int, short: int, block: int) -> DataFrame:
     """Distinct pairs of different components and hubs that meet in a list."""
     marked = stored(postings.join(members, "id").select("token", "id", "places", "hub", "component"), "marked")
     mixed = (
@@ -300,7 +301,7 @@ def _across(postings: DataFrame, members: DataFrame, classes: DataFrame, matches
     other = brief.select("token", F.col("id").alias("b"), F.col("component").alias("beside"), F.col("hub").alias("other_hub"))
     pairs = brief.withColumnRenamed("id", "a").join(other, "token")
     pairs = pairs.filter("a < b AND component <> beside AND hub <> other_hub").select("a", "b")
-    long = lists.filter(F.col("many") > short).join(classes.select("id", "signature"), "id")
+    long = lists.filter(F.col("many") > short).join(signatures.select("id", "signature"), "id")
     return pairs.unionByName(_blockwise(long, matches, block)).distinct()
 
 
@@ -326,7 +327,7 @@ def near_duplicates(
     postings = stored(_postings(classes, matches).distinct(), "postings")
     nodes = stored(postings.select("id").distinct(), "nodes")
     sets = stored(_sets(only_ids(_texts(docs, id_col, text_col), nodes, "id")), "sets")
-    signatures = classes.join(nodes, "id", "left_semi")
+    signatures = stored(classes.join(nodes, "id", "left_semi"), "shared")
 
     hub = F.max_by("id", F.struct("weight", (-F.col("id")).alias("low"))).alias("hub")
     hubs = postings.groupBy("token").agg(hub)
@@ -345,8 +346,8 @@ def near_duplicates(
     # The hub belongs to its own members, whatever hub it has itself.
     centers = parts.filter("id <> hub").select(F.col("hub").alias("id")).distinct()
     groups = parts.unionByName(parts.join(centers, "id", "left_semi").withColumn("hub", F.col("id")))
-    links = links.unionByName(stored(_beside_hub(groups.distinct(), sets, share, short_list, block), "links"))
-    pairs = stored(_across(postings, labelled(links), classes, matches, short_list, block), "pairs")
+    links = links.unionByName(stored(_beside_hub(stored(groups.distinct(), "members"), sets, share, short_list, block), "links"))
+    pairs = stored(_across(postings, labelled(links), signatures, matches, short_list, block), "pairs")
     links = links.unionByName(stored(_confirmed(_alike(pairs, signatures, matches, share), sets, share), "links"))
 
     linked = components(links.unionByName(members.select(F.col("class").alias("a"), F.col("id").alias("b"))))

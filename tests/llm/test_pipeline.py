@@ -53,6 +53,29 @@ def test_rows_without_an_id_and_with_one_id_are_decided_by_their_text(spark):
     assert clean.count() == 6 and not [r for r in clean.collect() if item in (r.text or "")]
 
 
+def test_no_plan_holds_many_exchanges(spark, monkeypatch):
+    """The driver keeps threads and broadcasts for all exchanges of a plan at once."""
+    texts = [" ".join(f"w{(i // 4) * 90 + j} v{i if j == 7 else j}" for j in range(60)) for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, texts[3]), (2, "one two three")], "item_id long, text string")
+    seen = {}
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+    def counted(df, name):
+        seen[name] = max(seen.get(name, 0), exchanges(df))
+        return stored(df, name)
+
+    for module in ("rowcast.llm.near_dedup", "rowcast.llm.components", "rowcast.llm.decontaminate", "corpus_pipeline"):
+        monkeypatch.setattr(f"{module}.stored", counted)
+    kept = corpus_pipeline.keep_one_of_each_group(spark, stored(docs, "docs"), FOLDER)
+    seen["kept"] = exchanges(kept)
+    assert kept.count() == 10
+    assert corpus_pipeline.clean_rows(kept, items).count() == 9
+    assert max(seen.values()) <= 12, seen
+
+
 def test_every_operator_is_registered():
     names = registry.queries()
     assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 14)) and "pipeline" in names
