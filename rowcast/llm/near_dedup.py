@@ -112,7 +112,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
 
 
 def _postings(classes: DataFrame, matches: int) -> DataFrame:
-    """``(id, token, weight, places)``: every class under its rarest shared tokens.
+    """``(id, weight, places, prefix)``: every class with its rarest shared tokens.
 
     ``weight`` says how often the class's tokens are shared in all, ``places``
     has a bit for each coordinate of the prefix.
@@ -131,9 +131,8 @@ def _postings(classes: DataFrame, matches: int) -> DataFrame:
     prefix = F.slice("own", 1, F.size("own") - (matches - 1))
     ranked = ranked.select("id", weight.alias("weight"), prefix.alias("prefix"))
     places = F.expr("aggregate(prefix, 0L, (s, x) -> s | shiftleft(1L, cast(shiftright(x.token, 32) AS int)))")
-    return ranked.select("id", "weight", places.alias("places"), F.explode("prefix").alias("one")).select(
-        "id", "weight", "places", F.col("one.token").alias("token")
-    )
+    # A token is there twice where rows of one id share it.
+    return ranked.select("id", "weight", places.alias("places"), F.array_distinct("prefix.token").alias("prefix"))
 
 
 def _joined_by(links, parts: dict) -> list[tuple[int, int]]:
@@ -187,13 +186,16 @@ def _rare_lists(placed: DataFrame, share: int) -> DataFrame:
     return lists.drop("many").join(counts.filter("low <> high").select("hub", "token", "many"), ["hub", "token"])
 
 
-def _beside_hub(members: DataFrame, sets: DataFrame, share: int, short: int, block: int) -> DataFrame:
-    """Links between components among classes of one hub: ``members(id, hub, component)``."""
-    center = members.filter("id = hub").select("hub", F.col("component").alias("center"))
-    marked = members.join(center, "hub").withColumn("inner", F.col("component") == F.col("center"))
-    open_hubs = marked.filter("NOT inner").select("hub").distinct()
+def _beside_hub(parts: DataFrame, sets: DataFrame, share: int, short: int, block: int) -> DataFrame:
+    """Links between components among classes of one hub: ``parts(id, hub, component)``."""
+    center = parts.select(F.col("id").alias("hub"), F.col("component").alias("center"))
+    marked = parts.filter("id <> hub").join(center, "hub").withColumn("inner", F.col("component") == F.col("center"))
+    open_hubs = marked.filter("NOT inner").select("hub", "center").distinct()
+    # The hub belongs to its own members, whatever hub it has itself.
+    own = open_hubs.select("hub", F.col("hub").alias("id"), F.col("center").alias("component"), F.lit(True).alias("inner"))
+    members = marked.join(open_hubs, "hub", "left_semi").select("hub", "id", "component", "inner").unionByName(own)
     # Every plan is kept short: its exchanges run side by side and the driver holds what belongs to each.
-    placed = stored(marked.join(open_hubs, "hub").join(sets.select("id", "shingles"), "id"), "placed")
+    placed = stored(members.join(sets.select("id", "shingles"), "id"), "placed")
     lists = stored(_rare_lists(placed, share), "lists")
     brief = lists.filter(F.col("many") <= short)
     other = brief.select("hub", "token", F.col("id").alias("b"), F.col("component").alias("beside"), F.col("size").alias("size_b"), F.col("left").alias("left_b"))
@@ -318,22 +320,24 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id, kept (see the module's text)."""
     drawn = stored(sketches(docs, id_col, text_col, coordinates), "sketches")
-    # One class per distinct set, named by its smallest id.
+    # One class per distinct set, named by its smallest id; sizes and signatures of equal sets are equal.
     named = drawn.filter("id IS NOT NULL AND n > 0")
-    named_by = stored(named.groupBy("first", "second").agg(F.min("id").alias("class")), "classes")
+    classes = named.groupBy("first", "second").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("signature").alias("signature"))
+    classes = stored(classes, "classes")
+    named_by = classes.select("first", "second", F.col("id").alias("class"))
     members = named.select("id", "first", "second").join(named_by, ["first", "second"]).select("id", "class").filter("id <> class")
-    classes = named.join(named_by, ["first", "second"]).filter("id = class").select("id", "n", "signature").distinct()
-    classes = stored(classes, "signatures")
-    postings = stored(_postings(classes, matches).distinct(), "postings")
-    nodes = stored(postings.select("id").distinct(), "nodes")
+    prefixes = stored(_postings(classes, matches), "prefixes")
+    nodes = prefixes.select("id")
+    postings = prefixes.select("id", "weight", "places", F.explode("prefix").alias("token"))
     sets = stored(_sets(only_ids(_texts(docs, id_col, text_col), nodes, "id")), "sets")
-    signatures = stored(classes.join(nodes, "id", "left_semi"), "shared")
+    signatures = stored(classes.select("id", "n", "signature").join(nodes, "id", "left_semi"), "shared")
 
     hub = F.max_by("id", F.struct("weight", (-F.col("id")).alias("low"))).alias("hub")
     hubs = postings.groupBy("token").agg(hub)
-    met = postings.join(hubs, "token").filter("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("met"))
-    best = met.groupBy("id").agg(F.max_by("hub", F.struct("met", (-F.col("hub")).alias("low"))).alias("hub"))
-    best = stored(nodes.join(best, "id", "left").select("id", F.coalesce("hub", "id").alias("hub")), "hubs")
+    # Dealt by id once, for the counts and for the choice among them; a class is its own hub where it meets no other.
+    met = postings.join(hubs, "token").select("id", "hub").repartition("id").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("met"))
+    nearest = F.max_by("hub", F.struct((F.col("id") != F.col("hub")).alias("other"), "met", (-F.col("hub")).alias("low")))
+    best = stored(met.groupBy("id").agg(nearest.alias("hub")), "hubs")
     star = best.filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
     links = stored(_confirmed(_alike(star, signatures, matches, share), sets, share), "links")
 
@@ -342,15 +346,18 @@ def near_duplicates(
         parts = best.join(joined, "id", "left").select("id", "hub", F.coalesce("component", "id").alias("component"))
         return stored(parts, "parts")
 
+    def spokes(parts: DataFrame) -> DataFrame:
+        """Found components as edges from their smallest id, which need no rounds of their own."""
+        return parts.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+
     parts = labelled(links)
-    # The hub belongs to its own members, whatever hub it has itself.
-    centers = parts.filter("id <> hub").select(F.col("hub").alias("id")).distinct()
-    groups = parts.unionByName(parts.join(centers, "id", "left_semi").withColumn("hub", F.col("id")))
-    links = links.unionByName(stored(_beside_hub(stored(groups.distinct(), "members"), sets, share, short_list, block), "links"))
-    pairs = stored(_across(postings, labelled(links), signatures, matches, short_list, block), "pairs")
-    links = links.unionByName(stored(_confirmed(_alike(pairs, signatures, matches, share), sets, share), "links"))
+    links = stored(_beside_hub(parts, sets, share, short_list, block), "links")
+    parts = labelled(spokes(parts).unionByName(links))
+    pairs = stored(_across(postings, parts, signatures, matches, short_list, block), "pairs")
+    links = stored(_confirmed(_alike(pairs, signatures, matches, share), sets, share), "links")
 
-    linked = components(links.unionByName(members.select(F.col("class").alias("a"), F.col("id").alias("b"))))
+    linked = spokes(parts).unionByName(links).unionByName(members.select(F.col("class").alias("a"), F.col("id").alias("b")))
+    linked = components(linked)
     out = drawn.select(F.col("id").alias("node"), "n").join(linked, "node", "left")
     component = F.coalesce("component", "node")
     return out.select(

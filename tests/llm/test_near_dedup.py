@@ -129,3 +129,38 @@ def test_a_common_template_below_the_bound_meets_nowhere(spark, monkeypatch):
     copies = [(1000 + i, text.replace(" t20 ", f" c{i} ")) for i, text in enumerate(texts[:150])]
     check(spark, rows[:150] + copies)
     assert dealt == [0, 0]
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_components_of_long_chains_and_stars_in_few_tables(spark, monkeypatch, few):
+    """Rounds don't follow the length of a chain of nodes named in no order, and a round is one table."""
+    from rowcast.llm import components as module
+
+    written = []
+    whole = module.stored
+    monkeypatch.setattr(module, "stored", lambda df, name: written.append(name) or whole(df, name))
+    monkeypatch.setattr(module, "BROADCAST_ROWS", few, raising=False)
+    draw = random.Random(5)
+    names = draw.sample(range(10**6), 400)
+    chain = list(zip(names[:200], names[1:200]))
+    stars = [(names[200 + i // 40 * 40], names[200 + i]) for i in range(200)]
+    got = {r.node: r.component for r in module.components(spark.createDataFrame(chain + stars, "a long, b long")).collect()}
+    groups = [names[:200], *(names[k : k + 40] for k in range(200, 400, 40))]
+    assert got == {x: min(group) for group in groups for x in group}
+    assert len(written) <= 10, written
+
+
+def test_tables_written(spark, monkeypatch):
+    """A pass over a small corpus is mostly the fixed cost of its tables."""
+    from rowcast.llm import components as module
+    from rowcast.llm import near_dedup
+
+    written = []
+    for place in (near_dedup, module):
+        monkeypatch.setattr(place, "stored", lambda df, name, whole=place.stored: written.append(name) or whole(df, name))
+    draw = random.Random(3)
+    rows = []
+    for f in range(4):
+        rows += family(draw, [f"w{draw.randrange(4000)}" for _ in range(90)], 15, 6, 1000 * f)
+    check(spark, rows + [(9000 + i, text) for i, (_, text) in enumerate(rows[:20])])
+    assert len(written) <= 34, written
