@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.llm.shingles import WINDOW, byte_view, groups, word_hashes
+from rowcast.llm.shingles import SMALL_WINDOW, byte_view, groups, word_hashes
 
 TRAIN_DOCS = 4000
 TRAIN_LINES = 256
@@ -138,7 +138,7 @@ def _window_end(content: np.ndarray, at: int, high: int, window: int) -> int:
     return end
 
 
-def line_features(column: pa.Array, window: int = WINDOW) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+def line_features(column: pa.Array, window: int = SMALL_WINDOW) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
     """Per group of texts: which texts, bounds of their lines, byte lengths, features.
 
     A line is one node however long it is: its counts are added up over the windows.

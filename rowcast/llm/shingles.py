@@ -3,7 +3,8 @@
 A text is its UTF-8 bytes with A-Z lower-cased. Words are runs of bytes other
 than space and 0x09-0x0D; since those are ASCII, cutting bytes cuts characters
 right. Everything is vectorised over many texts at once, in windows of a few
-megabytes, so memory does not follow the size of a batch or of one text.
+megabytes, so memory does not follow the size of a batch or of one text. A byte
+of a window takes some 30 bytes more while it is worked on.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 WINDOW = 4 << 20
+# Sets and lines go by smaller windows: several workers of one executor hold one each at a time.
+SMALL_WINDOW = 1 << 20
 WIDTH = 5
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -46,7 +49,8 @@ _POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < size:
-        room = max(size, WINDOW + 1)
+        # As much as the windows at hand ask for, in few steps.
+        room = 1 << max(16, (size - 1).bit_length())
         for place, base in enumerate((_BASE, _BASE_INVERSE)):
             steps = np.full(room, base, dtype=np.uint64)
             steps[0] = 1
@@ -128,7 +132,7 @@ def word_hashes(
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def shingle_sets(column: pa.Array, window: int = WINDOW) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+def shingle_sets(column: pa.Array, window: int = SMALL_WINDOW) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """Per group of texts: which texts, distinct shingle hashes (sorted per text), their bounds.
 
     Texts of at least five words have all runs of five words; shorter ones
@@ -138,7 +142,7 @@ def shingle_sets(column: pa.Array, window: int = WINDOW) -> Iterator[tuple[slice
     for part in groups(starts, ends, window):
         low, high = int(starts[part.start]), int(ends[part.stop - 1])
         breaks = np.unique(np.concatenate([starts[part], ends[part]]) - low)
-        words, places = word_hashes(content[low:high], breaks)
+        words, places = word_hashes(content[low:high], breaks, window)
         first = np.searchsorted(places, starts[part] - low)
         last = np.searchsorted(places, ends[part] - low)
         runs = np.zeros(max(0, len(words) - WIDTH + 1), np.uint64)

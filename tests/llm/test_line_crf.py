@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +63,16 @@ def test_a_line_is_one_node_at_any_window():
         assert _features(texts, window) == want
 
 
+def test_features_take_little_memory():
+    texts = pa.array(["Some words of a line, and | signs.\n" * 3000] * 80)
+    tracemalloc.start()
+    lines = sum(len(length) for _, _, length, _ in line_features(texts))
+    peak = tracemalloc.get_traced_memory()[1] >> 20
+    tracemalloc.stop()
+    assert lines == 240_000
+    assert peak < 96, peak
+
+
 def test_a_line_of_nine_megabytes_scores_alike():
     text = "Good long line, with the usual words. " * 250_000 + "\nshort"
     wide, narrow = _features([text], 4 << 20), _features([text], 64 << 10)

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from rowcast.llm.components import components
 from rowcast.llm.near_dedup import near_duplicates
+from rowcast.llm.shingles import shingle_sets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -164,3 +168,24 @@ def test_tables_written(spark, monkeypatch):
         rows += family(draw, [f"w{draw.randrange(4000)}" for _ in range(90)], 15, 6, 1000 * f)
     check(spark, rows + [(9000 + i, text) for i, (_, text) in enumerate(rows[:20])])
     assert len(written) <= 34, written
+
+
+def test_sets_take_little_memory_and_are_the_same_at_any_window():
+    draw = random.Random(4)
+    words = [f"word{i}" for i in range(3000)]
+    texts = [" ".join(draw.choices(words, k=n)) for n in [8000] * 80 + [400_000, 3, 0]]
+    column = pa.array([*texts, None])
+
+    def sets(window):
+        kept = []
+        for _, hashes, bounds in shingle_sets(column, *window):
+            kept += [hashes[a:b].sum().item() for a, b in zip(bounds[:-1], bounds[1:])]
+        return kept
+
+    shingle_sets.__globals__["_POWERS"][:] = [np.ones(1, dtype=np.uint64)] * 2
+    tracemalloc.start()
+    own = sets(())
+    peak = tracemalloc.get_traced_memory()[1] >> 20
+    tracemalloc.stop()
+    assert own == sets((16 << 20,)) and len(own) == 84 and own[-2:] == [0, 0]
+    assert peak < 96, peak
